@@ -13,35 +13,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKETS = 256
-LANE = T.DecimalType(17, 0)
 NULL_MARK = "~"
 
 
-def portable_text(value: Column, kind: T.DataType) -> Column:
-    """Text that other engines print alike. Floats are fixed to ten decimals first."""
+def quoted(name: str) -> str:
+    return f"`{name}`"
+
+
+def portable_text(name: str, kind: T.DataType) -> str:
+    """SQL text of a value that other engines print alike. Floats are fixed to ten decimals first."""
+    col = quoted(name)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        value = value.cast("decimal(38,10)")
+        return f"coalesce(cast(try_cast({col} as decimal(38,10)) as string), cast({col} as string))"
     if isinstance(kind, T.BinaryType):
-        return F.lower(F.hex(value))
+        return f"lower(hex({col}))"
     if isinstance(kind, T.TimestampType):
-        value = value.cast("timestamp_ntz")
-    return value.cast("string")
+        return f"cast(cast({col} as timestamp_ntz) as string)"
+    return f"cast({col} as string)"
 
 
-def row_text(df: DataFrame, columns: list[str]) -> Column:
+def row_text_sql(df: DataFrame, columns: list[str]) -> str:
     parts = []
     for name in columns:
-        text = portable_text(F.col(name), df.schema[name].dataType)
-        sized = F.concat(F.length(text).cast("string"), F.lit(":"), text)
-        parts.append(F.coalesce(sized, F.lit(NULL_MARK)))
-    return F.concat(*parts)
+        text = portable_text(name, df.schema[name].dataType)
+        parts.append(f"coalesce(concat(length({text}), ':', {text}), '{NULL_MARK}')")
+    return f"concat({', '.join(parts)})"
+
+
+def row_text(df: DataFrame, columns: list[str]) -> Column:
+    return F.expr(row_text_sql(df, columns))
 
 
-def lane(md5_hex: Column, which: int) -> Column:
-    """Slice 0 or 1 of an MD5 as a number that is exact when summed."""
-    return F.conv(F.substring(md5_hex, 1 + 14 * which, 14), 16, 10).cast(LANE)
+def lane(md5_hex: str, which: int) -> str:
+    """SQL text of slice 0 or 1 of an MD5 as a number that is exact when summed."""
+    return f"cast(conv(substring({md5_hex}, {1 + 14 * which}, 14), 16, 10) as decimal(17,0))"
 
 
 def key_bucket(df: DataFrame, keys: list[str], buckets: int = BUCKETS) -> Column:
-    prefix = F.substring(F.md5(row_text(df, keys)), 1, 8)
-    return (F.conv(prefix, 16, 10).cast("bigint") % buckets).cast("int")
+    prefix = f"substring(md5({row_text_sql(df, keys)}), 1, 8)"
+    return F.expr(f"cast(cast(conv({prefix}, 16, 10) as bigint) % {buckets} as int)")

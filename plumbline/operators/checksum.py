@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.digest import BUCKETS, key_bucket, lane, portable_text, row_text
+from plumbline.functions.digest import BUCKETS, key_bucket, lane, row_text, row_text_sql
 from plumbline.operators.profile import bucket_profile
 
 COMPARED = ("n", "lane0", "lane1")
@@ -56,22 +56,19 @@ def differing_rows(
     def signed(df: DataFrame, sign: int) -> DataFrame:
         if only_buckets is not None:
             df = df.filter(key_bucket(df, keys, buckets).isin(only_buckets))
-        def with_sign(value: Column) -> Column:
-            return value if sign > 0 else -value
-
-        sides = (1, 0) if sign > 0 else (0, 1)
+        sides, prefix = ((1, 0), "") if sign > 0 else ((0, 1), "-")
         lanes = []
         for c in compared:
-            text = F.coalesce(portable_text(F.col(c), df.schema[c].dataType), F.lit("\x00null"))
-            lanes.append(with_sign(lane(F.md5(text), 0)).alias(f"_l_{c}"))
-        row = F.md5(row_text(df, columns))
-        return df.select(
+            text = f"md5({row_text_sql(df, [c])})"
+            lanes.append(F.expr(f"{prefix}{lane(text, 0)}").alias(f"_l_{c}"))
+        hashed = df.select(*keys, F.md5(row_text(df, columns)).alias("_md5"), *lanes)
+        return hashed.select(
             *keys,
             F.lit(sides[0]).cast("bigint").alias("_s"),
             F.lit(sides[1]).cast("bigint").alias("_t"),
-            with_sign(lane(row, 0)).alias("_r0"),
-            with_sign(lane(row, 1)).alias("_r1"),
-            *lanes,
+            F.expr(f"{prefix}{lane('_md5', 0)}").alias("_r0"),
+            F.expr(f"{prefix}{lane('_md5', 1)}").alias("_r1"),
+            *[f"_l_{c}" for c in compared],
         )
 
     reduced = signed(source, 1).unionByName(signed(target, -1)).groupBy(*keys).agg(

@@ -11,19 +11,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.digest import BUCKETS, key_bucket, lane, row_text
+from plumbline.functions.digest import BUCKETS, key_bucket, lane, quoted, row_text
 
 SUM_TYPE = T.DecimalType(38, 6)
 
 
-def summed(name: str, kind: T.DataType):
+def summed(name: str, kind: T.DataType) -> str:
     """Sum as an exact decimal where the column is exact, so that engines and task orders agree."""
-    col = F.col(name)
-    if isinstance(kind, T.DecimalType):
-        return F.sum(col)
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return F.sum(col.cast("decimal(28,6)"))
-    return F.sum(col.cast("decimal(20,0)"))
+    col = quoted(name)
+    if isinstance(kind, T.IntegralType):
+        col = f"cast({col} as decimal(20,0))"
+    elif not isinstance(kind, T.DecimalType):
+        # Floats, and numbers still held as text; NaN and words add nothing.
+        col = f"try_cast({col} as decimal(28,6))"
+    return f"cast(sum({col}) as decimal(38,6))"
 
 
 def bucket_profile(
@@ -39,13 +40,10 @@ def bucket_profile(
         (key_bucket(df, keys, buckets) if keys else F.lit(0)).alias("bucket"),
         F.md5(row_text(df, columns)).alias("_md5"),
     )
-    return hashed.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(lane(F.col("_md5"), 0)).alias("lane0"),
-        F.sum(lane(F.col("_md5"), 1)).alias("lane1"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
-        *[summed(c, df.schema[c].dataType).cast(SUM_TYPE).alias(f"sum_{c}") for c in numeric],
-    )
+    aggregates = ["count(1) as n", f"sum({lane('_md5', 0)}) as lane0", f"sum({lane('_md5', 1)}) as lane1"]
+    aggregates += [f"count_if({quoted(c)} is null) as {quoted(f'null_{c}')}" for c in columns]
+    aggregates += [f"{summed(c, df.schema[c].dataType)} as {quoted(f'sum_{c}')}" for c in numeric]
+    return hashed.groupBy("bucket").agg(*[F.expr(a) for a in aggregates])
 
 
 def table_profile(
@@ -68,7 +66,7 @@ def table_profile(
             aggregates += [
                 F.min(col).cast("double").alias(f"min{i}"),
                 F.max(col).cast("double").alias(f"max{i}"),
-                summed(name, kind).cast(SUM_TYPE).alias(f"sum{i}"),
+                F.expr(summed(name, kind)).alias(f"sum{i}"),
                 F.stddev_samp(col.cast("double")).alias(f"dev{i}"),
             ]
             if quantiles:

@@ -6,7 +6,10 @@ target's key columns. Nothing is collected: the report stays a DataFrame of one
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import replace
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.contracts import Contract
@@ -47,8 +50,9 @@ def _grouped(n: Column) -> Column:
     return F.format_number(n, 0)
 
 
-def _percent(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, part.cast("double") / whole.cast("double") * 100.0).otherwise(0.0)
+def _percent(part: str, whole: str) -> str:
+    """SQL text of a share in percent; nothing of nothing is 0."""
+    return f"if({whole} > 0, cast({part} as double) / cast({whole} as double) * 100.0D, 0.0D)"
 
 
 def paired_totals(
@@ -65,11 +69,11 @@ def paired_totals(
         bucket.alias("bucket"), F.col("s.n").alias("source_rows"), F.col("t.n").alias("target_rows")
     )
     totals = [
-        F.coalesce(F.sum(f"{side}.{name}"), F.lit(0)).alias(f"{side}_{name}")
+        F.expr(f"coalesce(sum({side}.`{name}`), 0) as `{side}_{name}`")
         for side in ("s", "t")
         for name in ["n", *[f"null_{c}" for c in columns]]
     ]
-    sums = [F.sum(f"{side}.sum_{c}").alias(f"{side}_sum_{c}") for side in ("s", "t") for c in numeric]
+    sums = [F.expr(f"sum({side}.`sum_{c}`) as `{side}_sum_{c}`") for side in ("s", "t") for c in numeric]
     return s.join(t, F.col("s.bucket") == F.col("t.bucket"), "full_outer").agg(
         *totals,
         *sums,
@@ -81,7 +85,7 @@ def paired_totals(
 
 def row_count_layer(contract: Contract) -> Column:
     s, t = F.col("s_n"), F.col("t_n")
-    diff = _percent(F.abs(s - t), s)
+    diff = F.expr(_percent("abs(s_n - t_n)", "s_n"))
     status = (
         F.when(s == 0, WARNING)
         .when(diff <= contract.count_tolerance_pct, PASSED)
@@ -93,7 +97,11 @@ def row_count_layer(contract: Contract) -> Column:
             F.lit(" diff="), F.format_string("%.3f", diff), F.lit("%"),
         )
     )
-    evidence = F.to_json(F.struct(s.alias("source_count"), t.alias("target_count")))
+    evidence = F.to_json(F.struct(
+        s.alias("source_count"), t.alias("target_count"),
+        F.format_string("%.4f", diff).alias("difference_pct"),
+        F.lit(str(contract.count_tolerance_pct)).alias("tolerance_pct"),
+    ))
     return _result(LAYERS[0], status, message, evidence)
 
 
@@ -101,17 +109,16 @@ def null_drift_entries(contract: Contract) -> Column:
     """Array of the columns whose NULL share moved by more than the tolerance."""
     entries = []
     for c in contract.columns:
-        s = _percent(F.col(f"s_null_{c}"), F.col("s_n"))
-        t = _percent(F.col(f"t_null_{c}"), F.col("t_n"))
-        drift = F.abs(s - t)
-        entry = F.struct(
-            F.lit(c).alias("column"),
-            F.format_string("%.2f", s).alias("source_null_pct"),
-            F.format_string("%.2f", t).alias("target_null_pct"),
-            F.format_string("%.2f", drift).alias("drift_pct"),
-        )
-        entries.append(F.when(drift > contract.null_drift_points, entry))
-    return F.array_compact(F.array(*entries))
+        s, t = _percent(f"`s_null_{c}`", "s_n"), _percent(f"`t_null_{c}`", "t_n")
+        entries.append(f"named_struct('column', '{c}', 's', {s}, 't', {t})")
+    return F.expr(f"""
+        transform(
+          filter(array({', '.join(entries)}), x -> abs(x.s - x.t) > {contract.null_drift_points}D),
+          x -> named_struct(
+            'column', x.column,
+            'source_null_pct', format_string('%.2f', x.s),
+            'target_null_pct', format_string('%.2f', x.t),
+            'drift_pct', format_string('%.2f', abs(x.s - x.t))))""")
 
 
 def null_drift_layer(contract: Contract) -> Column:
@@ -140,21 +147,23 @@ def checksum_layer(contract: Contract, buckets: int) -> Column:
 
 
 def sum_drift_entries(contract: Contract) -> Column:
+    """Array of the numeric columns whose sum moved by more than the tolerance.
+
+    A zero source sum has no relative difference; any other target sum is then a drift.
+    """
     entries = []
     for c in contract.numeric_columns:
-        s = F.coalesce(F.col(f"s_sum_{c}"), F.lit(0)).cast("decimal(38,6)")
-        t = F.coalesce(F.col(f"t_sum_{c}"), F.lit(0)).cast("decimal(38,6)")
-        diff = F.when(s != 0, F.abs(s - t).cast("double") / F.abs(s).cast("double") * 100.0)
-        entry = F.struct(
-            F.lit(c).alias("column"),
-            s.cast("string").alias("source_sum"),
-            t.cast("string").alias("target_sum"),
-            F.format_string("%.4f", diff).alias("diff_pct"),
-        )
-        # A zero source sum has no relative difference; any other target sum is then a drift.
-        drifted = F.when(s == 0, t != 0).otherwise(diff > contract.sum_drift_pct)
-        entries.append(F.when(drifted, entry))
-    return F.array_compact(F.array(*entries))
+        s, t = (f"cast(coalesce(`{side}_sum_{c}`, 0) as decimal(38,6))" for side in "st")
+        entries.append(f"named_struct('column', '{c}', 's', {s}, 't', {t})")
+    pct = "if(x.s = 0, null, cast(abs(x.s - x.t) as double) / cast(abs(x.s) as double) * 100.0D)"
+    return F.expr(f"""
+        transform(
+          filter(array({', '.join(entries)}), x -> if(x.s = 0, x.t <> 0, {pct} > {contract.sum_drift_pct}D)),
+          x -> named_struct(
+            'column', x.column,
+            'source_sum', cast(x.s as string),
+            'target_sum', cast(x.t as string),
+            'diff_pct', format_string('%.4f', {pct})))""")
 
 
 def statistics_layer(contract: Contract) -> Column:
@@ -229,7 +238,18 @@ def key_uniqueness_rows(target: DataFrame, contract: Contract) -> DataFrame:
 def layer_rows(
     source: DataFrame, target: DataFrame, contract: Contract, buckets: int = BUCKETS
 ) -> DataFrame:
-    """The five results. Both inputs carry the contract's target columns."""
+    """The five results. Both inputs are in target form.
+
+    Where a side lacks declared columns, the shared ones are compared, and the checksum layer
+    fails; key uniqueness fails if the target lacks a key.
+    """
+    shared = [c for c in contract.columns if c in source.columns and c in target.columns]
+    missing = [c for c in contract.columns if c not in shared]
+    if missing:
+        kept = tuple(f for f in contract.fields if f.audit or f.target in shared)
+        known = replace(contract, fields=kept, keys=tuple(k for k in contract.keys if k in shared))
+        rows = layer_rows(source, target, known, buckets).filter(~F.col("layer").isin(_failed_by(contract, missing)))
+        return rows.unionByName(_missing_rows(source.sparkSession, contract, missing))
     wide = (
         paired_totals(source, target, contract, buckets)
         .withColumn("null_drifts", null_drift_entries(contract))
@@ -250,18 +270,36 @@ def layer_rows(
     return wide.select(F.inline(F.array(*in_scan, skipped)))
 
 
-def report_header(rows: DataFrame, contract: Contract, batch_id: str) -> DataFrame:
+def _failed_by(contract: Contract, missing: list[str]) -> list[str]:
+    return [LAYERS[3], *([LAYERS[2]] if set(missing) & set(contract.keys) else [])]
+
+
+def _missing_rows(spark: SparkSession, contract: Contract, missing: list[str]) -> DataFrame:
+    text = f"Column(s) not on both sides: {', '.join(missing)}"
+    rows = [(layer, FAILED, text, None) for layer in _failed_by(contract, missing)]
+    return spark.createDataFrame(rows, "layer string, status string, message string, evidence string")
+
+
+def report_header(rows: DataFrame, contract: Contract, batch_id: str, at: datetime | None = None) -> DataFrame:
     """One row per report: the worst status, with the layers nested in report order."""
+    def counted(side: str) -> Column:
+        evidence = F.when(F.col("layer") == LAYERS[0], F.col("evidence"))
+        return F.get_json_object(evidence, f"$.{side}_count").cast("bigint")
+
     order = F.create_map(*[F.lit(v) for pair in ((n, i) for i, n in enumerate(LAYERS)) for v in pair])
     return rows.agg(
         status_of(F.max(severity(F.col("status")))).alias("overall_status"),
+        *[F.max(counted(side)).alias(f"{side}_row_count") for side in ("source", "target")],
         F.array_sort(F.collect_list(F.struct(
             order[F.col("layer")].alias("position"), *[F.col(c) for c in REPORT_COLUMNS]
         ))).alias("layers"),
     ).select(
         F.lit(contract.fqn).alias("contract_fqn"),
         F.lit(batch_id).alias("batch_id"),
+        F.lit(at or datetime.now(timezone.utc)).cast("timestamp").alias("validated_at"),
         "overall_status",
+        "source_row_count",
+        "target_row_count",
         F.transform("layers", lambda x: F.struct(*[x[c].alias(c) for c in REPORT_COLUMNS])).alias("results"),
     )
 

@@ -265,8 +265,15 @@ def recon_report_tolerant(spark, sf):
 @query
 def recon_overall(spark, sf):
     source, target = orders_and_damaged(spark, sf, "nulled")
-    header = reconcile.report_header(reconcile.layer_rows(source, target, ORDERS), ORDERS, BATCH)
-    return header.select("contract_fqn", "batch_id", "overall_status", F.size("results").alias("layers"))
+    header = reconcile.report_header(reconcile.layer_rows(source, target, ORDERS), ORDERS, BATCH, RUN_AT)
+    return zoneless(header.withColumn("results", F.size("results")))
+
+
+@query
+def recon_missing_column(spark, sf):
+    """A target that lost a column: the rest is still compared."""
+    source, target = orders_and_damaged(spark, sf, "scaled")
+    return reconcile.layer_rows(source, target.drop("order_status"), ORDERS).select("layer", "status")
 
 
 @query
@@ -339,9 +346,7 @@ def run_post_load(spark, sf):
 
 @query
 def three_way_status(spark, sf):
-    raw = customers(spark, sf)
-    rows = parity.three_way(raw, raw, mask_personal(raw, CUSTOMER), CUSTOMER)
-    return parity.three_way_overall(rows)
+    return parity.three_way_overall(parity.three_way(*customer_copies(spark, sf), CUSTOMER))
 
 
 @query
@@ -452,7 +457,7 @@ def pii_audit(spark, sf):
 
 @query
 def run_pii_audit(spark, sf):
-    tables = [(CUSTOMER, mask_personal(customers(spark, sf), CUSTOMER)), (VENDOR, vendors(spark, sf))]
+    tables = [(CUSTOMER, leaky_customers(spark, sf)), (VENDOR, vendors(spark, sf))]
     return pii.audit_status(runs.run_pii_audit(tables))
 
 

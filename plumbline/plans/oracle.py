@@ -156,7 +156,8 @@ def count_row(tolerance: float = 0.0) -> str:
       case when s_n = 0 then 'WARNING' when abs(s_n - t_n)::double / s_n * 100 <= {tolerance} then 'PASSED' else 'FAILED' end as status,
       'source=' || format('{{:,}}', s_n) || ' target=' || format('{{:,}}', t_n) || ' diff='
         || printf('%.3f', abs(s_n - t_n)::double / s_n * 100) || '%' as message,
-      '{{"source_count":' || s_n || ',"target_count":' || t_n || '}}' as evidence
+      '{{"source_count":' || s_n || ',"target_count":' || t_n || ',"difference_pct":"'
+        || printf('%.4f', abs(s_n - t_n)::double / s_n * 100) || '","tolerance_pct":"{tolerance}"}}' as evidence
       from (select (select count(*) from s) as s_n, (select count(*) from t) as t_n)"""
 
 
@@ -332,9 +333,13 @@ CASES["recon_report"] = report(*ALL_DAMAGE)
 CASES["recon_report_swapped"] = report("swapped", evidence=False)
 CASES["recon_report_tolerant"] = report(*ALL_DAMAGE, count=2.0, points=10.0, sums=100.0, evidence=False)
 CASES["recon_overall"] = f"""
-select contract_fqn, batch_id, case when bool_or(status = 'FAILED') then 'FAILED'
-  when bool_or(status = 'WARNING') then 'WARNING' else 'PASSED' end as overall_status, count(*)::int as layers
-from ({report('nulled')}) group by all"""
+select contract_fqn, batch_id, timestamp '2026-04-21 02:15:33' as validated_at, case when bool_or(status = 'FAILED') then 'FAILED'
+  when bool_or(status = 'WARNING') then 'WARNING' else 'PASSED' end as overall_status,
+  (select count(*) from orders) as source_row_count, (select count(*) from orders) as target_row_count,
+  count(*)::int as results
+from ({report('nulled')}) group by contract_fqn, batch_id"""
+CASES["recon_missing_column"] = f"""
+select layer, case when layer = 'checksum_bands' then 'FAILED' else status end as status from ({report('scaled')})"""
 CASES["duplicate_keys"] = """
 select l_orderkey, l_linenumber, count(*) as n from lineitem group by all having count(*) > 1"""
 CASES["dup_key_evidence"] = """
@@ -392,7 +397,8 @@ THREE = f"""with raw as ({KNA1}), rawm as ({KNA1_MASKED}),
 CASES["three_way_parity"] = f"{THREE} select comparison, layer, status from layers"
 CASES["run_post_load"] = f"""{THREE} select comparison,
   case when bool_or(status = 'FAILED') then 'FAILED' else 'PASSED' end as status from layers group by comparison"""
-CASES["three_way_status"] = "select 'PASSED' as overall_status"
+CASES["three_way_status"] = f"""{THREE}
+select case when bool_or(status = 'FAILED') then 'FAILED' else 'PASSED' end as overall_status from layers"""
 CASES["shadow_diff_rate"] = """
 select ts::date as day, count(*) as requests,
   count(*) filter (event_id % 400 = 7 or event_id % 250 = 0) as mismatches,
@@ -501,13 +507,14 @@ def audited(column: str, table: str) -> str:
         else 'FAIL_RAW_PII_FOUND' end as status from {table}"""
 
 
-CASES["pii_audit"] = f"""with leaky as (select m.* replace (r.phone_primary as phone_primary, null::varchar as fax,
+LEAKY = f"""with leaky as (select m.* replace (r.phone_primary as phone_primary, null::varchar as fax,
     case when m.customer_number::bigint % 30 = 1 then r.email else m.email end as email)
-  from ({KNA1_MASKED}) m join ({KNA1}) r using (customer_number)) """ + " union all ".join(
-    audited(c, "leaky") for c in ("customer_name", "phone_primary", "fax", "email")
-)
-CASES["run_pii_audit"] = """
-select 'PASS' as overall_status, 4::bigint as columns_checked, 0::bigint as failed_columns"""
+  from ({KNA1_MASKED}) m join ({KNA1}) r using (customer_number)) """
+AUDITED = " union all ".join(audited(c, "leaky") for c in ("customer_name", "phone_primary", "fax", "email"))
+CASES["pii_audit"] = LEAKY + AUDITED
+CASES["run_pii_audit"] = f"""{LEAKY}
+select case when bool_or(status = 'FAIL_RAW_PII_FOUND') then 'FAIL' else 'PASS' end as overall_status,
+  count(*) as columns_checked, count(*) filter (status = 'FAIL_RAW_PII_FOUND') as failed_columns from ({AUDITED})"""
 CASES["bounded_scan"] = f"select email from ({KNA1}) where email is not null order by email limit 1000"
 
 # --- merges ----------------------------------------------------------------------------------

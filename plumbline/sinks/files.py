@@ -91,7 +91,7 @@ def write_keyed(df: DataFrame, contract: Contract, path: str, partitions: int |
 def save_bucketed(df: DataFrame, contract: Contract, table: str, buckets: int = BUCKETS) -> None:
     """Catalogue table bucketed by the keys: joins and key checks on it need no shuffle."""
     keys = list(contract.keys)
-    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
 
 
 def write_report(rows: DataFrame, path: str) -> None:

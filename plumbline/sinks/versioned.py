@@ -8,6 +8,7 @@ logging its folders again. One writer per table is assumed.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,14 @@ LOG_SCHEMA = T.StructType([
 BUCKET = "_bucket"
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    version: int
+    live: dict[int, int]
+    """Bucket -> folder that holds its rows."""
+    has_batch: bool = False
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], buckets: int = 16):
         self.spark = spark
@@ -41,24 +50,29 @@ class VersionedTable:
             return self.spark.createDataFrame([], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/log")
 
-    def version(self) -> int:
-        return self.log().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-
-    def has_batch(self, batch: str) -> bool:
-        return not self.log().filter(F.col("batch") == batch).isEmpty()
-
-    def live(self, version: int | None = None) -> dict[int, int]:
-        """Bucket -> folder at a version. At most one entry per bucket."""
-        log = self.log().filter("bucket is not null")
+    def snapshot(self, version: int | None = None, batch: str | None = None) -> Snapshot:
+        """State of the log at a version: one job, one row per bucket collected."""
+        log = self.log()
         if version is not None:
             log = log.filter(F.col("version") <= version)
-        rows = log.groupBy("bucket").agg(F.max_by("folder", "version").alias("folder")).collect()
-        return {r["bucket"]: r["folder"] for r in rows if r["folder"] is not None}
+        rows = log.groupBy("bucket").agg(
+            F.max_by("folder", "version").alias("folder"),
+            F.max("version").alias("version"),
+            F.coalesce(F.max(F.col("batch") == F.lit(batch)), F.lit(False)).alias("seen"),
+        ).collect()
+        return Snapshot(
+            version=max((r["version"] for r in rows), default=0),
+            live={r["bucket"]: r["folder"] for r in rows if r["bucket"] is not None and r["folder"] is not None},
+            has_batch=any(r["seen"] for r in rows),
+        )
+
+    def version(self) -> int:
+        return self.snapshot().version
+
+    def read(self, version: int | None = None) -> DataFrame:
+        return self._rows(self.snapshot(version).live)
 
-    def read(self, version: int | None = None, buckets: list[int] | None = None) -> DataFrame:
-        live = self.live(version)
-        if buckets is not None:
-            live = {b: f for b, f in live.items() if b in set(buckets)}
+    def _rows(self, live: dict[int, int]) -> DataFrame:
         if not live:
             return self.spark.createDataFrame([], self.schema)
         by_folder: dict[int, list[int]] = {}
@@ -71,10 +85,8 @@ class VersionedTable:
             parts.append(part.filter(F.col(BUCKET).isin(members)).drop(BUCKET))
         return reduce(DataFrame.unionByName, parts)
 
-    def commit(self, df: DataFrame, batch: str, touched: list[int] | None = None) -> int:
-        """Write the full new content of the touched buckets (all, if not given) and log it."""
-        version = self.version() + 1
-        touched = list(range(self.buckets)) if touched is None else touched
+    def _commit(self, df: DataFrame, batch: str, version: int, touched: list[int]) -> int:
+        """Write the full new content of the touched buckets and log it."""
         rows = df.select(*self.schema.names).withColumn(BUCKET, key_bucket(df, self.keys, self.buckets))
         # Rebalance puts a bucket's rows together, and cuts large buckets into several files.
         rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
@@ -92,13 +104,15 @@ class VersionedTable:
         return [r[0] for r in df.select(bucket).distinct().collect()]
 
     def _rewrite(self, changes: DataFrame, batch: str, change) -> int | None:
-        if self.has_batch(batch):
+        now = self.snapshot(batch=batch)
+        if now.has_batch:
             return None
         touched = self._touched(changes)
         if not touched:
-            self._append_log([(self.version() + 1, None, None, batch)])
+            self._append_log([(now.version + 1, None, None, batch)])
             return None
-        return self.commit(change(self.read(buckets=touched)), batch, touched)
+        old = self._rows({b: f for b, f in now.live.items() if b in set(touched)})
+        return self._commit(change(old), batch, now.version + 1, touched)
 
     def apply(self, versions: DataFrame, order: list[str], batch: str) -> int | None:
         """Keep the newest version per key. A batch that was already applied is skipped."""
@@ -117,7 +131,7 @@ class VersionedTable:
 
     def restore(self, version: int, batch: str) -> int:
         """Make an older version current again. Buckets it did not have become empty."""
-        then, now = self.live(version), self.live()
-        new = self.version() + 1
-        self._append_log([(new, b, then.get(b), batch) for b in sorted(set(then) | set(now))])
+        then, now = self.snapshot(version), self.snapshot()
+        new = now.version + 1
+        self._append_log([(new, b, then.live.get(b), batch) for b in sorted(set(then.live) | set(now.live))])
         return new
