@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.digest import BUCKETS, key_bucket, lane, row_text, row_text_sql
+from plumbline.functions.digest import BUCKETS, aligned, fast_hash, key_bucket, quoted
 from plumbline.operators.profile import bucket_profile
 
 COMPARED = ("n", "lane0", "lane1")
@@ -23,6 +23,7 @@ def checksum_bands(
     source: DataFrame, target: DataFrame, keys: list[str], columns: list[str], buckets: int = BUCKETS
 ) -> DataFrame:
     """Every bucket with both counts, both checksums as text, and whether they differ."""
+    source, target = aligned(source, target, columns)
     s = bucket_profile(source, keys, columns, [], buckets).alias("s")
     t = bucket_profile(target, keys, columns, [], buckets).alias("t")
     return s.join(t, F.col("s.bucket") == F.col("t.bucket"), "full_outer").select(
@@ -52,32 +53,37 @@ def differing_rows(
     Rows ``(<keys>, source_count, target_count, reason, columns)``.
     """
     compared = [c for c in columns if c not in keys]
+    source, target = aligned(source, target, columns)
 
-    def signed(df: DataFrame, sign: int) -> DataFrame:
+    # Hashes are summed in integer pieces of at most 22 bits, which hold for 2^41 rows per key.
+    row_pieces = ("shiftright(_row, 43)", "shiftright(_row, 21) & 4194303", "_row & 2097151")
+    column_pieces = ("shiftright({}, 42)", "shiftright({}, 20) & 4194303")
+
+    def signed(df: DataFrame, sides: tuple[int, int], prefix: str) -> DataFrame:
         if only_buckets is not None:
             df = df.filter(key_bucket(df, keys, buckets).isin(only_buckets))
-        sides, prefix = ((1, 0), "") if sign > 0 else ((0, 1), "-")
-        lanes = []
-        for c in compared:
-            text = f"md5({row_text_sql(df, [c])})"
-            lanes.append(F.expr(f"{prefix}{lane(text, 0)}").alias(f"_l_{c}"))
-        hashed = df.select(*keys, F.md5(row_text(df, columns)).alias("_md5"), *lanes)
-        return hashed.select(
-            *keys,
-            F.lit(sides[0]).cast("bigint").alias("_s"),
-            F.lit(sides[1]).cast("bigint").alias("_t"),
-            F.expr(f"{prefix}{lane('_md5', 0)}").alias("_r0"),
-            F.expr(f"{prefix}{lane('_md5', 1)}").alias("_r1"),
-            *[f"_l_{c}" for c in compared],
+        hashed = df.selectExpr(
+            *[quoted(k) for k in keys],
+            f"{fast_hash(df, columns)} as _row",
+            *[f"{fast_hash(df, [c])} as _h{i}" for i, c in enumerate(compared)],
+        )
+        return hashed.selectExpr(
+            *[quoted(k) for k in keys],
+            f"{sides[0]}L as _s",
+            f"{sides[1]}L as _t",
+            *[f"{prefix}({piece}) as _r{p}" for p, piece in enumerate(row_pieces)],
+            *[
+                f"{prefix}({piece.format(f'_h{i}')}) as _c{i}_{p}"
+                for i in range(len(compared)) for p, piece in enumerate(column_pieces)
+            ],
         )
 
-    reduced = signed(source, 1).unionByName(signed(target, -1)).groupBy(*keys).agg(
+    reduced = signed(source, (1, 0), "").unionByName(signed(target, (0, 1), "-")).groupBy(*keys).agg(
         F.sum("_s").alias("source_count"),
         F.sum("_t").alias("target_count"),
-        F.sum("_r0").alias("_r0"),
-        F.sum("_r1").alias("_r1"),
-        *[F.sum(f"_l_{c}").alias(f"_l_{c}") for c in compared],
-    ).filter((F.col("_r0") != 0) | (F.col("_r1") != 0) | (F.col("source_count") != F.col("target_count")))
+        *[F.sum(f"_r{p}").alias(f"_r{p}") for p in range(len(row_pieces))],
+        *[F.sum(f"_c{i}_{p}").alias(f"_c{i}_{p}") for i in range(len(compared)) for p in range(len(column_pieces))],
+    ).filter("_r0 <> 0 or _r1 <> 0 or _r2 <> 0 or source_count <> target_count")
 
     reason = (
         F.when(F.col("target_count") == 0, "missing_in_target")
@@ -85,7 +91,8 @@ def differing_rows(
         .when(F.col("source_count") != F.col("target_count"), "count_differs")
         .otherwise("values_differ")
     )
-    changed = F.concat_ws(",", *[F.when(F.col(f"_l_{c}") != 0, F.lit(c)) for c in compared])
+    named = [f"if(_c{i}_0 <> 0 or _c{i}_1 <> 0, '{c}', null)" for i, c in enumerate(compared)]
+    changed = F.expr(f"concat_ws(',', {', '.join(named)})") if named else F.lit("")
     return reduced.select(
         *keys,
         "source_count",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.digest import BUCKETS, key_bucket, lane, quoted, row_text
+from plumbline.functions.digest import BUCKETS, key_bucket, lane, lane_sum, quoted, row_text
 
 SUM_TYPE = T.DecimalType(38, 6)
 
@@ -39,8 +39,8 @@ def bucket_profile(
         *dict.fromkeys([*columns, *numeric]),
         (key_bucket(df, keys, buckets) if keys else F.lit(0)).alias("bucket"),
         F.md5(row_text(df, columns)).alias("_md5"),
-    )
-    aggregates = ["count(1) as n", f"sum({lane('_md5', 0)}) as lane0", f"sum({lane('_md5', 1)}) as lane1"]
+    ).withColumns({f"_lane{i}": F.expr(lane("_md5", i)) for i in (0, 1)})
+    aggregates = ["count(1) as n", *[f"{lane_sum(f'_lane{i}')} as lane{i}" for i in (0, 1)]]
     aggregates += [f"count_if({quoted(c)} is null) as {quoted(f'null_{c}')}" for c in columns]
     aggregates += [f"{summed(c, df.schema[c].dataType)} as {quoted(f'sum_{c}')}" for c in numeric]
     return hashed.groupBy("bucket").agg(*[F.expr(a) for a in aggregates])

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.contracts import Contract
-from plumbline.functions.digest import BUCKETS
+from plumbline.functions.digest import BUCKETS, aligned
 from plumbline.operators.checksum import bands_differ
 from plumbline.operators.profile import bucket_profile
 
@@ -26,6 +26,20 @@ SHOWN_KEYS = 5
 SHOWN_BUCKETS = 10
 TOLERATED_DRIFTED_COLUMNS = 2
 
+# Report messages; {} stands for a number.
+SOURCE_EMPTY = "Source is empty — no comparison possible"
+NULLS_FINE = "All columns within null-ratio tolerance"
+NULLS_DRIFTED = "{} column(s) exceeded {}% null-ratio drift"
+KEYS_UNIQUE = "All {} rows have unique PK"
+KEYS_REPEAT = "{} duplicate PK combinations found"
+KEYS_UNDECLARED = "No primary keys declared — skipping check"
+BUCKETS_MATCH = "All {} buckets match between source and target"
+BUCKETS_DIFFER = "{} bucket(s) differ — row-level content mismatch"
+BUCKETS_UNDEFINED = "No PKs — can't bucket rows"
+NO_NUMBERS = "No numeric columns — nothing to compare"
+SUMS_FINE = "All {} numeric columns within tolerance"
+SUMS_DRIFTED = "{} numeric column(s) drifted beyond {}%"
+
 REPORT_COLUMNS = ("layer", "status", "message", "evidence")
 
 
@@ -50,6 +64,12 @@ def _grouped(n: Column) -> Column:
     return F.format_number(n, 0)
 
 
+def _filled(template: str, *values) -> Column:
+    """Message with its numbers put in, in order."""
+    pattern = template.replace("%", "%%").replace("{}", "%s")
+    return F.format_string(pattern, *[v.cast("string") if isinstance(v, Column) else F.lit(str(v)) for v in values])
+
+
 def _percent(part: str, whole: str) -> str:
     """SQL text of a share in percent; nothing of nothing is 0."""
     return f"if({whole} > 0, cast({part} as double) / cast({whole} as double) * 100.0D, 0.0D)"
@@ -61,6 +81,7 @@ def paired_totals(
     """One row with both sides' counts, NULL counts and sums, and the differing buckets."""
     keys, columns = list(contract.keys), contract.columns
     numeric = contract.numeric_columns
+    source, target = aligned(source, target, columns)
     s = bucket_profile(source, keys, columns, numeric, buckets).alias("s")
     t = bucket_profile(target, keys, columns, numeric, buckets).alias("t")
     differs = bands_differ()
@@ -91,7 +112,7 @@ def row_count_layer(contract: Contract) -> Column:
         .when(diff <= contract.count_tolerance_pct, PASSED)
         .otherwise(FAILED)
     )
-    message = F.when(s == 0, "Source is empty — no comparison possible").otherwise(
+    message = F.when(s == 0, SOURCE_EMPTY).otherwise(
         F.concat(
             F.lit("source="), _grouped(s), F.lit(" target="), _grouped(t),
             F.lit(" diff="), F.format_string("%.3f", diff), F.lit("%"),
@@ -126,22 +147,18 @@ def null_drift_layer(contract: Contract) -> Column:
     status = (
         F.when(n == 0, PASSED).when(n <= TOLERATED_DRIFTED_COLUMNS, WARNING).otherwise(FAILED)
     )
-    message = F.when(n == 0, "All columns within null-ratio tolerance").otherwise(
-        F.concat(n.cast("string"), F.lit(f" column(s) exceeded {contract.null_drift_points}% null-ratio drift"))
-    )
+    message = F.when(n == 0, NULLS_FINE).otherwise(_filled(NULLS_DRIFTED, n, contract.null_drift_points))
     return _result(LAYERS[1], status, message, F.when(n > 0, F.to_json("null_drifts")))
 
 
 def checksum_layer(contract: Contract, buckets: int) -> Column:
     if not contract.keys:
-        return _result(LAYERS[3], F.lit(WARNING), F.lit("No PKs — can't bucket rows"), F.lit(None))
+        return _result(LAYERS[3], F.lit(WARNING), F.lit(BUCKETS_UNDEFINED), F.lit(None))
     n = F.col("n_differing")
     return _result(
         LAYERS[3],
         F.when(n == 0, PASSED).otherwise(FAILED),
-        F.when(n == 0, f"All {buckets} buckets match between source and target").otherwise(
-            F.concat(n.cast("string"), F.lit(" bucket(s) differ — row-level content mismatch"))
-        ),
+        F.when(n == 0, BUCKETS_MATCH.format(buckets)).otherwise(_filled(BUCKETS_DIFFER, n)),
         F.when(n > 0, F.to_json("differing")),
     )
 
@@ -170,15 +187,13 @@ def statistics_layer(contract: Contract) -> Column:
     numeric = contract.numeric_columns
     if not numeric:
         return _result(
-            LAYERS[4], F.lit(PASSED), F.lit("No numeric columns — nothing to compare"), F.lit(None)
+            LAYERS[4], F.lit(PASSED), F.lit(NO_NUMBERS), F.lit(None)
         )
     n = F.size(F.col("sum_drifts"))
     return _result(
         LAYERS[4],
         F.when(n == 0, PASSED).otherwise(FAILED),
-        F.when(n == 0, f"All {len(numeric)} numeric columns within tolerance").otherwise(
-            F.concat(n.cast("string"), F.lit(f" numeric column(s) drifted beyond {contract.sum_drift_pct}%"))
-        ),
+        F.when(n == 0, SUMS_FINE.format(len(numeric))).otherwise(_filled(SUMS_DRIFTED, n, contract.sum_drift_pct)),
         F.when(n > 0, F.to_json("sum_drifts")),
     )
 
@@ -227,9 +242,7 @@ def key_uniqueness_rows(target: DataFrame, contract: Contract) -> DataFrame:
     result = _result(
         LAYERS[2],
         F.when(dups == 0, PASSED).otherwise(FAILED),
-        F.when(dups == 0, F.concat(F.lit("All "), _grouped(F.col("total")), F.lit(" rows have unique PK"))).otherwise(
-            F.concat(_grouped(dups), F.lit(" duplicate PK combinations found"))
-        ),
+        F.when(dups == 0, _filled(KEYS_UNIQUE, _grouped(F.col("total")))).otherwise(_filled(KEYS_REPEAT, _grouped(dups))),
         F.when(dups > 0, evidence),
     )
     return joined.select(F.inline(F.array(result)))
@@ -265,7 +278,7 @@ def layer_rows(
         uniqueness = key_uniqueness_rows(target, contract)
         return wide.select(F.inline(F.array(*in_scan))).unionByName(uniqueness)
     skipped = _result(
-        LAYERS[2], F.lit(WARNING), F.lit("No primary keys declared — skipping check"), F.lit(None)
+        LAYERS[2], F.lit(WARNING), F.lit(KEYS_UNDECLARED), F.lit(None)
     )
     return wide.select(F.inline(F.array(*in_scan, skipped)))
 

@@ -133,7 +133,9 @@ def sides(*kinds: str) -> str:
 
 
 def row_text(columns) -> str:
-    return " || ".join(f"coalesce(length({c}::varchar) || ':' || {c}::varchar, '~')" for c in columns)
+    free = ("order_status", "order_priority")
+    parts = [f"coalesce(length({c})::varchar, '~'), {c}" if c in free else f"coalesce({c}::varchar, '~')" for c in columns]
+    return f"concat_ws(':', {', '.join(parts)})"
 
 
 def lane(md5: str, which: int) -> str:
@@ -364,7 +366,7 @@ CASES["stale_row_check"] = sides("scaled", "nulled") + differing(OLD.format("s")
 def spot(source: str, target: str, seed: int) -> str:
     return f"""select order_key, order_key in (select order_key from {source}) as found_in_source from (
       select order_key from {target}
-      order by md5('{seed}:' || length(order_key::varchar) || ':' || order_key), order_key limit 50) group by order_key"""
+      order by md5('{seed}:' || order_key), order_key limit 50) group by order_key"""
 
 
 CASES["pk_spot_check"] = f"{sides('dropped')} {spot('t', 's', 7)}"
