@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from plumbline.contracts import Contract
 from plumbline.functions.digest import BUCKETS
-from plumbline.operators.reconcile import FAILED, PASSED, layer_rows, overall, report_header, severity, status_of
+from plumbline.operators.reconcile import FAILED, PASSED, layer_rows, overall, severity, status_of
 from plumbline.operators.transform import mask_personal
 
 
+ROLLBACK_LIMIT_PCT = 0.1
+
+
 def three_way(
     raw: DataFrame, operational: DataFrame, analytical: DataFrame, contract: Contract, buckets: int = BUCKETS
 ) -> DataFrame:
@@ -67,6 +70,11 @@ def mismatch_rate(differences: DataFrame, day: str) -> DataFrame:
     )
 
 
+def rollback_signal(rates: DataFrame, limit_pct: float = ROLLBACK_LIMIT_PCT) -> DataFrame:
+    """Days whose mismatch rate calls for a rollback."""
+    return rates.filter(F.col("mismatch_pct") > limit_pct)
+
+
 def latency_gate(
     calls: DataFrame, path: str, latency: str, old: str, new: str, factor: float = 1.1, accuracy: int = 10_000
 ) -> DataFrame:
@@ -96,8 +104,3 @@ def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, parent_key: s
     parents = parent.select(F.col(parent_key).alias("foreign_key"))
     return per_key.join(parents, "foreign_key", "left_anti")
 
-
-__all__ = [
-    "comparison_statuses", "latency_gate", "mismatch_rate", "missing_prerequisites", "orphans",
-    "report_header", "shadow_differences", "three_way", "three_way_overall",
-]

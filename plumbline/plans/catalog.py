@@ -7,6 +7,7 @@ come back without a zone.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -349,14 +350,23 @@ def three_way_status(spark, sf):
     return parity.three_way_overall(parity.three_way(*customer_copies(spark, sf), CUSTOMER))
 
 
-@query
-def shadow_diff_rate(spark, sf):
+def shadow_rates(spark, sf):
     old = table(spark, sf, "events").select(F.to_date("ts").alias("day"), "event_id", "value")
     changed = F.when(F.col("event_id") % 250 == 0, F.col("value") + 1).otherwise(F.col("value"))
     new = old.filter(F.col("event_id") % 400 != 7).withColumn("value", changed)
     return parity.mismatch_rate(parity.shadow_differences(old, new, ["day", "event_id"], ["value"]), "day")
 
 
+@query
+def shadow_diff_rate(spark, sf):
+    return shadow_rates(spark, sf)
+
+
+@query
+def rollback_signal(spark, sf):
+    return parity.rollback_signal(shadow_rates(spark, sf), limit_pct=0.7)
+
+
 @query
 def latency_gate(spark, sf):
     return parity.latency_gate(table(spark, sf, "events"), "event_type", "value", "view", "click")
@@ -563,6 +573,20 @@ def bronze_stream(spark, sf):
     return zoneless(bronze.drop("_cdc_ingested_at", "_cdc_source_file"))
 
 
+@query
+def schema_evolution_stream(spark, sf):
+    """The feed gains a column between two runs; the stream is restarted with the wider schema."""
+    root = scratch_dir(spark, "evolution")
+    narrow = replace(ACTIVITY, fields=tuple(f for f in ACTIVITY.fields if f.target != "email"))
+    for part, contract in zip(half_feeds(spark, sf), (narrow, ACTIVITY)):
+        schema = cdc.feed_schema(contract, STORED)
+        stored = part.withColumn("_dms_committed_at", F.col("_dms_committed_at").cast("timestamp"))
+        stored.select(*schema.names).write.mode("append").parquet(f"{root}/feed")
+        cdc.ingest_bronze(spark, f"{root}/feed", f"{root}/bronze", f"{root}/ckpt", schema).awaitTermination()
+    bronze = spark.read.schema(cdc.bronze_schema(schema)).parquet(f"{root}/bronze")
+    return zoneless(bronze.drop("_cdc_ingested_at", "_cdc_source_file"))
+
+
 @query
 def cdc_silver_stream(spark, sf):
     root, schema = streamed(spark, sf, "silver")
@@ -898,9 +922,13 @@ def keyed_layout(spark, sf):
 
 
 def database(spark) -> jdbc.Database:
-    """The session's database, or an in-memory one in tests."""
+    """The session's database, or an in-memory one where driver and executors share a JVM."""
     url = spark.conf.get("spark.plumbline.jdbc.url", None)
-    return jdbc.Database(url) if url else jdbc.derby("plumbline")
+    if url:
+        return jdbc.Database(url)
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.plumbline.jdbc.url to a database all executors can reach")
+    return jdbc.derby("plumbline")
 
 
 def stored_suppliers(spark, sf, name):
@@ -909,7 +937,7 @@ def stored_suppliers(spark, sf, name):
     return db
 
 
-def as_suppliers(df):
+def lower_names(df):
     """Column names as in the Parquet table, whatever case the database gives back."""
     return df.toDF(*[c.lower() for c in df.columns])
 
@@ -917,13 +945,13 @@ def as_suppliers(df):
 @query
 def jdbc_range_scan(spark, sf):
     db = stored_suppliers(spark, sf, "sup_range")
-    return as_suppliers(jdbc.scan(spark, db, "sup_range", "s_suppkey", 4))
+    return lower_names(jdbc.scan(spark, db, "sup_range", "s_suppkey", 4))
 
 
 @query
 def jdbc_hash_scan(spark, sf):
     db = stored_suppliers(spark, sf, "sup_hash")
-    return as_suppliers(jdbc.hash_scan(spark, db, "sup_hash", "s_suppkey", 4))
+    return lower_names(jdbc.hash_scan(spark, db, "sup_hash", "s_suppkey", 4))
 
 
 @query
@@ -931,13 +959,23 @@ def jdbc_key_range_scan(spark, sf):
     db = stored_suppliers(spark, sf, "sup_keys")
     cuts = ["Supplier#000000030", "Supplier#000000060"]
     names = f"CAST({db.name('s_name')} AS VARCHAR(100))"
-    return as_suppliers(jdbc.predicate_scan(spark, db, "sup_keys", jdbc.key_range_predicates(names, cuts)))
+    return lower_names(jdbc.predicate_scan(spark, db, "sup_keys", jdbc.key_range_predicates(names, cuts)))
+
+
+@query
+def jdbc_queue_scan(spark, sf):
+    """Orders as a request queue: the customer is the request; requests already taken are left out."""
+    db = database(spark)
+    sink_jdbc.write_table(table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), db, "queue")
+    queue = lower_names(jdbc.queue_scan(spark, db, "queue", 4, "o_custkey"))
+    taken = table(spark, sf, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
+    return ledger.unconsumed(queue, taken, "o_custkey")
 
 
 @query
 def jdbc_single_scan(spark, sf):
     db = stored_suppliers(spark, sf, "sup_single")
-    return as_suppliers(jdbc.scan(spark, db, "sup_single", None, 4, f"{db.name('s_nationkey')} > 10"))
+    return lower_names(jdbc.scan(spark, db, "sup_single", None, 4, f"{db.name('s_nationkey')} > 10"))
 
 
 @query
@@ -957,7 +995,7 @@ def jdbc_upsert(spark, sf):
     changed = supplier.filter("s_nationkey = 3").withColumn("s_nationkey", F.lit(99))
     new = supplier.withColumn("s_suppkey", -F.col("s_suppkey") - 1)
     sink_jdbc.upsert_table(changed.unionByName(new), db, "sup_upsert", ["s_suppkey"])
-    return as_suppliers(jdbc.scan(spark, db, "sup_upsert", "s_suppkey", 4))
+    return lower_names(jdbc.scan(spark, db, "sup_upsert", "s_suppkey", 4))
 
 
 # --- whole runs ------------------------------------------------------------------------------

@@ -406,6 +406,7 @@ select ts::date as day, count(*) as requests,
   count(*) filter (event_id % 400 = 7 or event_id % 250 = 0) as mismatches,
   round(count(*) filter (event_id % 400 = 7 or event_id % 250 = 0)::double / count(*) * 100, 4) as mismatch_pct
 from events group by 1"""
+CASES["rollback_signal"] = f"select * from ({CASES['shadow_diff_rate']}) where mismatch_pct > 0.7"
 CASES["latency_gate"] = """
 select o as old_p99, n as new_p99, case when n < o * 1.1 then 'PASSED' else 'FAILED' end as status
 from (select quantile_disc(value, 0.99) filter (event_type = 'view') as o,
@@ -546,6 +547,8 @@ select USER_ID, EVENT_TYPE, AMOUNT, _dms_committed_at, _seq, Op = 'D' as _is_del
 CASES["cdc_current"] = f"""
 select USER_ID, EVENT_TYPE, AMOUNT, _dms_committed_at, _seq from ({LATEST}) where Op <> 'D'"""
 CASES["bronze_stream"] = FEED
+CASES["schema_evolution_stream"] = f"""
+select * replace (case when _seq % 3 = 0 then EMAIL end as EMAIL) from ({FEED})"""
 SILVER = f"""select USER_ID as user_id, EVENT_TYPE as event_type, AMOUNT::decimal(14,2) as amount, EMAIL as email,
   _dms_committed_at, _seq, Op = 'D' as _is_deleted from ({LATEST})"""
 CASES["cdc_silver_stream"] = SILVER
@@ -666,6 +669,9 @@ CASES["keyed_layout"] = MARA
 CASES["jdbc_range_scan"] = "select * from supplier"
 CASES["jdbc_hash_scan"] = "select * from supplier"
 CASES["jdbc_key_range_scan"] = "select * from supplier"
+CASES["jdbc_queue_scan"] = """
+select o_custkey, o_orderkey, o_orderstatus from orders
+where o_custkey not in (select c_custkey from customer where c_acctbal < 0)"""
 CASES["jdbc_single_scan"] = "select * from supplier where s_nationkey > 10"
 CASES["jdbc_bounds"] = "select count(*) as n, min(s_suppkey) as low, max(s_suppkey) as high from supplier"
 CASES["jdbc_upsert"] = """
