@@ -38,14 +38,18 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     It lies below ``spark.checkpoint.dir``. Only a local session may go without that setting and
     then gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="spark-plumbline-", dir="/tmp")
+    root = _shared_root(spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def _shared_root(setting: str | None, master: str) -> str:
+    if setting is not None:
+        return setting
+    if not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="spark-plumbline-", dir="/tmp")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)

@@ -1,15 +1,17 @@
-from plumbline.session import path_exists, scratch_dir
+import pytest
 
+from plumbline.session import _shared_root, path_exists, scratch_dir
 
-def test_scratch_lies_in_the_shared_folder(spark, folder):
-    spark.conf.set("spark.checkpoint.dir", folder)
-    try:
-        first, second = scratch_dir(spark, "a"), scratch_dir(spark, "a")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert first.startswith(f"{folder}/a-") and first != second
-    assert path_exists(spark, folder) and not path_exists(spark, first)
 
+def test_scratch_folders_are_fresh(spark, folder):
+    first, second = scratch_dir(spark, "a"), scratch_dir(spark, "a")
+    assert first != second and not path_exists(spark, first) and path_exists(spark, folder)
+    if root := spark.conf.get("spark.checkpoint.dir", None):
+        assert first.startswith(f"{root.rstrip('/')}/a-")
 
-def test_local_session_may_go_without(spark):
-    assert scratch_dir(spark, "a").startswith("/tmp/spark-")
+
+def test_only_a_local_session_may_go_without_a_shared_folder():
+    assert _shared_root("/shared", "yarn") == "/shared"
+    assert _shared_root(None, "local[8]").startswith("/tmp/spark-")
+    with pytest.raises(ValueError):
+        _shared_root(None, "yarn")
