@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.contracts import Contract, Field
 from plumbline.mdm import ACTIVITY, CUSTOMER, MATERIAL, ORDERS, PRICE_HISTORY, VENDOR
 from plumbline.operators import checksum, incremental, ledger, merge, monitor, parity, pii, reconcile, rules
 from plumbline.operators.profile import table_profile
@@ -49,6 +50,12 @@ def zoneless(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in names})
 
 
+def utc_clock(df: DataFrame, *columns: str) -> DataFrame:
+    """Instants as UTC wall-clock values, whatever the session's zone."""
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    return df.withColumns({c: F.to_utc_timestamp(c, zone).cast("timestamp_ntz") for c in columns})
+
+
 def moment(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
@@ -114,8 +121,6 @@ def rename_columns(spark, sf):
 @query
 def typed_values(spark, sf):
     """Every declared number and time type, read from text that is sometimes malformed."""
-    from plumbline.contracts import Contract, Field
-
     key = F.col("l_linenumber")
     bad = F.col("l_orderkey") % 13 == 0
     text = table(spark, sf, "lineitem").select(
@@ -142,7 +147,7 @@ def typed_values(spark, sf):
 @query
 def lookup_expand(spark, sf):
     nation = table(spark, sf, "nation").select(
-        shaped._country(F.col("n_nationkey")).alias("code"), F.col("n_name"), F.col("n_regionkey").alias("region_code")
+        shaped.country_code(F.col("n_nationkey")).alias("code"), F.col("n_name"), F.col("n_regionkey").alias("region_code")
     )
     region = table(spark, sf, "region")
     named = expand_lookup(nation, region, "region_code", "r_regionkey", "r_name", "region_name")
@@ -170,12 +175,12 @@ def coercion_losses(spark, sf):
 def extract_audit(spark, sf):
     raw = shaped.vendors(spark, sf)
     audited = with_extract_audit(raw, VENDOR, RUN_AT)
-    return zoneless(normalise(audited, VENDOR))
+    return utc_clock(normalise(audited, VENDOR), "_extracted_at")
 
 
 @query
 def load_audit(spark, sf):
-    return zoneless(with_load_audit(vendors(spark, sf), VENDOR, BATCH, RUN_AT))
+    return utc_clock(with_load_audit(vendors(spark, sf), VENDOR, BATCH, RUN_AT), "_extracted_at", "_loaded_at")
 
 
 # --- profiles and reconciliation -------------------------------------------------------------
@@ -267,7 +272,7 @@ def recon_report_tolerant(spark, sf):
 def recon_overall(spark, sf):
     source, target = orders_and_damaged(spark, sf, "nulled")
     header = reconcile.report_header(reconcile.layer_rows(source, target, ORDERS), ORDERS, BATCH, RUN_AT)
-    return zoneless(header.withColumn("results", F.size("results")))
+    return utc_clock(header.withColumn("results", F.size("results")), "validated_at")
 
 
 @query

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,14 +64,49 @@ class Outcome:
     detail: str = ""
 
 
-def _gate(rows: DataFrame, path: str, phase: str) -> None:
-    """Write a report, and stop the run if any layer failed. A report has five rows."""
+def _gate(reports: dict[str, DataFrame], path: str) -> None:
+    """Compute the reports of one step together, keep them, and stop the run if any layer failed.
+
+    A report has five rows.
+    """
+    parts = [rows.withColumn("phase", F.lit(phase)) for phase, rows in reports.items()]
+    rows = reduce(DataFrame.unionByName, parts)
     results = rows.collect()
-    kept = rows.sparkSession.createDataFrame(results, rows.schema).withColumn("phase", F.lit(phase))
-    write_report(kept, f"{path}/{phase}")
-    names = [r["layer"] for r in results if r["status"] == reconcile.FAILED]
-    if names:
-        raise RuntimeError(f"{phase} reconciliation failed: {', '.join(sorted(names))}")
+    write_report(rows.sparkSession.createDataFrame(results, rows.schema), path)
+    failed = sorted(f"{r['phase']} {r['layer']}" for r in results if r["status"] == reconcile.FAILED)
+    if failed:
+        raise RuntimeError(f"reconciliation failed: {', '.join(failed)}")
+
+
+def _load_and_check(run: Run, contract: Contract, batch_id: str, typed: DataFrame, at: datetime) -> None:
+    """Load both targets and compare them with what was staged; on any failure put both back."""
+    operational = run.target(contract, "operational")
+    analytical = run.target(contract, "analytical")
+    before = {table: table.version() for table in (operational, analytical)}
+    loaded = with_load_audit(typed, contract, batch_id, at)
+    # A batch that failed may run again with other rows, so every attempt has its own commit name.
+    attempt = f"{batch_id}#{uuid.uuid4().hex[:8]}"
+    try:
+        # The two loads are independent jobs on different tables.
+        with ThreadPoolExecutor(2) as pool:
+            loads = [
+                pool.submit(operational.upsert, loaded, attempt),
+                pool.submit(analytical.delete_insert, mask_personal(loaded, contract), attempt),
+            ]
+        for load in loads:
+            load.result()
+        mine = F.col("_batch_id") == batch_id
+        pairs = {
+            "post_load_operational": (typed, operational.read().filter(mine)),
+            "post_load_analytical": (mask_personal(typed, contract), analytical.read().filter(mine)),
+        }
+        reports = {p: reconcile.reconcile(*sides, contract, batch_id) for p, sides in pairs.items()}
+        _gate(reports, f"{run.report(contract, batch_id)}/load")
+    except Exception:
+        for table, version in before.items():
+            if table.version() != version:
+                table.restore(version, f"undo-{attempt}")
+        raise
 
 
 def run_table(
@@ -78,7 +115,7 @@ def run_table(
     """Extract, check, transform, load both targets, check again.
 
     ``source`` gives the source rows newer than a watermark. Nothing is loaded if the first check
-    fails, and the batch succeeds only if the second passes.
+    fails; if the second fails, the targets are put back. The watermark moves on success only.
     """
     at = at or datetime.now(timezone.utc)
     ledger = run.ledger
@@ -93,25 +130,11 @@ def run_table(
         # The checks compare in target form: raw text and typed rows never match byte for byte.
         staged = write_batch(normalise(raw, contract), run.staged(contract, batch_id))
         typed = read_batch(run.spark, staged.path)
-        report = run.report(contract, batch_id)
         expected = normalise(source(mark), contract)
-        _gate(reconcile.reconcile(expected, typed, contract, batch_id), report, "post_extract")
-
-        operational = run.target(contract, "operational")
-        analytical = run.target(contract, "analytical")
-        loaded = with_load_audit(typed, contract, batch_id, at)
-        operational.upsert(loaded, batch_id)
-        analytical.delete_insert(mask_personal(loaded, contract), batch_id)
-
-        mine = F.col("_batch_id") == batch_id
-        for phase, left, right in (
-            ("post_load_operational", typed, operational.read().filter(mine)),
-            ("post_load_analytical", mask_personal(typed, contract), analytical.read().filter(mine)),
-        ):
-            _gate(reconcile.reconcile(left, right, contract, batch_id), report, phase)
-        if written.watermark is not None:
-            ledger.set_watermark(run.job, contract.fqn, written.watermark)
-        ledger.succeed(run.job, batch_id, written.rows)
+        extracted = reconcile.reconcile(expected, typed, contract, batch_id)
+        _gate({"post_extract": extracted}, f"{run.report(contract, batch_id)}/extract")
+        _load_and_check(run, contract, batch_id, typed, at)
+        ledger.succeed(run.job, batch_id, written.rows, table=contract.fqn, watermark=written.watermark)
         return Outcome(contract.table, batch_id, "SUCCEEDED", written.rows)
     except Exception as error:
         ledger.fail(run.job, batch_id, str(error))

@@ -14,6 +14,18 @@ from plumbline.operators.ledger import (
 from plumbline.session import path_exists
 
 
+def _now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
+def _batch(job: str, batch_id: str, status: str, at, row_count=None, error: str | None = None) -> tuple:
+    return (BATCH, job, batch_id, status, at or _now(), row_count, error and error[:ERROR_LENGTH], None)
+
+
+def _mark(job: str, table: str, watermark: str, at) -> tuple:
+    return (WATERMARK, job, table, None, at or _now(), None, None, watermark)
+
+
 class Ledger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -24,12 +36,10 @@ class Ledger:
             return self.spark.createDataFrame([], SCHEMA)
         return self.spark.read.schema(SCHEMA).json(f"{self.path}/*")
 
-    def _append(self, kind, job, name, status=None, row_count=None, error=None, watermark=None, at=None) -> None:
-        at = at or datetime.now(timezone.utc)
-        row = (kind, job, name, status, at, row_count, error and error[:ERROR_LENGTH], watermark)
+    def _append(self, *rows: tuple) -> None:
         # A folder per entry: runs of several tables may write at the same time.
         entry = f"{self.path}/{uuid.uuid4().hex}"
-        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.json(entry)
+        self.spark.createDataFrame(list(rows), SCHEMA).coalesce(1).write.json(entry)
 
     def _status(self, job: str, batch_id: str) -> str | None:
         mine = self.entries().filter((F.col("job") == job) & (F.col("name") == batch_id))
@@ -43,14 +53,20 @@ class Ledger:
         """False if the batch is under way or done."""
         if self._status(job, batch_id) not in (None, FAILED):
             return False
-        self._append(BATCH, job, batch_id, STARTED, at=at)
+        self._append(_batch(job, batch_id, STARTED, at))
         return True
 
-    def succeed(self, job: str, batch_id: str, row_count: int = 0, at=None) -> None:
-        self._append(BATCH, job, batch_id, SUCCEEDED, row_count=row_count, at=at)
+    def succeed(
+        self, job: str, batch_id: str, row_count: int = 0, at=None, table: str | None = None, watermark: str | None = None
+    ) -> None:
+        """Note success and, in the same write, how far the table has been read."""
+        rows = [_batch(job, batch_id, SUCCEEDED, at, row_count)]
+        if watermark is not None:
+            rows.append(_mark(job, table, watermark, at))
+        self._append(*rows)
 
     def fail(self, job: str, batch_id: str, error: str, at=None) -> None:
-        self._append(BATCH, job, batch_id, FAILED, row_count=0, error=error, at=at)
+        self._append(_batch(job, batch_id, FAILED, at, 0, error))
 
     def watermark(self, job: str, table: str) -> str | None:
         mine = self.entries().filter((F.col("job") == job) & (F.col("name") == table))
@@ -58,7 +74,7 @@ class Ledger:
         return row and row["watermark"]
 
     def set_watermark(self, job: str, table: str, value: str, at=None) -> None:
-        self._append(WATERMARK, job, table, watermark=value, at=at)
+        self._append(_mark(job, table, value, at))
 
     def expire(self, now: datetime, into: str) -> "Ledger":
         """Compact without old batch entries, into a new folder."""

@@ -41,7 +41,7 @@ def _user(number: Column) -> Column:
     return F.rpad(F.concat(F.lit("USER"), _padded_number(number, 3)), 12, " ")
 
 
-def _country(nation: Column) -> Column:
+def country_code(nation: Column) -> Column:
     """Two capitals from the nation key; nation 0 is US, nation 13 is not a valid code."""
     letters = F.concat(F.char((nation / 5).cast("int") + 65), F.char(nation % 5 + 75))
     return F.when(nation == 0, "US").when(nation == 13, "x1").otherwise(letters)
@@ -76,7 +76,7 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("001").alias("MANDT"),
         _padded_number(key, 10).alias("KUNNR"),
         F.rpad("c_name", 35, " ").alias("NAME1"),
-        _country(F.col("c_nationkey")).alias("LAND1"),
+        country_code(F.col("c_nationkey")).alias("LAND1"),
         F.concat(F.lit("CITY"), _text(key % 97)).alias("ORT01"),
         _padded_number(key % 100000, 5).alias("PSTLZ"),
         F.concat("c_mktsegment", F.lit(" "), _text(key % 999)).alias("STRAS"),
@@ -97,7 +97,7 @@ def vendors(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("001").alias("MANDT"),
         _padded_number(key, 10).alias("LIFNR"),
         F.rpad("s_name", 35, " ").alias("NAME1"),
-        _country(F.col("s_nationkey")).alias("LAND1"),
+        country_code(F.col("s_nationkey")).alias("LAND1"),
         F.when(key % 2 == 0, _padded_number(key, 6)).otherwise(_padded_number(key, 9)).alias("STCD1"),
         F.when(key % 4 != 0, _padded_number(key * 7, 11)).alias("STCD2"),
         _day("2012-01-01", key % 4500).alias("ERDAT"),

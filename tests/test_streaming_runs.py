@@ -136,6 +136,23 @@ def test_failed_check_stops_before_the_load(spark, run):
     assert reports.groupBy("phase").count().count() == 3
 
 
+def test_failed_load_is_put_back_and_may_run_again(spark, run, monkeypatch):
+    raw = shaped.vendors(spark, SMALL)
+    assert runs.run_table(run, VENDOR, "b1", lambda mark: raw.filter("LIFNR < '0000000005'"), AT).status == "SUCCEEDED"
+    before = {side: run.target(VENDOR, side).read().count() for side in ("operational", "analytical")}
+
+    def broken(self, rows, batch):
+        raise RuntimeError("target down")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(VersionedTable, "delete_insert", broken)
+        outcome = runs.run_table(run, VENDOR, "b2", lambda mark: raw, AT)
+    assert outcome.status == "FAILED" and "target down" in outcome.detail
+    assert {side: run.target(VENDOR, side).read().count() for side in before} == before
+    assert runs.run_table(run, VENDOR, "b2", lambda mark: raw, AT).status == "SUCCEEDED"
+    assert {run.target(VENDOR, side).read().count() for side in before} == {raw.count()}
+
+
 def test_run_many(spark, run):
     work = []
     for name in ("MARA", "KNA1", "LFA1"):
