@@ -11,12 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import line_dedup, segment_topk, shard_packing
+from plumbline.llm import jaccard_join, line_dedup, segment_topk, shard_packing, token_files
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),
@@ -28,13 +38,21 @@ def op8_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_topk.top_k(rows, rows.where("vec_id % 20 = 0"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = token_files.token_root(spark)
+    index = token_files.write_token_files(table(spark, sf_dir, "documents"), root, tokenizer_file("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_checksums(index, root)
+
+
 def op10_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_packing.assign_shards(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op6_line_dedup": op6_line_dedup,
     "op8_segment_topk": op8_segment_topk,
+    "op9_token_files": op9_token_files,
     "op10_vector_sharding": op10_vector_sharding,
 }
 
