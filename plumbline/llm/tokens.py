@@ -16,7 +16,7 @@ from plumbline.llm.common import worker_cache
 
 KEPT = 300_000
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PLAIN = re.compile(f"(\n?)([{_LATIN}]+)([!-/:-@[-`{-~]*)")
+_PLAIN = re.compile("(\n?)([" + _LATIN + r"]+)([!-/:-@\[-`{-~]*)")
 
 
 def printable_bytes() -> dict[int, str]:
