@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import jaccard_join, line_dedup, segment_topk, shard_packing, token_files
+from plumbline.llm import grouping_ga, jaccard_join, line_dedup, segment_topk, shard_packing, token_files
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = grouping_ga.token_pieces(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return grouping_ga.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),
@@ -50,6 +55,7 @@ def op10_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op6_line_dedup": op6_line_dedup,
     "op8_segment_topk": op8_segment_topk,
     "op9_token_files": op9_token_files,

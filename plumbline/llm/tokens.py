@@ -69,19 +69,20 @@ class Encoder:
     def _piece(self, piece: str, head: bool = False) -> bytes | None:
         """Ids of a piece, None if the text around it must be encoded whole."""
         plain = _PLAIN.fullmatch(piece)
+        if plain:
+            line, word, marks = plain.groups()
+            word = word.lower() if self.word_ends else word if head or line else " " + word
+            ids = self.cores.get(word) or self._word(word)
+            if line and not self.word_ends:
+                ids = self._tail(line) + ids
+            return ids + self._tail(marks) if marks else ids
         if self.word_ends:
-            if plain:
-                return self._word(plain[2].lower()) + (self._tail(plain[3]) if plain[3] else b"")
             return self.exact(piece) if piece else b""
         if head and not piece:
             return b""
-        if not piece or piece == "\n" or any(c.isspace() for c in piece[1:]) or piece[0] != "\n" and piece[0].isspace():
+        if not piece or piece == "\n" or piece[0] != "\n" and piece[0].isspace() or any(c.isspace() for c in piece[1:]):
             return None
-        blank = "" if head or piece[0] == "\n" else " "
-        if plain:
-            return ((self._tail("\n") if plain[1] else b"") + self._word(blank + plain[2])
-                    + (self._tail(plain[3]) if plain[3] else b""))
-        return self.exact(blank + piece)
+        return self.exact(piece if head or piece[0] == "\n" else " " + piece)
 
     def _tail(self, marks: str) -> bytes:
         key = "\0" + marks
