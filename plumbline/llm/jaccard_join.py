@@ -18,6 +18,7 @@ their elements are; no candidate is lost and none is capped.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,7 @@ from plumbline.llm.words import shingles, words
 
 BLOCK = 256
 PARTS = 3
+THIN = 2
 CELLS = 1 << 24
 
 
@@ -87,6 +89,21 @@ def _digests(width: int):
     return run
 
 
+def spare_groups(groups: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Groups to add for each band, so that almost no set of its size has more thin groups than that.
+
+    A signature is thin if its parts hold fewer than THIN elements of the set: it says little and many
+    unlike sets share it. With e groups to spare, similar sets agree in e + 1 groups at least.
+    """
+    spare = np.zeros(len(groups), np.int64)
+    for _ in range(4):
+        load = sizes * (PARTS - 1) / PARTS / (groups + spare)
+        thin = PARTS * np.exp(-load) * sum(load ** i / math.factorial(i) for i in range(THIN)) * (groups + spare)
+        spare = np.where(groups > 2, np.ceil(thin + 5 * np.sqrt(thin)), 0).astype(np.int64)
+        spare = np.minimum(spare, groups)
+    return spare
+
+
 def signatures_of(elements: np.ndarray, counts: np.ndarray, share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """(signature, index of the set) for all sets; an empty set has none."""
     out_sig, out_set = [], []
@@ -94,6 +111,9 @@ def signatures_of(elements: np.ndarray, counts: np.ndarray, share: tuple[int, in
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     starts = band_starts(share, int(counts.max()))
     most = differences(share, starts)
+    # With one part of three that may differ, each group stands for two differences.
+    base = (most + 2) // 2
+    spare = spare_groups(base, starts[:-1])
     band = np.searchsorted(starts, counts, side="right") - 1
     owner = np.repeat(np.arange(len(counts)), counts)
     coin = mixed(elements ^ np.uint64(0x2B7E151628AED2A6))
@@ -103,29 +123,33 @@ def signatures_of(elements: np.ndarray, counts: np.ndarray, share: tuple[int, in
     for shift in (0, 1):
         instance = band - shift
         active = (counts > 0) & (instance >= 0)
-        k = np.where(active, most[np.maximum(instance, 0)], 0)
-        groups = np.where(active, (k + 2) // 2, 0)  # with one part that may differ, each group stands for two differences
-        single = active & (k == 0)
-        cells_of = groups * PARTS
-        first = np.cumsum(cells_of) - cells_of
-        n_cells = int(cells_of.sum())
+        at = np.maximum(instance, 0)
+        groups = np.where(active, base[at] + spare[at], 0)
+        single = active & (most[at] == 0)
+        first = (np.cumsum(groups) - groups) * PARTS
+        n_cells = int(groups.sum()) * PARTS
         if not n_cells:
             continue
         group = (high * groups[owner].astype(np.uint64)) >> np.uint64(32)
         part = np.where(single[owner], np.uint64(0), (low * np.uint64(PARTS)) >> np.uint64(32))
         use = active[owner]
-        cell = first[owner] + (group * np.uint64(PARTS) + part).astype(np.int64)
-        total = _sums(cell[use], value[use], n_cells).reshape(-1, PARTS)
+        cell = (first[owner] + (group * np.uint64(PARTS) + part).astype(np.int64))[use]
+        total = _sums(cell, value[use], n_cells).reshape(-1, PARTS)
+        held = np.bincount(cell, minlength=n_cells).reshape(-1, PARTS)
         of_set = np.repeat(np.arange(len(counts)), groups)
         place = (np.arange(len(of_set)) - np.repeat(np.cumsum(groups) - groups, groups)).astype(np.uint64)
         label = mixed((instance[of_set].astype(np.uint64) << np.uint64(32)) + place * np.uint64(4) + np.uint64(1))
-        for left_out in range(PARTS):
-            keep = [p for p in range(PARTS) if p != left_out]
+        kept_parts = [[p for p in range(PARTS) if p != left_out] for left_out in range(PARTS)]
+        thin = np.stack([held[:, keep].sum(axis=1) < THIN for keep in kept_parts], axis=1)
+        n_thin = np.bincount(of_set, weights=thin.any(axis=1), minlength=len(counts))
+        # A set with more thin groups than are to spare goes by all its signatures, so that nothing is missed.
+        every = (n_thin > spare[at]) | single
+        for left_out, keep in enumerate(kept_parts):
             sig = mixed(label + np.uint64(left_out))
             for p in keep:
                 sig = mixed(sig ^ total[:, p])
             # Sets that may not differ at all have their whole sum in part 0: one signature is enough.
-            chosen = ~single[of_set] if left_out != 2 else np.ones(len(of_set), bool)
+            chosen = np.where(single[of_set], left_out == 2, every[of_set] | ~thin[:, left_out])
             out_sig.append(sig[chosen])
             out_set.append(of_set[chosen])
     return np.concatenate(out_sig), np.concatenate(out_set)

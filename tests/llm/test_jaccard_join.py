@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from plumbline.llm.components import components
-from plumbline.llm.jaccard_join import band_starts, differences, similar_documents
+from plumbline.llm.jaccard_join import band_starts, differences, signatures_of, similar_documents
 
 SCHEMA = "doc_id long, text string, n long, cluster string"
 
@@ -15,9 +15,9 @@ def element_set(text, width=3):
     return frozenset(tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset()
 
 
-def brute_force(rows, share=(9, 10)):
+def brute_force(rows, share=(9, 10), width=3):
     """doc_id: (size, smallest id reachable, number of links)."""
-    sets = [(i, element_set(t)) for i, t in rows]
+    sets = [(i, element_set(t, width)) for i, t in rows]
     low, links = {i: i for i, _ in sets}, defaultdict(int)
     pairs = []
     for x, (i, a) in enumerate(sets):
@@ -59,10 +59,10 @@ def corpus(seed, n=160):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_equals_brute_force(spark, seed):
+@pytest.mark.parametrize("seed, width, share", [(1, 3, (9, 10)), (2, 5, (4, 5))])
+def test_equals_brute_force(spark, seed, width, share):
     rows = corpus(seed)
-    assert found(spark, rows) == brute_force(rows)
+    assert found(spark, rows, width=width, share=share) == brute_force(rows, share, width)
 
 
 def test_blocks_of_a_large_group(spark):
@@ -85,6 +85,22 @@ def test_nulls_repeats_and_empty(spark):
     assert found(spark, [(1, "a b c"), (1, "a b c"), (2, "a b c")])[2][:2] == (1, 1)
 
 
+@pytest.mark.parametrize("share", [(9, 10), (4, 5)])
+def test_similar_sets_share_a_signature(share):
+    draw = np.random.default_rng(3)
+    for size in (1, 2, 3, 4, 5, 8, 9, 10, 19, 30, 77, 150, 400, 2000):
+        for _ in range(40 if size < 500 else 5):
+            a = np.unique(draw.integers(0, 2**63, size, dtype=np.uint64))
+            # As different as the bound allows: elements replaced, or only taken away.
+            if draw.random() < 0.5:
+                cut = size * (share[1] - share[0]) // (share[1] + share[0])
+                b = np.r_[draw.choice(a, len(a) - cut, replace=False), draw.integers(0, 2**63, cut, dtype=np.uint64)]
+            else:
+                b = draw.choice(a, -(-size * share[0] // share[1]), replace=False)
+            sig, of = signatures_of(np.r_[a, np.unique(b)], np.array([len(a), len(np.unique(b))]), share)
+            assert set(sig[of == 0]) & set(sig[of == 1])
+
+
 def test_bands_hold_all_partners():
     starts = band_starts((9, 10), 5000)
     most = differences((9, 10), starts)
