@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import grouping_ga, jaccard_join, line_dedup, segment_topk, shard_packing, token_files
+from plumbline.llm import decontaminate, grouping_ga, jaccard_join, line_dedup, quality, segment_topk, shard_packing, token_files
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,12 +32,22 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouping_ga.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.quality_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (quality.id_bucket(F.col("doc_id")) % 5 == 0).alias("held_out"), F.col("__score").alias("score"),
+                         (F.col("__score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),
                        F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return segment_topk.top_k(rows, rows.where("vec_id % 20 = 0"))
@@ -56,7 +66,9 @@ def op10_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_line_dedup": op6_line_dedup,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_segment_topk": op8_segment_topk,
     "op9_token_files": op9_token_files,
     "op10_vector_sharding": op10_vector_sharding,

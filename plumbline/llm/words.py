@@ -78,9 +78,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where words begin and end. A word ends with its text."""
-    inside = (data != 32) & ((data < 9) | (data > 13))
+def not_blank(data: np.ndarray) -> np.ndarray:
+    return (data != 32) & ((data < 9) | (data > 13))
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of the bytes inside begin and end. A run ends with its text."""
     begins, stops = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     stops[:-1] &= ~inside[1:]
@@ -90,12 +93,18 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.flatnonzero(begins), np.flatnonzero(stops) + 1
 
 
-def words(texts: pa.Array) -> Iterator[Words]:
+def letters_and_digits(data: np.ndarray) -> np.ndarray:
+    """Where a byte is an ASCII letter or digit, or part of another character than ASCII."""
+    return ((data >= 48) & (data <= 57)) | ((data >= 65) & (data <= 90)) | ((data >= 97) & (data <= 122)) | (data >= 128)
+
+
+def words(texts: pa.Array, plain: bool = False) -> Iterator[Words]:
+    """plain: words are runs of letters and digits; else runs of anything but white space."""
     data, offsets = text_bytes(texts)
     for first, last in pieces(offsets):
         own = data[offsets[first]:offsets[last]]
         at = offsets[first:last + 1] - offsets[first]
-        starts, ends = word_spans(own, at)
+        starts, ends = word_spans(own, at, letters_and_digits(own) if plain else not_blank(own))
         yield Words(first, span_hashes(own, starts, ends), np.diff(np.searchsorted(starts, at)))
 
 
