@@ -8,27 +8,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import line_dedup
+from plumbline.llm import decontaminate, grouping_ga, jaccard_join, line_dedup, quality
 from plumbline.llm.common import stored, table
+from plumbline.llm.queries import tokenizer_file
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents stay that the classifier, learnt from these documents and the labels, doesn't reject."""
+    scored = quality.quality_scores(docs.select(*COLUMNS), table(spark, sf_dir, "labels"))
+    return scored.where(F.col("__score") >= quality.THRESHOLD).select(*COLUMNS)
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of ten or more documents go. A document stays even when no line is left; n_chars follows its text."""
     kept = line_dedup.dedup_lines(docs.select(*COLUMNS))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
-STAGES = [("line dedup", dedup)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by sets of five-word shingles at 0.8 or more, the one with the smallest id stays.
+
+    Of rows that repeat an id one stays as well; documents without an id all stay.
+    """
+    docs = docs.select(*COLUMNS)
+    groups = jaccard_join.similar_documents(docs, width=5, share=(4, 5))
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+
+
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontaminate.decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents left, and their places in sequences of at most 2048 tokens."""
+    pieces = grouping_ga.token_pieces(docs, tokenizer_file("word_bpe_49k.json"))
+    return grouping_ga.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("line dedup", repeated_lines),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", no_benchmark),
+    ("best-fit packing", packed),
+]
 
+# The classifier learns and the packing searches, so SQL cannot express the rows.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = stored(docs, name.replace(" ", "-"))
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
