@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, grouping_ga, jaccard_join, line_dedup, quality, segment_topk, shard_packing, token_files
+from plumbline.llm import (
+    decontaminate, grouping_ga, html_consensus, jaccard_join, line_dedup, quality, segment_topk, shard_packing, token_files,
+)
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +25,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_consensus.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
 
@@ -64,6 +71,7 @@ def op10_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_consensus": op1_html_consensus,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_quality_classifier": op5_quality_classifier,
