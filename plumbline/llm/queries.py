@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import (
-    decontaminate, grouping_ga, html_consensus, jaccard_join, line_dedup, quality, segment_topk, shard_packing, token_files,
+    decontaminate, grouping_ga, html_consensus, jaccard_join, license_scan, line_dedup, quality, segment_topk, shard_packing,
+    token_files,
 )
 from plumbline.llm.common import table
 
@@ -39,6 +40,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouping_ga.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.quality_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", (quality.id_bucket(F.col("doc_id")) % 5 == 0).alias("held_out"), F.col("__score").alias("score"),
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op1_html_consensus": op1_html_consensus,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_license_scan": op4_license_scan,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_line_dedup": op6_line_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
