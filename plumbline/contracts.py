@@ -96,6 +96,8 @@ class Contract:
     count_tolerance_pct: float = 0.0
     null_drift_points: float = 5.0
     sum_drift_pct: float = 0.5
+    lost_values: int = 0
+    """Values per column that may be unreadable in an extract without stopping the run."""
     cdc: bool = True
     mask_personal: bool = False
     replicated: bool = False

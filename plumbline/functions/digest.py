@@ -28,7 +28,9 @@ def portable_text(name: str, kind: T.DataType) -> str:
     if isinstance(kind, T.BinaryType):
         return f"lower(hex({col}))"
     if isinstance(kind, T.TimestampType):
-        return f"cast(cast({col} as timestamp_ntz) as string)"
+        # The wall clock of UTC, so that the text does not depend on the session's zone.
+        micros = f"cast(unix_micros({col}) / 1000000BD as decimal(18,6))"
+        return f"cast(TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {micros}) as string)"
     return f"cast({col} as string)"
 
 
@@ -67,11 +69,29 @@ def lane_sum(lane_column: str) -> str:
 
 
 def fast_hash(df: DataFrame, columns: list[str]) -> str:
-    """SQL text of a 64-bit hash for comparisons inside Spark. NULL and its neighbours stay apart."""
-    parts = [f"isnull({quoted(c)}), {portable_text(c, df.schema[c].dataType)}" for c in columns]
+    """SQL text of a 64-bit hash for comparisons inside Spark. NULL and its neighbours stay apart.
+
+    Floats are hashed by their bits, not by their text, so the smallest difference counts.
+    """
+    parts = [
+        f"isnull({quoted(c)}), {quoted(c) if is_float(df.schema[c].dataType) else portable_text(c, df.schema[c].dataType)}"
+        for c in columns
+    ]
     return f"xxhash64({', '.join(parts)})"
 
 
+def is_float(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.DoubleType, T.FloatType))
+
+
+def exact_lane(df: DataFrame, columns: list[str]) -> str:
+    """SQL text of a third lane, for floats alone: what their portable text cuts off."""
+    floats = [c for c in columns if is_float(df.schema[c].dataType)]
+    if not floats:
+        return "0L"
+    return f"{fast_hash(df, floats)} & {2**56 - 1}L"
+
+
 def key_bucket(df: DataFrame, keys: list[str], buckets: int = BUCKETS) -> Column:
     prefix = f"substring(md5({row_text_sql(df, keys)}), 1, 8)"
     return F.expr(f"cast(cast(conv({prefix}, 16, 10) as bigint) % {buckets} as int)")

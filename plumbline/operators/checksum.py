@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.digest import BUCKETS, aligned, fast_hash, key_bucket, quoted
 from plumbline.operators.profile import bucket_profile
 
-COMPARED = ("n", "lane0", "lane1")
+COMPARED = ("n", "lane0", "lane1", "lane2")
 
 
 def bands_differ(left: str = "s", right: str = "t") -> Column:
@@ -57,7 +57,7 @@ def differing_rows(
 
     # Hashes are summed in integer pieces of at most 22 bits, which hold for 2^41 rows per key.
     row_pieces = ("shiftright(_row, 43)", "shiftright(_row, 21) & 4194303", "_row & 2097151")
-    column_pieces = ("shiftright({}, 42)", "shiftright({}, 20) & 4194303")
+    column_pieces = ("shiftright({}, 43)", "shiftright({}, 21) & 4194303", "{} & 2097151")
 
     def signed(df: DataFrame, sides: tuple[int, int], prefix: str) -> DataFrame:
         if only_buckets is not None:
@@ -91,7 +91,7 @@ def differing_rows(
         .when(F.col("source_count") != F.col("target_count"), "count_differs")
         .otherwise("values_differ")
     )
-    named = [f"if(_c{i}_0 <> 0 or _c{i}_1 <> 0, '{c}', null)" for i, c in enumerate(compared)]
+    named = [f"if(_c{i}_0 <> 0 or _c{i}_1 <> 0 or _c{i}_2 <> 0, '{c}', null)" for i, c in enumerate(compared)]
     changed = F.expr(f"concat_ws(',', {', '.join(named)})") if named else F.lit("")
     return reduced.select(
         *keys,

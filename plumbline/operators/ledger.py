@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from plumbline.operators.merge import latest_per_key
 
-STARTED, SUCCEEDED, FAILED = "STARTED", "SUCCEEDED", "FAILED"
+STARTED, SUCCEEDED, FAILED, ROLLED_BACK = "STARTED", "SUCCEEDED", "FAILED", "ROLLED_BACK"
 BATCH, WATERMARK = "batch", "watermark"
 ERROR_LENGTH = 1000
 EXPIRY_DAYS = 30
@@ -63,15 +63,16 @@ def to_process(work: DataFrame, entries: DataFrame, tie: list[str] | None = None
 
 
 def startable(work: DataFrame, entries: DataFrame, tie: list[str] | None = None) -> DataFrame:
-    """Work that has never started, or whose last attempt failed."""
-    taken = latest_status(entries, tie).filter(F.col("status") != FAILED).select("job", "name")
+    """Work that has never started, or whose last attempt failed or was rolled back."""
+    taken = latest_status(entries, tie).filter(~F.col("status").isin(FAILED, ROLLED_BACK)).select("job", "name")
     return work.join(taken, ["job", "name"], "left_anti")
 
 
-def watermarks(entries: DataFrame) -> DataFrame:
+def watermarks(entries: DataFrame, tie: Column | None = None) -> DataFrame:
     """Current watermark per (job, table)."""
+    when = F.struct("at", tie) if tie is not None else F.col("at")
     return entries.filter(F.col("kind") == WATERMARK).groupBy("job", "name").agg(
-        F.max_by("watermark", "at").alias("watermark"), F.max("at").alias("updated_at")
+        F.max_by("watermark", when).alias("watermark"), F.max("at").alias("updated_at")
     )
 
 

@@ -21,8 +21,10 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def delete_using(target: DataFrame, staged: DataFrame, keys: list[str]) -> DataFrame:
-    """Target rows whose key is not staged."""
-    return target.join(staged.select(*keys), keys, "left_anti").select(*target.columns)
+    """Target rows whose key is not staged. NULL in a key equals NULL."""
+    s = staged.select(*[F.col(k).alias(f"_staged_{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_staged_{i}")) for i, k in enumerate(keys)]
+    return target.join(s, same, "left_anti").select(*target.columns)
 
 
 def delete_insert(target: DataFrame, staged: DataFrame, keys: list[str]) -> DataFrame:
@@ -34,14 +36,14 @@ def delete_insert(target: DataFrame, staged: DataFrame, keys: list[str]) -> Data
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Insert new keys and replace known ones.
 
-    With ``order``, several changes of a key are reduced to the last one first. A table of keys
-    alone has nothing to update: known keys stay, new keys come once.
+    Several changes of a key are reduced to the last one by ``order``; without it, to the one with the
+    greatest values, so that a key never comes twice. A table of keys alone has nothing to update:
+    known keys stay, new keys come once.
     """
     if set(keys) == set(target.columns):
         fresh = changes.select(*target.columns).dropDuplicates(keys)
-        return target.unionByName(fresh.join(target.select(*keys), keys, "left_anti"))
-    if order:
-        changes = latest_per_key(changes, keys, order)
+        return target.unionByName(delete_using(fresh, target, keys))
+    changes = latest_per_key(changes, keys, order or [c for c in target.columns if c not in keys])
     return delete_insert(target, changes.select(*target.columns), keys)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.digest import BUCKETS, key_bucket, lane, lane_sum, quoted, row_text
+from plumbline.functions.digest import BUCKETS, exact_lane, key_bucket, lane, lane_sum, quoted, row_text
 
 SUM_TYPE = T.DecimalType(38, 6)
 
@@ -27,6 +27,15 @@ def summed(name: str, kind: T.DataType) -> str:
     return f"cast(sum({col}) as decimal(38,6))"
 
 
+def unsummed(name: str, kind: T.DataType) -> str | None:
+    """Sum, in floating point, of the values that ``summed`` leaves out as too large or no number."""
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return None
+    col = quoted(name)
+    value = f"try_cast({col} as double)"
+    return f"sum(if(try_cast({col} as decimal(28,6)) is null, {value}, null))"
+
+
 def bucket_profile(
     df: DataFrame,
     keys: list[str],
@@ -34,15 +43,22 @@ def bucket_profile(
     numeric: list[str],
     buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Rows ``(bucket, n, lane0, lane1, null_<column>…, sum_<column>…)``."""
+    """Rows ``(bucket, n, lane0, lane1, lane2, null_<column>…, sum_<column>…, rest_<column>…)``.
+
+    ``lane2`` and ``rest_`` are for comparisons inside Spark: the bits of floats, and the numbers that an exact
+    sum cannot hold.
+    """
     hashed = df.select(
         *dict.fromkeys([*columns, *numeric]),
         (key_bucket(df, keys, buckets) if keys else F.lit(0)).alias("bucket"),
         F.md5(row_text(df, columns)).alias("_md5"),
+        F.expr(exact_lane(df, columns)).alias("_lane2"),
     ).withColumns({f"_lane{i}": F.expr(lane("_md5", i)) for i in (0, 1)})
-    aggregates = ["count(1) as n", *[f"{lane_sum(f'_lane{i}')} as lane{i}" for i in (0, 1)]]
+    aggregates = ["count(1) as n", *[f"{lane_sum(f'_lane{i}')} as lane{i}" for i in (0, 1, 2)]]
     aggregates += [f"count_if({quoted(c)} is null) as {quoted(f'null_{c}')}" for c in columns]
     aggregates += [f"{summed(c, df.schema[c].dataType)} as {quoted(f'sum_{c}')}" for c in numeric]
+    rest = {c: unsummed(c, df.schema[c].dataType) or "cast(null as double)" for c in numeric}
+    aggregates += [f"{text if 'sum(' in text else f'max({text})'} as {quoted(f'rest_{c}')}" for c, text in rest.items()]
     return hashed.groupBy("bucket").agg(*[F.expr(a) for a in aggregates])
 
 

@@ -94,7 +94,7 @@ def paired_totals(
         for side in ("s", "t")
         for name in ["n", *[f"null_{c}" for c in columns]]
     ]
-    sums = [F.expr(f"sum({side}.`sum_{c}`) as `{side}_sum_{c}`") for side in ("s", "t") for c in numeric]
+    sums = [F.expr(f"sum({side}.`{part}_{c}`) as `{side}_{part}_{c}`") for side in ("s", "t") for part in ("sum", "rest") for c in numeric]
     return s.join(t, F.col("s.bucket") == F.col("t.bucket"), "full_outer").agg(
         *totals,
         *sums,
@@ -166,21 +166,25 @@ def checksum_layer(contract: Contract, buckets: int) -> Column:
 def sum_drift_entries(contract: Contract) -> Column:
     """Array of the numeric columns whose sum moved by more than the tolerance.
 
-    A zero source sum has no relative difference; any other target sum is then a drift.
+    A zero source sum has no relative difference; any other target sum is then a drift. Numbers that are too
+    large for an exact sum, and NaN, are summed apart and compared by the same rule.
     """
     entries = []
     for c in contract.numeric_columns:
         s, t = (f"cast(coalesce(`{side}_sum_{c}`, 0) as decimal(38,6))" for side in "st")
-        entries.append(f"named_struct('column', '{c}', 's', {s}, 't', {t})")
+        rs, rt = (f"coalesce(`{side}_rest_{c}`, 0D)" for side in "st")
+        entries.append(f"named_struct('column', '{c}', 's', {s}, 't', {t}, 'rs', {rs}, 'rt', {rt})")
     pct = "if(x.s = 0, null, cast(abs(x.s - x.t) as double) / cast(abs(x.s) as double) * 100.0D)"
+    rest_pct = "if(x.rs = 0D, null, abs(x.rs - x.rt) / abs(x.rs) * 100.0D)"
+    rest = f"(not (x.rs <=> x.rt) and if(x.rs = 0D, true, {rest_pct} > {contract.sum_drift_pct}D))"
     return F.expr(f"""
         transform(
-          filter(array({', '.join(entries)}), x -> if(x.s = 0, x.t <> 0, {pct} > {contract.sum_drift_pct}D)),
+          filter(array({', '.join(entries)}), x -> if(x.s = 0, x.t <> 0, {pct} > {contract.sum_drift_pct}D) or {rest}),
           x -> named_struct(
             'column', x.column,
-            'source_sum', cast(x.s as string),
-            'target_sum', cast(x.t as string),
-            'diff_pct', format_string('%.4f', {pct})))""")
+            'source_sum', if({rest}, cast(x.rs as string), cast(x.s as string)),
+            'target_sum', if({rest}, cast(x.rt as string), cast(x.t as string)),
+            'diff_pct', format_string('%.4f', if({rest}, {rest_pct}, {pct}))))""")
 
 
 def statistics_layer(contract: Contract) -> Column:

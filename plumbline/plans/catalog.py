@@ -679,7 +679,7 @@ def ledger_stuck(spark, sf):
 
 @query
 def ledger_watermark(spark, sf):
-    return ledger.watermarks(shaped.as_ledger(spark, sf)).select("job", "name", "updated_at")
+    return ledger.watermarks(shaped.as_ledger(spark, sf), F.col("seq")).select("job", "name", "watermark", "updated_at")
 
 
 def all_work(spark, sf):
@@ -962,9 +962,7 @@ def jdbc_hash_scan(spark, sf):
 @query
 def jdbc_key_range_scan(spark, sf):
     db = stored_suppliers(spark, sf, "sup_keys")
-    cuts = ["Supplier#000000030", "Supplier#000000060"]
-    names = f"CAST({db.name('s_name')} AS VARCHAR(100))"
-    return lower_names(jdbc.predicate_scan(spark, db, "sup_keys", jdbc.key_range_predicates(names, cuts)))
+    return lower_names(jdbc.scan(spark, db, "sup_keys", "s_name", 4))
 
 
 @query
@@ -1016,6 +1014,53 @@ def run_table(spark, sf):
     return run.target(MATERIAL, "operational").read().select(*MATERIAL.columns)
 
 
+@query
+def run_table_bad_values(spark, sf):
+    """A table with unreadable weights and unknown flags: what the run reports, and that it loads nothing."""
+    run = runs.Run(spark, scratch_dir(spark, "bad"), buckets=4)
+    weight = F.when(F.col("MATNR").cast("bigint") % 5 == 0, "heavy").otherwise(F.col("BRGEW"))
+    flag = F.when(F.col("MATNR").cast("bigint") % 7 == 0, "Z").otherwise(F.col("LVORM"))
+    raw = shaped.materials(spark, sf).withColumns({"BRGEW": weight, "LVORM": flag})
+    outcome = runs.run_table(run, MATERIAL, BATCH, lambda mark: raw, RUN_AT)
+    loaded = run.target(MATERIAL, "operational").read().count()
+    found = spark.read.json(f"{run.report(MATERIAL, BATCH)}/coercion")
+    return found.select(
+        F.get_json_object("evidence", "$.column_name").alias("column_name"), "status",
+        F.get_json_object("evidence", "$.lost_count").cast("bigint").alias("lost_count"),
+        F.lit(outcome.status).alias("outcome"), F.lit(loaded).cast("bigint").alias("loaded"))
+
+
+@query
+def run_rollback(spark, sf):
+    """Load, load a second batch, take it back, load it again: the rows, and what the ledger says."""
+    run = runs.Run(spark, scratch_dir(spark, "rollback"), buckets=4)
+    raw = shaped.vendors(spark, sf)
+    early = F.col("LIFNR").cast("bigint") % 2 == 0
+    runs.run_table(run, VENDOR, "first", lambda mark: raw.filter(early), RUN_AT)
+    runs.run_table(run, VENDOR, "second", lambda mark: raw.filter(~early), RUN_AT)
+    runs.roll_back(run, VENDOR, "second")
+    between = run.target(VENDOR, "operational").read().count()
+    runs.run_table(run, VENDOR, "second", lambda mark: raw.filter(~early), RUN_AT)
+    status = ledger.latest_status(run.ledger.entries(), TIE).select(F.col("name").alias("_batch_id"), "status")
+    rows = run.target(VENDOR, "operational").read().groupBy("_batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.join(status, "_batch_id").select(
+        F.col("_batch_id").alias("batch_id"), "n_rows", "status", F.lit(between).cast("bigint").alias("between"))
+
+
+@query
+def cdc_new_checkpoint(spark, sf):
+    """The feed in two halves, each merged under a checkpoint of its own."""
+    root = scratch_dir(spark, "cdc-again")
+    schema = cdc.feed_schema(ACTIVITY, STORED)
+    silver = VersionedTable(spark, f"{root}/silver", cdc.silver_schema(ACTIVITY), ["user_id"], 4)
+    for i, part in enumerate(half_feeds(spark, sf)):
+        stored = part.withColumn("_dms_committed_at", F.col("_dms_committed_at").cast("timestamp"))
+        stored.write.mode("append").parquet(f"{root}/feed")
+        cdc.ingest_bronze(spark, f"{root}/feed", f"{root}/bronze", f"{root}/ckpt", schema).awaitTermination()
+        cdc.merge_silver(spark, f"{root}/bronze", silver, f"{root}/ckpt{i}", ACTIVITY, cdc.bronze_schema(schema)).awaitTermination()
+    return zoneless(merge.current_rows(silver.read()))
+
+
 @query
 def run_table_masked(spark, sf):
     run = runs.Run(spark, scratch_dir(spark, "run"), buckets=4)

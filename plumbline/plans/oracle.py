@@ -579,7 +579,7 @@ from ({NEWEST}) n join (select name, max("at") filter (status = 'STARTED') as st
 CASES["ledger_stuck"] = f"""
 select job, name, "at" from ({NEWEST}) where status = 'STARTED' and "at" < timestamp '2024-01-30 00:00:00'"""
 MARKS = "select 'load' as job, 'table' || (user_id % 40) as name, ts from events where event_type = 'click'"
-CASES["ledger_watermark"] = f"select job, name, max(ts) as updated_at from ({MARKS}) group by 1, 2"
+CASES["ledger_watermark"] = f"select job, name, max(ts)::varchar as watermark, max(ts) as updated_at from ({MARKS}) group by 1, 2"
 WORK = "select distinct 'load' as job, 'b' || (event_id // 3) as name from events"
 CASES["work_list"] = f"""
 select * from ({WORK}) where name not in (select name from ({NEWEST}) where status = 'SUCCEEDED')"""
@@ -686,6 +686,13 @@ CASES["run_many"] = " union all ".join(
     f"select 'batch-2026-04-21-{name}' as batch_id, count(*) as n_rows, 'SUCCEEDED' as status, count(*) as row_count from {table}"
     for name, table in (("MARA", "part"), ("KNA1", "customer"), ("LFA1", "supplier"))
 )
+CASES["run_table_bad_values"] = """
+select 'gross_weight' as column_name, 'FAILED' as status, count(*) filter (p_partkey % 5 = 0) as lost_count, 'FAILED' as outcome, 0::bigint as loaded from part
+union all select 'is_deletion_flag', 'WARNING', count(*) filter (p_partkey % 7 = 0), 'FAILED', 0 from part"""
+CASES["run_rollback"] = """
+select 'first' as batch_id, count(*) as n_rows, 'SUCCEEDED' as status, count(*) as "between" from supplier where s_suppkey % 2 = 0
+union all select 'second', count(*), 'SUCCEEDED', (select count(*) from supplier where s_suppkey % 2 = 0) from supplier where s_suppkey % 2 <> 0"""
+CASES["cdc_new_checkpoint"] = CASES["run_cdc"]
 CASES["run_reports"] = """
 select phase, layer, 'PASSED' as status
 from (select unnest(['post_extract', 'post_load_operational', 'post_load_analytical']) as phase),

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from plumbline.contracts import Contract
 from plumbline.operators import incremental, parity, pii, reconcile
-from plumbline.operators.transform import mask_personal, normalise, with_extract_audit, with_load_audit
+from plumbline.operators.transform import coercion_findings, mask_personal, normalise, with_extract_audit, with_load_audit
 from plumbline.sinks.files import write_batch, write_extract, write_report
 from plumbline.sinks.ledger import Ledger
 from plumbline.sinks.versioned import VersionedTable
@@ -78,6 +78,26 @@ def _gate(reports: dict[str, DataFrame], path: str) -> None:
         raise RuntimeError(f"reconciliation failed: {', '.join(failed)}")
 
 
+def _no_lost_values(raw: DataFrame, contract: Contract, path: str) -> None:
+    """Stop the run if values that were there could not be read as declared; the columns concerned are reported.
+
+    Both sides of the later checks are typed by the same code, so only the raw rows show such a loss. Where the
+    contract declares a default for what it does not know, the loss is a warning.
+    """
+    lost = coercion_findings(raw, contract).filter(F.col("lost_count") > contract.lost_values).orderBy("column_name").collect()
+    if not lost:
+        return
+    defaulted = [f.target for f in contract.data_fields if f.default_sql is not None]
+    status = F.when(F.col("column_name").isin(defaulted), reconcile.WARNING).otherwise(reconcile.FAILED)
+    report = raw.sparkSession.createDataFrame(lost, "column_name string, present_count long, lost_count long").select(
+        F.lit("coercion").alias("phase"), F.lit(reconcile.LAYERS[1]).alias("layer"), status.alias("status"),
+        F.concat(F.col("lost_count").cast("string"), F.lit(" unreadable value(s) in "), F.col("column_name")).alias("message"),
+        F.to_json(F.struct("column_name", "present_count", "lost_count")).alias("evidence"))
+    write_report(report, path)
+    if stopping := [r["column_name"] for r in lost if r["column_name"] not in defaulted]:
+        raise RuntimeError(f"unreadable values: {', '.join(stopping)}")
+
+
 def _load_and_check(run: Run, contract: Contract, batch_id: str, typed: DataFrame, at: datetime) -> None:
     """Load both targets and compare them with what was staged; on any failure put both back."""
     operational = run.target(contract, "operational")
@@ -119,7 +139,10 @@ def run_table(
     """
     at = at or datetime.now(timezone.utc)
     ledger = run.ledger
-    if not ledger.start(run.job, batch_id, at=at):
+    if problems := contract.problems():
+        return Outcome(contract.table, batch_id, "FAILED", detail="; ".join(problems))
+    # The ledger has a clock of its own; ``at`` is the time the rows are labelled with.
+    if not ledger.start(run.job, batch_id):
         return Outcome(contract.table, batch_id, "SKIPPED")
     try:
         mark = ledger.watermark(run.job, contract.fqn) if contract.strategy == "incremental_merge" else None
@@ -127,6 +150,7 @@ def run_table(
             with_extract_audit(source(mark), contract, at), contract, run.raw(contract, batch_id), at
         )
         raw = read_batch(run.spark, written.path)
+        _no_lost_values(raw, contract, f"{run.report(contract, batch_id)}/coercion")
         # The checks compare in target form: raw text and typed rows never match byte for byte.
         staged = write_batch(normalise(raw, contract), run.staged(contract, batch_id))
         typed = read_batch(run.spark, staged.path)
@@ -141,6 +165,17 @@ def run_table(
         return Outcome(contract.table, batch_id, "FAILED", detail=str(error))
 
 
+def roll_back(run: Run, contract: Contract, batch_id: str) -> str | None:
+    """Take one load back: its rows leave both targets, the ledger says so, and the watermark returns to where it was.
+
+    The batch may then run again. Gives the watermark.
+    """
+    attempt = uuid.uuid4().hex[:8]
+    for side in ("operational", "analytical"):
+        run.target(contract, side).delete_batch(batch_id, f"rollback-{batch_id}#{attempt}")
+    return run.ledger.rolled_back(run.job, batch_id, contract.fqn)
+
+
 def run_many(run: Run, work: list[tuple[Contract, str, Callable[[str | None], DataFrame]]]) -> list[Outcome]:
     """Several tables, four at a time. Spark shares the executors among their jobs."""
     with ThreadPoolExecutor(MAX_CONCURRENT_TABLES) as pool:

@@ -54,3 +54,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already. The file system decides between two that try at once."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(hadoop_path)

@@ -1,17 +1,27 @@
-"""Writer side of the run ledger: entries are appended, never changed. One driver is assumed to write."""
+"""Writer side of the run ledger: entries are appended, never changed.
+
+All entries carry one clock, the writer's, and a sequence that decides between equal times. A batch is
+started by creating a marker file that must not exist, so of two drivers one wins.
+"""
 
 from __future__ import annotations
 
+import time
 import uuid
 from datetime import datetime, timezone
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.operators.ledger import (
-    BATCH, ERROR_LENGTH, FAILED, SCHEMA, STARTED, SUCCEEDED, WATERMARK, latest_status, unexpired, watermarks,
+    BATCH, ERROR_LENGTH, FAILED, ROLLED_BACK, SCHEMA, STARTED, SUCCEEDED, WATERMARK, latest_status, unexpired, watermarks,
 )
-from plumbline.session import path_exists
+from plumbline.session import create_file, path_exists
+
+STORED = T.StructType([*SCHEMA.fields, T.StructField("seq", T.LongType())])
+TIE = ["seq"]
 
 
 def _now() -> datetime:
@@ -22,7 +32,11 @@ def _batch(job: str, batch_id: str, status: str, at, row_count=None, error: str
     return (BATCH, job, batch_id, status, at or _now(), row_count, error and error[:ERROR_LENGTH], None)
 
 
-def _mark(job: str, table: str, watermark: str, at) -> tuple:
+def _file_name(text: str) -> str:
+    return quote(text, safe="")
+
+
+def _mark(job: str, table: str, watermark: str | None, at) -> tuple:
     return (WATERMARK, job, table, None, at or _now(), None, None, watermark)
 
 
@@ -33,25 +47,35 @@ class Ledger:
 
     def entries(self) -> DataFrame:
         if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).json(f"{self.path}/*")
+            return self.spark.createDataFrame([], STORED)
+        return self.spark.read.schema(STORED).json(f"{self.path}/*")
 
     def _append(self, *rows: tuple) -> None:
         # A folder per entry: runs of several tables may write at the same time.
         entry = f"{self.path}/{uuid.uuid4().hex}"
-        self.spark.createDataFrame(list(rows), SCHEMA).coalesce(1).write.json(entry)
+        stamp = time.time_ns()
+        stamped = [(*row, stamp + i) for i, row in enumerate(rows)]
+        self.spark.createDataFrame(stamped, STORED).coalesce(1).write.json(entry)
 
     def _status(self, job: str, batch_id: str) -> str | None:
         mine = self.entries().filter((F.col("job") == job) & (F.col("name") == batch_id))
-        row = latest_status(mine).first()
+        row = latest_status(mine, TIE).first()
         return row and row["status"]
 
+    def _attempts(self, job: str, batch_id: str) -> int:
+        """Attempts that are over: failed, or rolled back."""
+        mine = (F.col("kind") == BATCH) & (F.col("job") == job) & (F.col("name") == batch_id)
+        return self.entries().filter(mine & F.col("status").isin(FAILED, ROLLED_BACK)).count()
+
     def is_processed(self, job: str, batch_id: str) -> bool:
         return self._status(job, batch_id) == SUCCEEDED
 
     def start(self, job: str, batch_id: str, at=None) -> bool:
         """False if the batch is under way or done."""
-        if self._status(job, batch_id) not in (None, FAILED):
+        if self._status(job, batch_id) not in (None, FAILED, ROLLED_BACK):
+            return False
+        marker = f"{self.path}-starts/{_file_name(job)}/{_file_name(batch_id)}-{self._attempts(job, batch_id)}"
+        if not create_file(self.spark, marker):
             return False
         self._append(_batch(job, batch_id, STARTED, at))
         return True
@@ -68,9 +92,26 @@ class Ledger:
     def fail(self, job: str, batch_id: str, error: str, at=None) -> None:
         self._append(_batch(job, batch_id, FAILED, at, 0, error))
 
+    def rolled_back(self, job: str, batch_id: str, table: str) -> str | None:
+        """Note that a batch was taken back, and set the table's watermark to what it was before. Gives that watermark."""
+        entries = self.entries().filter(F.col("job") == job)
+        done = entries.filter((F.col("kind") == BATCH) & (F.col("name") == batch_id) & (F.col("status") == SUCCEEDED))
+        row = done.agg(F.max(F.struct("at", "seq")).alias("t")).first()
+        marks = entries.filter((F.col("kind") == WATERMARK) & (F.col("name") == table))
+        before = None
+        if row["t"] is not None:
+            earlier = marks.filter(F.struct("at", "seq") < F.struct(F.lit(row["t"]["at"]), F.lit(row["t"]["seq"])))
+            found = watermarks(earlier, F.col("seq")).first()
+            before = found and found["watermark"]
+        rows = [_batch(job, batch_id, ROLLED_BACK, None)]
+        if not marks.isEmpty():
+            rows.append(_mark(job, table, before, None))
+        self._append(*rows)
+        return before
+
     def watermark(self, job: str, table: str) -> str | None:
         mine = self.entries().filter((F.col("job") == job) & (F.col("name") == table))
-        row = watermarks(mine).first()
+        row = watermarks(mine, F.col("seq")).first()
         return row and row["watermark"]
 
     def set_watermark(self, job: str, table: str, value: str, at=None) -> None:

@@ -3,11 +3,13 @@
 Rows are spread over hash buckets of the key. A commit rewrites only the buckets it touches, into a
 new folder, and appends one small log file that says which folder is now current for which bucket.
 Readers follow the log, so a half-written commit is never seen, and an old version is restored by
-logging its folders again. One writer per table is assumed.
+logging its folders again. One writer per table is assumed. The keys and the number of buckets are stored
+with the table; it cannot be opened with others.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,7 +26,11 @@ LOG_SCHEMA = T.StructType([
     T.StructField("bucket", T.IntegerType()),
     T.StructField("folder", T.LongType()),
     T.StructField("batch", T.StringType()),
+    # What a commit takes back: every commit after a version, or the rows of one batch.
+    T.StructField("restored", T.LongType()),
+    T.StructField("removed", T.StringType()),
 ])
+KEY_TEXT = "utc-1"
 BUCKET = "_bucket"
 
 
@@ -44,6 +50,24 @@ class VersionedTable:
         self.schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
         self.keys = keys
         self.buckets = buckets
+        self._check_layout()
+
+    @property
+    def _layout(self) -> dict:
+        return {"keys": list(self.keys), "buckets": self.buckets, "key_text": KEY_TEXT}
+
+    def _check_layout(self) -> None:
+        path = f"{self.path}/layout"
+        if not path_exists(self.spark, path):
+            return
+        stored = self.spark.read.schema("keys array<string>, buckets int, key_text string").json(path).first()
+        if stored is not None and stored.asDict() != self._layout:
+            raise ValueError(f"{self.path} is laid out by {stored.asDict()}, not by {self._layout}")
+
+    def _store_layout(self) -> None:
+        if not path_exists(self.spark, f"{self.path}/layout"):
+            rows = self.spark.createDataFrame([tuple(self._layout.values())], "keys array<string>, buckets int, key_text string")
+            rows.coalesce(1).write.json(f"{self.path}/layout")
 
     def log(self) -> DataFrame:
         if not path_exists(self.spark, f"{self.path}/log"):
@@ -51,19 +75,29 @@ class VersionedTable:
         return self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/log")
 
     def snapshot(self, version: int | None = None, batch: str | None = None) -> Snapshot:
-        """State of the log at a version: one job, one row per bucket collected."""
+        """State of the log at a version: one row per bucket collected, and the commits that concern the batch.
+
+        A batch counts as seen only while no later commit has taken it back.
+        """
         log = self.log()
         if version is not None:
             log = log.filter(F.col("version") <= version)
         rows = log.groupBy("bucket").agg(
             F.max_by("folder", "version").alias("folder"),
             F.max("version").alias("version"),
-            F.coalesce(F.max(F.col("batch") == F.lit(batch)), F.lit(False)).alias("seen"),
         ).collect()
+        seen = None
+        if batch is not None:
+            concerned = (F.col("batch") == batch) | (F.col("removed") == batch) | F.col("restored").isNotNull()
+            for r in log.filter(concerned).select("version", "batch", "restored", "removed").distinct().orderBy("version").collect():
+                if r["batch"] == batch:
+                    seen = r["version"]
+                elif seen is not None and (r["removed"] == batch or (r["restored"] is not None and r["restored"] < seen)):
+                    seen = None
         return Snapshot(
             version=max((r["version"] for r in rows), default=0),
             live={r["bucket"]: r["folder"] for r in rows if r["bucket"] is not None and r["folder"] is not None},
-            has_batch=any(r["seen"] for r in rows),
+            has_batch=seen is not None,
         )
 
     def version(self) -> int:
@@ -85,14 +119,15 @@ class VersionedTable:
             parts.append(part.filter(F.col(BUCKET).isin(members)).drop(BUCKET))
         return reduce(DataFrame.unionByName, parts)
 
-    def _commit(self, df: DataFrame, batch: str, version: int, touched: list[int]) -> int:
+    def _commit(self, df: DataFrame, batch: str, version: int, touched: list[int], removed: str | None = None) -> int:
         """Write the full new content of the touched buckets and log it."""
+        self._store_layout()
         rows = df.select(*self.schema.names).withColumn(BUCKET, key_bucket(df, self.keys, self.buckets))
         # Rebalance puts a bucket's rows together, and cuts large buckets into several files.
         rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
             f"{self.path}/data/v={version}"
         )
-        self._append_log([(version, b, version, batch) for b in touched])
+        self._append_log([(version, b, version, batch, None, removed) for b in touched])
         return version
 
     def _append_log(self, rows: list[tuple]) -> None:
@@ -103,35 +138,43 @@ class VersionedTable:
         bucket = key_bucket(df, self.keys, self.buckets).alias(BUCKET)
         return [r[0] for r in df.select(bucket).distinct().collect()]
 
-    def _rewrite(self, changes: DataFrame, batch: str, change) -> int | None:
+    def _staged(self, changes: DataFrame) -> DataFrame:
+        """The changes, written once: which buckets they touch and what goes there must be the same rows."""
+        path = f"{self.path}/staged/{uuid.uuid4().hex}"
+        changes.write.parquet(path)
+        return self.spark.read.schema(changes.schema).parquet(path)
+
+    def _rewrite(self, changes: DataFrame, batch: str, change, removed: str | None = None) -> int | None:
         now = self.snapshot(batch=batch)
         if now.has_batch:
             return None
+        changes = self._staged(changes)
         touched = self._touched(changes)
         if not touched:
-            self._append_log([(now.version + 1, None, None, batch)])
+            self._append_log([(now.version + 1, None, None, batch, None, removed)])
             return None
         old = self._rows({b: f for b, f in now.live.items() if b in set(touched)})
-        return self._commit(change(old), batch, now.version + 1, touched)
+        return self._commit(change(old, changes), batch, now.version + 1, touched, removed)
 
     def apply(self, versions: DataFrame, order: list[str], batch: str) -> int | None:
         """Keep the newest version per key. A batch that was already applied is skipped."""
-        return self._rewrite(versions, batch, lambda old: apply_changes(old, versions, self.keys, order))
+        return self._rewrite(versions, batch, lambda old, new: apply_changes(old, new, self.keys, order))
 
     def upsert(self, rows: DataFrame, batch: str, order: list[str] | None = None) -> int | None:
-        return self._rewrite(rows, batch, lambda old: upsert(old, rows, self.keys, order))
+        """A batch that is in the table already is skipped."""
+        return self._rewrite(rows, batch, lambda old, new: upsert(old, new, self.keys, order))
 
     def delete_insert(self, rows: DataFrame, batch: str) -> int | None:
-        return self._rewrite(rows, batch, lambda old: delete_insert(old, rows, self.keys))
+        return self._rewrite(rows, batch, lambda old, new: delete_insert(old, new, self.keys))
 
     def delete_batch(self, batch_id: str, batch: str) -> int | None:
-        """Remove the rows of one load."""
+        """Remove the rows of one load. The load may then come again."""
         mine = F.col("_batch_id").eqNullSafe(F.lit(batch_id))
-        return self._rewrite(self.read().filter(mine), batch, lambda old: old.filter(~mine))
+        return self._rewrite(self.read().filter(mine), batch, lambda old, _: old.filter(~mine), removed=batch_id)
 
     def restore(self, version: int, batch: str) -> int:
         """Make an older version current again. Buckets it did not have become empty."""
         then, now = self.snapshot(version), self.snapshot()
         new = now.version + 1
-        self._append_log([(new, b, then.live.get(b), batch) for b in sorted(set(then.live) | set(now.live))])
+        self._append_log([(new, b, then.live.get(b), batch, version, None) for b in sorted(set(then.live) | set(now.live))])
         return new

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,13 +95,19 @@ def _each_batch(
     )
 
 
+def batch_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """A micro-batch by its number and its stream. A new checkpoint is another stream, and counts from 0 again."""
+    stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    return f"{stream}-{batch_id}"
+
+
 def merge_silver(
     spark: SparkSession, bronze_dir: str, silver: VersionedTable, checkpoint: str, contract: Contract,
     schema: T.StructType, max_files: int | None = None,
 ) -> StreamingQuery:
     """Merge new bronze events into silver. A replayed micro-batch is recognised and skipped."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        silver.apply(versions_of(batch, contract), ORDER, f"stream-{batch_id}")
+        silver.apply(versions_of(batch, contract), ORDER, batch_name(spark, f"{checkpoint}/silver", batch_id))
 
     return _each_batch(spark, bronze_dir, f"{checkpoint}/silver", schema, write, max_files)
 
@@ -115,8 +122,8 @@ def feed_targets(
     repeats only the missing one.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        versions = versions_of(batch, contract)
-        operational.apply(versions, ORDER, f"stream-{batch_id}")
-        analytical.apply(mask_personal(versions, contract), ORDER, f"stream-{batch_id}")
+        versions, name = versions_of(batch, contract), batch_name(spark, f"{checkpoint}/targets", batch_id)
+        operational.apply(versions, ORDER, name)
+        analytical.apply(mask_personal(versions, contract), ORDER, name)
 
     return _each_batch(spark, bronze_dir, f"{checkpoint}/targets", schema, write, max_files)

@@ -174,3 +174,48 @@ def test_half_written_commit_is_not_seen(spark, folder, target, changes):
     assert rows(table.read()) == rows(target)
     table.upsert(changes, "b2")
     assert rows(table.read()) == [(1, "a"), (2, "B"), (3, "c"), (4, "D")]
+
+
+def test_null_keys_and_repeated_keys(spark, target):
+    null_key = spark.createDataFrame([(None, "x")], SCHEMA)
+    once = merge.delete_insert(target, null_key, ["k"])
+    assert rows(merge.delete_insert(once, null_key, ["k"]).na.fill({"k": -1})) == rows(once.na.fill({"k": -1}))
+    repeated = spark.createDataFrame([(2, "B"), (2, "C"), (9, "D"), (9, "D")], SCHEMA)
+    got = merge.upsert(target, repeated, ["k"])
+    assert [r for r in rows(got) if r[0] in (2, 9)] == [(2, "C"), (9, "D")]
+
+
+def test_another_layout_is_refused(spark, folder, target):
+    VersionedTable(spark, folder, target.schema, ["k"], buckets=4).upsert(target, "b1")
+    with pytest.raises(ValueError, match="laid out"):
+        VersionedTable(spark, folder, target.schema, ["k"], buckets=8)
+    with pytest.raises(ValueError, match="laid out"):
+        VersionedTable(spark, folder, target.schema, ["v"], buckets=4)
+
+
+def test_a_batch_taken_back_may_come_again(spark, folder, target):
+    schema = T.StructType.fromDDL(SCHEMA + ", _batch_id string")
+    table = VersionedTable(spark, folder, schema, ["k"], buckets=2)
+    load = target.withColumn("_batch_id", F.lit("b1"))
+    first = table.upsert(load, "b1")
+    assert table.upsert(load, "b1") is None
+    table.delete_batch("b1", "undo")
+    assert table.upsert(load, "b1") is not None and table.read().count() == target.count()
+    later = table.upsert(load.withColumn("v", F.lit("z")), "b2")
+    table.restore(first, "undo-b2")
+    assert table.upsert(load.withColumn("v", F.lit("z")), "b2") > later
+
+
+def test_key_text_does_not_depend_on_the_zone(spark):
+    from plumbline.functions.digest import key_bucket
+
+    df = spark.sql("select timestamp_micros(1700000000123456) as t")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    found = set()
+    try:
+        for name in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            found.add(df.select(key_bucket(df, ["t"], 1000)).first()[0])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert len(found) == 1

@@ -203,3 +203,14 @@ def test_shadow_differences(spark):
 def test_loaded_since(spark):
     df = spark.sql("select timestamp'2026-01-01' as _loaded_at union all select timestamp'2026-01-03'")
     assert reconcile.loaded_since(df, F.expr("timestamp'2026-01-02'")).count() == 1
+
+
+@pytest.mark.parametrize("change", ["v + 7e-13", "if(k = 3, 9e25D, v)", "if(k = 4, cast('NaN' as double), v)"])
+def test_small_large_and_no_numbers_are_seen(spark, change):
+    from plumbline.operators.checksum import checksum_bands, differing_rows
+
+    source = spark.range(20).selectExpr("id as k", "if(id = 3, 1e25D, id * 1e-12) as v")
+    target = source.selectExpr("k", f"{change} as v")
+    assert checksum_bands(source, target, ["k"], ["k", "v"]).filter("differs").count() > 0
+    assert {r["columns"] for r in differing_rows(source, target, ["k"], ["k", "v"]).collect()} == {"v"}
+    assert checksum_bands(source, source, ["k"], ["k", "v"]).filter("differs").count() == 0

@@ -140,3 +140,16 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("vend_a", "vend_b"):
             spark.sql(f"drop table if exists {name}")
+
+
+def test_text_keys_and_negative_keys(spark):
+    db = jdbc.derby("keys")
+    rows = spark.range(-60, 60).selectExpr("id as K", "concat('key-', lpad(cast(id + 60 as string), 4, '0')) as NAME").unionByName(
+        spark.sql("select 999L as K, cast(null as string) as NAME"))
+    sink_jdbc.write_table(rows, db, "keyed")
+    assert jdbc.hash_scan(spark, db, "keyed", "K", 4).count() == 121
+    by_name = jdbc.scan(spark, db, "keyed", "NAME", 4)
+    assert by_name.count() == 121
+    sizes = [r["n"] for r in by_name.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 4 and max(sizes) <= 32
+    assert jdbc.scan(spark, db, "keyed", "NAME", 4, '"K" > 1000').count() == 0
