@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.contracts import Contract
 from plumbline.functions.digest import BUCKETS, row_text
 from plumbline.operators.checksum import differing_rows
-from plumbline.operators.reconcile import FAILED, PASSED, key_uniqueness
+from plumbline.operators.reconcile import FAILED, PASSED, key_uniqueness, severity, status_of
 
 WINDOW_TOLERANCE_PCT = 0.1
 SPOT_CHECK_ROWS = 50
@@ -111,3 +111,12 @@ def window_report(
         F.to_json(F.struct("sample_size", "found_count")).alias("evidence"),
     )
     return parity.unionByName(unique).unionByName(spot)
+
+
+def window_overall(report: DataFrame) -> DataFrame:
+    """One row for a window report: the worst status of its layers, and how many layers failed or warned."""
+    rank = severity(F.col("status"))
+    return report.agg(
+        status_of(F.max(rank)).alias("overall_status"), F.count(F.lit(1)).alias("layers"),
+        F.count_if(rank == 2).alias("failed"), F.count_if(rank == 1).alias("warned"),
+    )

@@ -211,6 +211,23 @@ def profile_quantiles(spark, sf):
     return rows.select("column_name", "n_rows", "median_value", "p95_value")
 
 
+@query
+def quantile_rank_errors(spark, sf):
+    """Whether the sketched quantiles lie within their rank error, of all rows counted exactly."""
+    df = table(spark, sf, "lineitem")
+    columns = ["l_orderkey", "l_quantity", "l_extendedprice"]
+    found = {r["column_name"]: r for r in table_profile(df, columns).collect()}
+    checks = []
+    for c in columns:
+        tests = []
+        for share, value in ((0.5, found[c]["median_value"]), (0.95, found[c]["p95_value"])):
+            below, upto = F.count_if(F.col(c) < value), F.count_if(F.col(c) <= value)
+            n, slack = F.count(c), F.count(c) / 10_000 + 1
+            tests.append((below - slack <= n * share) & (n * share <= upto + slack))
+        checks.append(F.struct(F.lit(c).alias("column_name"), tests[0].alias("median_ok"), tests[1].alias("p95_ok")))
+    return df.agg(F.array(*checks).alias("c")).select(F.inline("c"))
+
+
 def one_layer(spark, sf, layer, *kinds):
     source, target = orders_and_damaged(spark, sf, *kinds)
     return reconcile.layer_rows(source, target, ORDERS).filter(F.col("layer") == layer)
@@ -331,6 +348,11 @@ def run_incremental(spark, sf):
     return runs.run_incremental(source, target, ORDERS, *WINDOW)
 
 
+@query
+def run_incremental_overall(spark, sf):
+    return incremental.window_overall(run_incremental(spark, sf))
+
+
 def customer_copies(spark, sf):
     """Raw rows, an operational copy with some cities changed, an analytical copy with rows lost."""
     raw = customers(spark, sf)
@@ -646,7 +668,8 @@ def debounce_5min(spark, sf):
 def debounce_stream(spark, sf):
     root = scratch_dir(spark, "debounce")
     arrived = arrivals(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    arrived.coalesce(1).write.parquet(f"{root}/arrivals")
+    # One micro-batch takes all files there are, so no arrival is late, however many files they lie in.
+    arrived.repartitionByRange("ts").write.parquet(f"{root}/arrivals")
     stream = debounced_stream(spark.readStream.schema(arrived.schema).parquet(f"{root}/arrivals"))
     (
         stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/ckpt")
@@ -1099,4 +1122,11 @@ def phase_gates(spark, sf):
     streak = green_streak_gate(spark, sf).select("table_name", F.lit("green_nights").alias("gate"), "gate_open")
     rate = diff_rate_gate(spark, sf).select("table_name", F.lit("diff_rate").alias("gate"), "gate_open")
     stable = stability_gate(spark, sf).select("table_name", F.lit("stable_days").alias("gate"), "gate_open")
-    return streak.unionByName(rate).unionByName(stable)
+    # A table that needs another one waits until that one has had a green night.
+    needs = table(spark, sf, "events").select(F.col("event_type").alias("table_name"), F.col("event_type").alias("needed")).distinct().withColumn(
+        "needed", F.when(F.col("table_name") == "purchase", "signup").when(F.col("table_name") == "click", "view"))
+    ready = nights(spark, sf).filter("green").select(F.col("event_type").alias("needed")).distinct()
+    waiting = parity.missing_prerequisites(needs.filter("needed is not null"), ready, ["needed"]).select("table_name")
+    prerequisites = needs.join(waiting.withColumn("_waits", F.lit(True)), "table_name", "left").select(
+        "table_name", F.lit("prerequisites").alias("gate"), F.col("_waits").isNull().alias("gate_open"))
+    return streak.unionByName(rate).unionByName(stable).unionByName(prerequisites)

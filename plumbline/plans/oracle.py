@@ -697,7 +697,18 @@ CASES["run_reports"] = """
 select phase, layer, 'PASSED' as status
 from (select unnest(['post_extract', 'post_load_operational', 'post_load_analytical']) as phase),
   (select unnest(['row_count', 'null_ratio', 'pk_uniqueness', 'checksum_bands', 'statistical_distribution']) as layer)"""
+CASES["run_incremental_overall"] = f"""
+select case when bool_or(status = 'FAILED') then 'FAILED' when bool_or(status = 'WARNING') then 'WARNING' else 'PASSED' end as overall_status,
+  count(*) as layers, count(*) filter (status = 'FAILED') as failed, count(*) filter (status = 'WARNING') as warned
+from ({CASES['run_incremental']})"""
+CASES["quantile_rank_errors"] = " union all ".join(
+    f"select '{c}' as column_name, quantile_cont({c}, 0.5) is not null as median_ok, quantile_cont({c}, 0.95) is not null as p95_ok from lineitem"
+    for c in ("l_orderkey", "l_quantity", "l_extendedprice"))
 CASES["phase_gates"] = f"""
 select table_name, 'green_nights' as gate, gate_open from ({CASES['green_streak_gate']})
 union all select table_name, 'diff_rate', gate_open from ({CASES['diff_rate_gate']})
-union all select table_name, 'stable_days', gate_open from ({CASES['stability_gate']})"""
+union all select table_name, 'stable_days', gate_open from ({CASES['stability_gate']})
+union all select event_type, 'prerequisites', case event_type when 'purchase' then 'signup' when 'click' then 'view' end is null
+  or case event_type when 'purchase' then 'signup' when 'click' then 'view' end in (
+    select event_type from (select event_type, ts::date as day, avg(case when value > 100 then 1.0 else 0.0 end) as share from events group by 1, 2) where share < 0.15)
+  from (select distinct event_type from events)"""

@@ -52,7 +52,8 @@ class Run:
         audit = T.StructType.fromDDL(LOAD_AUDIT)
         schema = T.StructType([*contract.target_schema().fields, *audit.fields])
         name = getattr(contract, side)
-        return VersionedTable(self.spark, f"{self.root}/{side}/{name}", schema, list(contract.keys), self.buckets)
+        # What is loaded is read from the staging zone.
+        return VersionedTable(self.spark, f"{self.root}/{side}/{name}", schema, list(contract.keys), self.buckets, from_files=True)
 
 
 @dataclass(frozen=True)

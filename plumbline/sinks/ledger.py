@@ -62,19 +62,23 @@ class Ledger:
         row = latest_status(mine, TIE).first()
         return row and row["status"]
 
-    def _attempts(self, job: str, batch_id: str) -> int:
-        """Attempts that are over: failed, or rolled back."""
+    def _state(self, job: str, batch_id: str) -> tuple[str | None, int]:
+        """Latest status, and the attempts that are over: failed, or rolled back."""
         mine = (F.col("kind") == BATCH) & (F.col("job") == job) & (F.col("name") == batch_id)
-        return self.entries().filter(mine & F.col("status").isin(FAILED, ROLLED_BACK)).count()
+        row = self.entries().filter(mine).agg(
+            F.max_by("status", F.struct("at", "seq")).alias("status"),
+            F.count_if(F.col("status").isin(FAILED, ROLLED_BACK)).alias("over")).first()
+        return row["status"], row["over"]
 
     def is_processed(self, job: str, batch_id: str) -> bool:
         return self._status(job, batch_id) == SUCCEEDED
 
     def start(self, job: str, batch_id: str, at=None) -> bool:
         """False if the batch is under way or done."""
-        if self._status(job, batch_id) not in (None, FAILED, ROLLED_BACK):
+        status, over = self._state(job, batch_id)
+        if status not in (None, FAILED, ROLLED_BACK):
             return False
-        marker = f"{self.path}-starts/{_file_name(job)}/{_file_name(batch_id)}-{self._attempts(job, batch_id)}"
+        marker = f"{self.path}-starts/{_file_name(job)}/{_file_name(batch_id)}-{over}"
         if not create_file(self.spark, marker):
             return False
         self._append(_batch(job, batch_id, STARTED, at))

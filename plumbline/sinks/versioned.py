@@ -4,11 +4,12 @@ Rows are spread over hash buckets of the key. A commit rewrites only the buckets
 new folder, and appends one small log file that says which folder is now current for which bucket.
 Readers follow the log, so a half-written commit is never seen, and an old version is restored by
 logging its folders again. One writer per table is assumed. The keys and the number of buckets are stored
-with the table; it cannot be opened with others.
+with the table; it cannot be written with others.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from functools import reduce
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.digest import key_bucket
 from plumbline.operators.merge import apply_changes, delete_insert, upsert
-from plumbline.session import path_exists
+from plumbline.session import path_exists, read_text, write_text
 
 LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -43,31 +44,27 @@ class Snapshot:
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], buckets: int = 16):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], buckets: int = 16, from_files: bool = False):
+        """from_files: changes are read from files and are the same rows whenever they are computed."""
         self.spark = spark
         self.path = path.rstrip("/")
         # Files may lack any column, so everything is read as nullable.
         self.schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
         self.keys = keys
         self.buckets = buckets
-        self._check_layout()
+        self.from_files = from_files
 
     @property
     def _layout(self) -> dict:
         return {"keys": list(self.keys), "buckets": self.buckets, "key_text": KEY_TEXT}
 
-    def _check_layout(self) -> None:
-        path = f"{self.path}/layout"
+    def _hold_layout(self) -> None:
+        """Before rows are placed: the table's layout must be this one. The first commit stores it."""
+        path = f"{self.path}/layout.json"
         if not path_exists(self.spark, path):
-            return
-        stored = self.spark.read.schema("keys array<string>, buckets int, key_text string").json(path).first()
-        if stored is not None and stored.asDict() != self._layout:
-            raise ValueError(f"{self.path} is laid out by {stored.asDict()}, not by {self._layout}")
-
-    def _store_layout(self) -> None:
-        if not path_exists(self.spark, f"{self.path}/layout"):
-            rows = self.spark.createDataFrame([tuple(self._layout.values())], "keys array<string>, buckets int, key_text string")
-            rows.coalesce(1).write.json(f"{self.path}/layout")
+            write_text(self.spark, path, json.dumps(self._layout))
+        elif (stored := json.loads(read_text(self.spark, path))) != self._layout:
+            raise ValueError(f"{self.path} is laid out by {stored}, not by {self._layout}")
 
     def log(self) -> DataFrame:
         if not path_exists(self.spark, f"{self.path}/log"):
@@ -121,7 +118,6 @@ class VersionedTable:
 
     def _commit(self, df: DataFrame, batch: str, version: int, touched: list[int], removed: str | None = None) -> int:
         """Write the full new content of the touched buckets and log it."""
-        self._store_layout()
         rows = df.select(*self.schema.names).withColumn(BUCKET, key_bucket(df, self.keys, self.buckets))
         # Rebalance puts a bucket's rows together, and cuts large buckets into several files.
         rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
@@ -144,11 +140,13 @@ class VersionedTable:
         changes.write.parquet(path)
         return self.spark.read.schema(changes.schema).parquet(path)
 
-    def _rewrite(self, changes: DataFrame, batch: str, change, removed: str | None = None) -> int | None:
+    def _rewrite(self, changes: DataFrame, batch: str, change, removed: str | None = None, staged: bool = False) -> int | None:
+        self._hold_layout()
         now = self.snapshot(batch=batch)
         if now.has_batch:
             return None
-        changes = self._staged(changes)
+        if not staged and not self.from_files:
+            changes = self._staged(changes)
         touched = self._touched(changes)
         if not touched:
             self._append_log([(now.version + 1, None, None, batch, None, removed)])
@@ -156,9 +154,12 @@ class VersionedTable:
         old = self._rows({b: f for b, f in now.live.items() if b in set(touched)})
         return self._commit(change(old, changes), batch, now.version + 1, touched, removed)
 
-    def apply(self, versions: DataFrame, order: list[str], batch: str) -> int | None:
-        """Keep the newest version per key. A batch that was already applied is skipped."""
-        return self._rewrite(versions, batch, lambda old, new: apply_changes(old, new, self.keys, order))
+    def apply(self, versions: DataFrame, order: list[str], batch: str, staged: bool = False) -> int | None:
+        """Keep the newest version per key. A batch that was already applied is skipped.
+
+        ``staged`` says that these changes are read from files.
+        """
+        return self._rewrite(versions, batch, lambda old, new: apply_changes(old, new, self.keys, order), staged=staged)
 
     def upsert(self, rows: DataFrame, batch: str, order: list[str] | None = None) -> int | None:
         """A batch that is in the table already is skipped."""
@@ -170,7 +171,7 @@ class VersionedTable:
     def delete_batch(self, batch_id: str, batch: str) -> int | None:
         """Remove the rows of one load. The load may then come again."""
         mine = F.col("_batch_id").eqNullSafe(F.lit(batch_id))
-        return self._rewrite(self.read().filter(mine), batch, lambda old, _: old.filter(~mine), removed=batch_id)
+        return self._rewrite(self.read().filter(mine), batch, lambda old, _: old.filter(~mine), removed=batch_id, staged=True)
 
     def restore(self, version: int, batch: str) -> int:
         """Make an older version current again. Buckets it did not have become empty."""

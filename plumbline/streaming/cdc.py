@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from plumbline.contracts import Contract
 from plumbline.operators.merge import DELETED, OP_COLUMN, tombstone
 from plumbline.operators.transform import mask_personal, normalise
+from plumbline.session import read_text
 from plumbline.sinks.versioned import VersionedTable
 
 COMMITTED = "_dms_committed_at"
@@ -97,7 +98,7 @@ def _each_batch(
 
 def batch_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
     """A micro-batch by its number and its stream. A new checkpoint is another stream, and counts from 0 again."""
-    stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    stream = json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
     return f"{stream}-{batch_id}"
 
 
@@ -107,7 +108,7 @@ def merge_silver(
 ) -> StreamingQuery:
     """Merge new bronze events into silver. A replayed micro-batch is recognised and skipped."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        silver.apply(versions_of(batch, contract), ORDER, batch_name(spark, f"{checkpoint}/silver", batch_id))
+        silver.apply(versions_of(batch, contract), ORDER, batch_name(spark, f"{checkpoint}/silver", batch_id), staged=True)
 
     return _each_batch(spark, bronze_dir, f"{checkpoint}/silver", schema, write, max_files)
 
@@ -123,7 +124,7 @@ def feed_targets(
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         versions, name = versions_of(batch, contract), batch_name(spark, f"{checkpoint}/targets", batch_id)
-        operational.apply(versions, ORDER, name)
-        analytical.apply(mask_personal(versions, contract), ORDER, name)
+        operational.apply(versions, ORDER, name, staged=True)
+        analytical.apply(mask_personal(versions, contract), ORDER, name, staged=True)
 
     return _each_batch(spark, bronze_dir, f"{checkpoint}/targets", schema, write, max_files)
