@@ -41,7 +41,8 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.withColumn("score", F.round("score", 6))
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +91,42 @@ QUERIES: dict[str, Query] = {
 
 _KEY = "translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _license_sql() -> str:
+    """Every place of every key phrase, and the IDF share of its notice's words that stand around it."""
+    text = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    notices = ", ".join(
+        f"({t}, '{label}', {text(notice.split())}, {text(key.split())}, {license_scan.key_start(notice, key)})"
+        for t, (label, notice, key) in enumerate(license_scan.TEMPLATES))
+    phrases = ", ".join(f"('{label}', {text(phrase.split())})" for phrase, label in license_scan.BASE)
+    places = "range(1, len(w) - len(key) + 2)"
+    return f"""
+        with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
+             t(t, label, notice, key, at_word) as (values {notices}),
+             b(label, key) as (values {phrases}),
+             n as (select count(*) as n from d),
+             idf as (select v.word, ln((n.n + 1) / (coalesce(c.c, 0) + 1)) + 0.001 as idf
+                     from (select distinct unnest(notice) as word from t) v cross join n
+                     left join (select word, count(*) as c from (select doc_id, unnest(list_distinct(w)) as word from d) group by word) c on v.word = c.word),
+             base as (select doc_id, label, p - 1 as p from (select doc_id, w, key, label, unnest({places}) as p
+                      from d join b on list_contains(w, key[1]) and list_contains(w, key[2])) where w[p : p + len(key) - 1] = key),
+             hit as (select doc_id, w, t, label, notice, p - at_word as o from (select doc_id, w, t, label, notice, key, at_word, unnest({places}) as p
+                     from d join t on list_contains(w, key[1]) and list_contains(w, key[2])) where w[p : p + len(key) - 1] = key),
+             word as (select doc_id, t, label, o, notice[j] as word, o + j - 1 >= 1 and coalesce(w[greatest(o + j - 1, 1)] = notice[j], false) as same
+                      from (select *, unnest(range(1, len(notice) + 1)) as j from hit)),
+             held as (select doc_id, t, label, o, sum(idf) filter (same) / sum(idf) as s from word join idf using (word) group by all),
+             bs as (select doc_id, count(*) as n_base, min(p) as first_word, max(p) as last_word, string_agg(distinct label, ',' order by label) as base_labels
+                    from base group by doc_id),
+             ls as (select doc_id, string_agg(distinct label, ',' order by label) as labels
+                    from (select doc_id, label from base union all select doc_id, label from held) group by doc_id),
+             ss as (select doc_id, max(s) as s from held group by doc_id)
+        select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
+               coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, round(least(1.0, coalesce(s, 0))::double, 6) as score
+        from d left join bs using (doc_id) left join ls using (doc_id) left join ss using (doc_id)"""
+
+
 CASES: dict[str, str] = {
+    "op4_license_scan": _license_sql(),
     "op6_line_dedup": f"""
         with d as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
                           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos from documents),
