@@ -9,8 +9,6 @@ highest. What is placed is bounded by the parameters, not by the corpus.
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,21 +52,28 @@ def place(loads: np.ndarray, shards: int) -> np.ndarray:
 
 
 def level(load: np.ndarray, found: np.ndarray, shards: int) -> np.ndarray:
-    """Moves items from the fullest to the emptiest shard while that brings the two closer."""
+    """Moves an item from the fullest to the emptiest shard, or swaps two, while that brings the two closer."""
     totals = np.bincount(found, weights=load, minlength=shards)
-    held = {s: sorted((float(load[i]), int(i)) for i in np.flatnonzero(found == s)) for s in range(shards)}
     for _ in range(20 * shards):
         top, low = int(np.argmax(totals)), int(np.argmin(totals))
         gap = totals[top] - totals[low]
-        options = [x for x in held[top] if 0 < x[0] < gap]
-        if not options:
+        high_items, low_items = np.flatnonzero(found == top), np.flatnonzero(found == low)
+        if gap <= 0 or not len(high_items):
+            break
+        # What the fuller one gives, less what it gets back (nothing, or an item), should be half the gap.
+        back = np.r_[0.0, load[low_items]]
+        order = np.argsort(back, kind="stable")
+        at = np.clip(np.searchsorted(back[order], load[high_items] - gap / 2), 1, len(back) - 1) if len(back) > 1 else np.zeros(len(high_items), int)
+        choices = [(abs(load[h] - back[order[j]] - gap / 2), int(h), int(order[j])) for h, k in zip(high_items, at) for j in {max(k - 1, 0), k}]
+        off, item, other = min(choices)
+        moved = load[item] - back[other]
+        if not 0 < moved < gap:
             break
-        weight, item = min(options, key=lambda x: abs(gap / 2 - x[0]))
-        held[top].remove((weight, item))
-        heapq.heappush(held[low], (weight, item))
-        totals[top] -= weight
-        totals[low] += weight
         found[item] = low
+        if other:
+            found[low_items[other - 1]] = top
+        totals[top] -= moved
+        totals[low] += moved
     return found
 
 

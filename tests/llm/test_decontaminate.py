@@ -35,7 +35,7 @@ def test_passages_are_found_and_others_left(spark):
     rows += [(900, None), (901, ""), (902, items[4][1]), (902, items[4][1]), (903, "a b c"), (904, "x " * 200_000 + items[5][1])]
     dirty |= {902, 904}
     docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], DOCS).repartition(3)
-    bench = spark.createDataFrame([(k, t, 1) for k, t in items] + [(70, None), (71, ""), (72, "a b c"), (None, items[4][1])], ITEMS)
+    bench = spark.createDataFrame([(k, t, 1) for k, t in [*items, (70, None), (71, ""), (72, "a b c"), (None, items[4][1])]], ITEMS)
     for words in (1 << 18, 40):
         got = benchmark_overlaps(docs, bench, block_words=words).collect()
         assert {r["doc_id"] for r in got} == dirty
