@@ -56,8 +56,7 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
     is written out, so no plan grows and no node's neighbours are gathered anywhere.
     """
     a, b = links.columns
-    edges = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v").mapInArrow(
-        _thinned, "u long, v long")
+    edges = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
     edges = stored(edges.distinct(), purpose)
     for _ in range(ROUNDS):
         if _settled(edges):

@@ -327,7 +327,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     wanted = stored(placed.select(F.col("rep").alias("doc_id"), "copies", "cluster", F.col("band"), F.col("part"), "a", meetings.alias("meetings")),
                     "jaccard-wanted")
     # One text per id is enough: rows of one id with another text are another set.
-    held = (source.join(wanted, "doc_id").select("doc_id", "copies", "cluster", "band", "part", "meetings", "a", "text")
+    # The texts are joined by a shuffle at every size: what is wanted grows with the corpus.
+    held = (source.join(wanted.hint("merge"), "doc_id").select("doc_id", "copies", "cluster", "band", "part", "meetings", "a", "text")
             .mapInArrow(_elements(width), "doc_id long, copies long, cluster long, band int, part int, "
                         "meetings array<struct<b1:int,p1:int,b2:int,p2:int>>, a long, elements binary"))
     # As many sets meet as fit a task; which blocks meet is all that is copied.
