@@ -36,8 +36,8 @@ def brute_force(rows):
     return sorted(out, key=str)
 
 
-def found(spark, rows, **options):
-    df = spark.createDataFrame([(i, t, "f", 1) for i, t in rows], SCHEMA).repartition(4)
+def found(spark, docs, **options):
+    df = spark.createDataFrame([(i, t, "f", 1) for i, t in docs], SCHEMA).repartition(4)
     root = token_root(spark)
     index = write_token_files(df, root, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, **options)
     return sorted((tuple(r) for r in read_checksums(index, root).collect()), key=str)
