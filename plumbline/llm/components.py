@@ -62,7 +62,8 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
         if _settled(edges):
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        # Written out, so that the join below is between two plain inputs, and a node with very many links can be split.
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), purpose)
         # Larger neighbours of a node are tied to its smallest one.
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(large, purpose)

@@ -2,14 +2,15 @@
 
 Sets are put into bands of sizes so narrow that only neighbouring bands can be similar. Within a band
 and the next, a Jaccard bound is a bound k on the number of elements in which two sets differ.
-The domain is partitioned into groups by hash so that some group holds at most one of those
-differences, and each group again into three parts; a set's signatures are all pairs of parts of
-every group. Two similar sets agree on two parts of some group, so they share a signature, whatever
+The domain is partitioned into groups by hash so that some group holds only a few, k2, of those
+differences, and each group again into parts; a set's signatures are the subsets of all parts but k2 of
+every group. Two similar sets agree on such a subset in some group, so they share a signature, whatever
 their elements are; no candidate is lost and none is capped.
 
-1. One row for each signature and document; equal ones of a batch are tied together before the shuffle.
-2. Rows of a signature stand next to each other in a sorted partition; neighbours are linked, so
-   that a group of any size gives as many links as members.
+1. One row for each signature and document; where many of a batch share one, they are tied together before the shuffle.
+2. Rows of a signature stand next to each other in a sorted partition. Up to FEW documents give their pairs, and
+   sketches of the sets drop the pairs that cannot be similar. Of a larger group neighbours are linked, so that it
+   gives as many links as it has members.
 3. Components of those links are clusters of candidates. Equal sets of a cluster become one set.
    A cluster's sets are dealt to blocks by size band; every two blocks that can hold similar sets
    meet once, in one small task, where all intersections are one matrix product.
@@ -20,20 +21,28 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import partitions, stored
+from plumbline.llm.common import partitions, stored, worker_cache
 from plumbline.llm.components import components, forest
 from plumbline.llm.perfect_hash import mixed
 from plumbline.llm.words import shingles, words
 
-BLOCK = 256
-PARTS = 3
-THIN = 2
+BLOCK = 512
+# Parts left out and parts of a group, and the elements that a signature should hold on average.
+CUTS = ((1, 2), (1, 3), (1, 4), (1, 6), (2, 5), (2, 6))
+LOAD = 4.0
+SMALL = 40
+# Documents of one signature of which every pair is judged by itself.
+FEW = 12
+# 48 bits of a signature travel: a chance match is one more candidate, and is verified like any other.
+DROPPED = np.uint64(16)
 CELLS = 1 << 24
 
 
@@ -74,8 +83,36 @@ def _sums(cells: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return total
 
 
+def sketch_bits(n: int) -> int:
+    """A set's sketch has two to this power counters, one for about three elements."""
+    return max(3, (n // 3).bit_length())
+
+
+def sketches(elements: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """For every set, how many of its elements fall to each counter (the top bits of a hash)."""
+    spread = mixed(elements ^ np.uint64(0x243F6A8885A308D3))
+    out, at = [], 0
+    for n in counts.tolist():
+        bits = sketch_bits(n)
+        held = np.bincount((spread[at:at + n] >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        out.append(np.minimum(held, 65535).astype("<u2").tobytes())
+        at += n
+    return out
+
+
+def least_difference(one: bytes, two: bytes) -> int:
+    """A bound from below of the number of elements in which two sets differ, from their sketches."""
+    a, b = (np.frombuffer(x, "<u2").astype(np.int64) for x in (one, two))
+    # Counters of the larger sketch fold onto those of the smaller: they are told apart by lower bits alone.
+    while len(a) > len(b):
+        a = a.reshape(-1, 2).sum(axis=1)
+    while len(b) > len(a):
+        b = b.reshape(-1, 2).sum(axis=1)
+    return int(np.abs(a - b).sum())
+
+
 def _digests(width: int):
-    """doc_id, number of elements, and 128 bits that stand for the set."""
+    """doc_id, number of elements, 128 bits that stand for the set, and its sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, elements, counts in element_sets(batch.column(1), width):
@@ -83,37 +120,62 @@ def _digests(width: int):
                 a = _sums(owner, mixed(elements ^ np.uint64(0x5851F42D4C957F2D)), len(counts))
                 b = _sums(owner, mixed(elements ^ np.uint64(0x14057B7EF767814F)), len(counts))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(counts)), pa.array(counts), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))],
-                    names=["doc_id", "n", "a", "b"])
+                    [batch.column(0).slice(first, len(counts)), pa.array(counts), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
+                     pa.array(sketches(elements, counts), pa.binary())],
+                    names=["doc_id", "n", "a", "b", "sketch"])
 
     return run
 
 
-def spare_groups(groups: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Groups to add for each band, so that almost no set of its size has more thin groups than that.
+class Plan(NamedTuple):
+    """How the sets of each band are cut up: groups, of which some are to spare, parts of a group, and parts left out."""
 
-    A signature is thin if its parts hold fewer than THIN elements of the set: it says little and many
-    unlike sets share it. With e groups to spare, similar sets agree in e + 1 groups at least.
+    groups: np.ndarray
+    spare: np.ndarray
+    parts: np.ndarray
+    left_out: np.ndarray
+
+
+def plan(share: tuple[int, int], top: int) -> tuple[np.ndarray, np.ndarray, Plan]:
+    """Band starts, differences, and for each band the cheapest cut whose signatures hold LOAD elements on average.
+
+    With k2 parts left out, each group stands for k2 + 1 differences. A signature without elements says nothing, and
+    unlike sets share it; with e groups to spare, similar sets agree in e + 1 groups at least, so a set with no more than e
+    groups that have such a signature can do without them.
     """
-    spare = np.zeros(len(groups), np.int64)
-    for _ in range(4):
-        load = sizes * (PARTS - 1) / PARTS / (groups + spare)
-        thin = PARTS * np.exp(-load) * sum(load ** i / math.factorial(i) for i in range(THIN)) * (groups + spare)
-        spare = np.where(groups > 2, np.ceil(thin + 5 * np.sqrt(thin)), 0).astype(np.int64)
-        spare = np.minimum(spare, groups)
-    return spare
+    starts = band_starts(share, top)
+    most = differences(share, starts)
+    rows = []
+    for size, k in zip(starts[:-1].tolist(), most.tolist()):
+        if k == 0:
+            rows.append((1, 0, 1, 0))
+            continue
+        found = []
+        for left_out, parts in CUTS:
+            # Large sets have few empty parts either way, and the first cut makes the fewest signatures.
+            if left_out > k or (size >= SMALL and found):
+                continue
+            base = -(-(k + 1) // (left_out + 1))
+            spare = 0
+            for _ in range(4):
+                load = size / (base + spare) * (parts - left_out) / parts
+                empty = (base + spare) * min(1.0, math.comb(parts, left_out) * math.exp(-load))
+                spare = min(base // 5, int(empty + 3 * math.sqrt(empty) + 0.5)) if base > 2 else 0
+            found.append((load < LOAD, (base + spare) * math.comb(parts, left_out) if load >= LOAD else -load, (base + spare, spare, parts, left_out)))
+        rows.append(min(found)[2])
+    return starts, most, Plan(*(np.array(c, dtype=np.int64) for c in zip(*rows)))
 
 
 def signatures_of(elements: np.ndarray, counts: np.ndarray, share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """(signature, index of the set) for all sets; an empty set has none."""
-    out_sig, out_set = [], []
+    out_sig, out_set = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     if not len(elements):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    starts = band_starts(share, int(counts.max()))
-    most = differences(share, starts)
-    # With one part of three that may differ, each group stands for two differences.
-    base = (most + 2) // 2
-    spare = spare_groups(base, starts[:-1])
+        return out_sig[0], out_set[0]
+    top = 1 << int(counts.max()).bit_length()
+    plans = worker_cache().setdefault("jaccard plans", {})
+    if (share, top) not in plans:
+        plans[share, top] = plan(share, top)
+    starts, _, cuts = plans[share, top]
     band = np.searchsorted(starts, counts, side="right") - 1
     owner = np.repeat(np.arange(len(counts)), counts)
     coin = mixed(elements ^ np.uint64(0x2B7E151628AED2A6))
@@ -122,36 +184,36 @@ def signatures_of(elements: np.ndarray, counts: np.ndarray, share: tuple[int, in
     # A set takes part in the comparison of its band with the next, and of the band before with its own.
     for shift in (0, 1):
         instance = band - shift
-        active = (counts > 0) & (instance >= 0)
         at = np.maximum(instance, 0)
-        groups = np.where(active, base[at] + spare[at], 0)
-        single = active & (most[at] == 0)
-        first = (np.cumsum(groups) - groups) * PARTS
-        n_cells = int(groups.sum()) * PARTS
-        if not n_cells:
-            continue
-        group = (high * groups[owner].astype(np.uint64)) >> np.uint64(32)
-        part = np.where(single[owner], np.uint64(0), (low * np.uint64(PARTS)) >> np.uint64(32))
-        use = active[owner]
-        cell = (first[owner] + (group * np.uint64(PARTS) + part).astype(np.int64))[use]
-        total = _sums(cell, value[use], n_cells).reshape(-1, PARTS)
-        held = np.bincount(cell, minlength=n_cells).reshape(-1, PARTS)
-        of_set = np.repeat(np.arange(len(counts)), groups)
-        place = (np.arange(len(of_set)) - np.repeat(np.cumsum(groups) - groups, groups)).astype(np.uint64)
-        label = mixed((instance[of_set].astype(np.uint64) << np.uint64(32)) + place * np.uint64(4) + np.uint64(1))
-        kept_parts = [[p for p in range(PARTS) if p != left_out] for left_out in range(PARTS)]
-        thin = np.stack([held[:, keep].sum(axis=1) < THIN for keep in kept_parts], axis=1)
-        n_thin = np.bincount(of_set, weights=thin.any(axis=1), minlength=len(counts))
-        # A set with more thin groups than are to spare goes by all its signatures, so that nothing is missed.
-        every = (n_thin > spare[at]) | single
-        for left_out, keep in enumerate(kept_parts):
-            sig = mixed(label + np.uint64(left_out))
-            for p in keep:
-                sig = mixed(sig ^ total[:, p])
-            # Sets that may not differ at all have their whole sum in part 0: one signature is enough.
-            chosen = np.where(single[of_set], left_out == 2, every[of_set] | ~thin[:, left_out])
-            out_sig.append(sig[chosen])
-            out_set.append(of_set[chosen])
+        for parts, left_out in sorted(set(zip(cuts.parts.tolist(), cuts.left_out.tolist()))):
+            active = (counts > 0) & (instance >= 0) & (cuts.parts[at] == parts) & (cuts.left_out[at] == left_out)
+            groups = np.where(active, cuts.groups[at], 0)
+            n_groups = int(groups.sum())
+            if not n_groups:
+                continue
+            use = active[owner]
+            whose = owner[use]
+            group = (high[use] * groups[whose].astype(np.uint64)) >> np.uint64(32)
+            part = (low[use] * np.uint64(parts)) >> np.uint64(32)
+            first = (np.cumsum(groups) - groups) * parts
+            cell = first[whose] + (group * np.uint64(parts) + part).astype(np.int64)
+            total = _sums(cell, value[use], n_groups * parts).reshape(-1, parts)
+            held = np.bincount(cell, minlength=n_groups * parts).reshape(-1, parts) > 0
+            of_set = np.repeat(np.arange(len(counts)), groups)
+            place = (np.arange(n_groups) - np.repeat(np.cumsum(groups) - groups, groups)).astype(np.uint64)
+            label = mixed((instance[of_set].astype(np.uint64) << np.uint64(32)) + place)
+            kept = [c for c in combinations(range(parts), parts - left_out)]
+            filled = np.stack([held[:, list(c)].any(axis=1) for c in kept], axis=1)
+            n_empty = np.bincount(of_set, weights=~filled.all(axis=1), minlength=len(counts))
+            # A set with more such groups than are to spare goes by all its signatures, so that nothing is missed.
+            every = n_empty > cuts.spare[at]
+            for i, c in enumerate(kept):
+                sig = mixed(label ^ np.uint64((0x9E3779B97F4A7C15 * (i + 1)) % 2**64))
+                for p in c:
+                    sig = mixed(sig ^ total[:, p])
+                chosen = every[of_set] | filled[:, i]
+                out_sig.append(sig[chosen])
+                out_set.append(of_set[chosen])
     return np.concatenate(out_sig), np.concatenate(out_set)
 
 
@@ -168,33 +230,82 @@ def _signatures(width: int, share: tuple[int, int]):
                 continue
             sig, own = np.concatenate(found), np.concatenate(owners)
             order = np.lexsort((own, sig))
-            sig, own = sig[order], own[order]
+            sig, own = sig[order] >> DROPPED, own[order]
             new = np.r_[True, sig[1:] != sig[:-1]] if len(sig) else np.zeros(0, bool)
-            # A signature goes on once for the batch. The others of its documents are tied to the first by a
+            run = np.cumsum(new) - 1
+            big = (np.bincount(run) > FEW)[run]
+            # Of many documents of one signature the first stands for the batch. The others are tied to it by a
             # signature that only these two have.
-            leader = own[new][np.cumsum(new) - 1]
-            again = ~new & (own != leader)
-            tie = mixed(leader[again].view(np.uint64) ^ mixed(own[again].view(np.uint64) + np.uint64(0x632BE59BD9B4E019)))
+            goes, again = new | ~big, ~new & big
+            leader = own[new][run]
+            tie = mixed(leader[again].view(np.uint64) ^ mixed(own[again].view(np.uint64) + np.uint64(0x632BE59BD9B4E019))) >> DROPPED
+            flags = np.r_[big[goes], np.ones(2 * len(tie), bool)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[sig[new], tie, tie].view(np.int64)), pa.array(np.r_[own[new], leader[again], own[again]])],
-                names=["sig", "doc_id"])
+                [pa.array(np.r_[sig[goes], tie, tie].view(np.int64)), pa.array(np.r_[own[goes], leader[again], own[again]]), pa.array(flags)],
+                names=["sig", "doc_id", "many"])
 
     return run
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between rows that stand next to each other with one signature; partitions come sorted by it."""
-    last_sig, last_id = None, None
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v, sure) from rows sorted by signature.
+
+    A few documents of one signature give all their pairs, each to be judged by itself. Many give links from each to
+    the next, which hold the group together and are not judged.
+    """
+    held = None
+    def judged(sig, own, many):
+        out = []
+        new = np.r_[True, sig[1:] != sig[:-1]]
+        run = np.cumsum(new) - 1
+        large = ((np.bincount(run) > FEW) | (np.bincount(run, weights=many) > 0))[run]
+        for step in range(1, FEW):
+            same = (sig[step:] == sig[:-step]) & (own[step:] != own[:-step])
+            if step > 1:
+                same &= ~large[step:]
+            if not same.any() and step > 1:
+                break
+            out.append((own[:-step][same], own[step:][same], large[step:][same]))
+        return [np.concatenate(x) for x in zip(*out)]
+
+    def table(sig, own, many):
+        u, v, sure = judged(sig, own, many)
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v)), pa.array(sure)], names=["u", "v", "sure"])
+
     for batch in batches:
-        sig, own = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if held is not None:
+            rows = [np.r_[h, r] for h, r in zip(held, rows)]
+        sig, own, many = rows
         if not len(sig):
             continue
-        if last_sig is not None:
-            sig, own = np.r_[last_sig, sig], np.r_[last_id, own]
-        same = (sig[1:] == sig[:-1]) & (own[1:] != own[:-1])
-        u, v = forest(own[1:][same], own[:-1][same])
-        last_sig, last_id = sig[-1:], own[-1:]
-        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+        last = int(np.searchsorted(sig, sig[-1]))
+        if len(sig) - last > FEW:
+            # A large group goes on: its last document is enough to continue with.
+            held = [sig[-1:], own[-1:], np.ones(1, bool)]
+            many = many.copy()
+            many[last:] = True
+            yield table(sig, own, many)
+        else:
+            held = [sig[last:], own[last:], many[last:]]
+            if last:
+                yield table(sig[:last], own[:last], many[:last])
+    if held is not None and len(held[0]) > 1:
+        yield table(*held)
+
+
+def _possible(share: tuple[int, int]):
+    """Of pairs with both sizes and sketches, those that can be similar."""
+    num, den = share
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v, n, m, one, two = (c.to_pylist() for c in batch.columns)
+            keep = [i for i in range(len(u)) if num * max(n[i], m[i]) <= den * min(n[i], m[i])
+                    and least_difference(one[i], two[i]) * (num + den) <= (n[i] + m[i]) * (den - num)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for i in keep], pa.int64()) for x in (u, v)], names=["u", "v"])
+
+    return run
 
 
 def _elements(width: int):
@@ -293,10 +404,17 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    sets = stored(source.mapInArrow(_digests(width), "doc_id long, n long, a long, b long"), "jaccard-sets")
-    links = (source.mapInArrow(_signatures(width, share), "sig long, doc_id long")
+    whole = stored(source.mapInArrow(_digests(width), "doc_id long, n long, a long, b long, sketch binary"), "jaccard-sets")
+    sets = whole.drop("sketch")
+    links = (source.mapInArrow(_signatures(width, share), "sig long, doc_id long, many boolean")
              .repartition(2 * partitions(spark), "sig").sortWithinPartitions("sig", "doc_id")
-             .mapInArrow(_neighbours, "u long, v long"))
+             .mapInArrow(_candidates, "u long, v long, sure boolean"))
+    links = stored(links.groupBy("u", "v").agg(F.max("sure").alias("sure")), "jaccard-candidates")
+    one = whole.select(F.col("doc_id").alias("u"), "n", F.col("sketch").alias("one"))
+    two = whole.select(F.col("doc_id").alias("v"), F.col("n").alias("m"), F.col("sketch").alias("two"))
+    possible = (links.where("not sure").join(one, "u").join(two, "v").select("u", "v", "n", "m", "one", "two")
+                .mapInArrow(_possible(share), "u long, v long"))
+    links = possible.unionByName(links.where("sure").select("u", "v"))
     cluster = components(links, "jaccard-clusters").withColumnRenamed("component", "cluster")
 
     # Equal sets of a cluster are one set, under the smallest id.

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from plumbline.llm.components import components
-from plumbline.llm.jaccard_join import band_starts, differences, signatures_of, similar_documents
+from plumbline.llm.jaccard_join import band_starts, differences, least_difference, signatures_of, similar_documents, sketches
 
 SCHEMA = "doc_id long, text string, n long, cluster string"
 
@@ -116,3 +116,27 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (7, 7)], "u long, v long").repartition(9)
     got = {r["node"]: r["component"] for r in components(links).collect()}
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
+
+
+def test_sketches_bound_differences_from_below():
+    draw = np.random.default_rng(6)
+    for size in (1, 5, 40, 300, 3000):
+        a = np.unique(draw.integers(0, 2**63, size, dtype=np.uint64))
+        for kept in (0, size // 2, size):
+            b = np.unique(np.r_[draw.choice(a, kept, replace=False), draw.integers(0, 2**63, size // 3, dtype=np.uint64)])
+            one, two = sketches(np.r_[a, b], np.array([len(a), len(b)]))
+            assert least_difference(one, two) <= len(a) + len(b) - 2 * len(np.intersect1d(a, b))
+            assert least_difference(one, one) == 0
+
+
+def test_many_documents_of_one_signature(spark):
+    """Groups below, at and above the size up to which pairs are judged, over several batches."""
+    base = [f"b{k}" for k in range(40)]
+    rows = [(g * 100 + i, " ".join([f"g{g}", *base, f"g{g}", *(["x"] if i % 2 else [])])) for g in range(3) for i in range((5, 12, 60)[g])]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (before, "7"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert found(spark, rows, width=5, share=(4, 5)) == brute_force(rows, (4, 5), 5)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
