@@ -14,7 +14,7 @@ from array import array
 
 from plumbline.llm.common import worker_cache
 
-KEPT = 300_000
+KEPT = 200_000
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile("(\n?)([" + _LATIN + r"]+)([!-/:-@\[-`{-~]*)")
 
