@@ -59,13 +59,13 @@ def sampled_keys(df: DataFrame, keys: list[str], seed: int = 0, rows: int = SPOT
     return df.select(*keys, order.alias("_order")).orderBy("_order", *keys).limit(rows).select(*keys)
 
 
-def spot_check(source: DataFrame, target: DataFrame, keys: list[str], seed: int = 0) -> DataFrame:
+def spot_check(source: DataFrame, target: DataFrame, keys: list[str], seed: int = 0, rows: int = SPOT_CHECK_ROWS) -> DataFrame:
     """Sampled target keys, each with whether the source has it.
 
-    The sample has at most ``SPOT_CHECK_ROWS`` rows, so broadcasting it is bounded; the source is
+    The sample has at most ``rows`` rows, so broadcasting it is bounded; the source is
     reduced to the sampled keys by a semi join before anything is shuffled.
     """
-    sample = sampled_keys(target, keys, seed).distinct()
+    sample = sampled_keys(target, keys, seed, rows).distinct()
     present = source.select(*keys).join(F.broadcast(sample), keys, "left_semi").distinct()
     return sample.join(present.withColumn("_found", F.lit(True)), keys, "left").select(
         *keys, F.coalesce("_found", F.lit(False)).alias("found_in_source")

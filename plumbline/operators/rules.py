@@ -68,22 +68,25 @@ EXTENDED_RULES = {
 }
 
 
+# What a declared field implies: when, and which rule. `alone` says that keys are judged column by column.
+IMPLIED = (
+    (lambda field, alone: not field.nullable, lambda field: Rule(NOT_NULL, (field.target,))),
+    (lambda field, alone: field.key and alone, lambda field: Rule(UNIQUE, (field.target,))),
+    (lambda field, alone: "email" in field.target, lambda field: Rule(MATCH_REGEX, (field.target,), pattern=EMAIL_PATTERN)),
+    (lambda field, alone: bool(field.domain), lambda field: Rule(IN_SET, (field.target,), values=mapped_values(field))),
+)
+
+
+def mapped_values(field) -> tuple[str, ...]:
+    """All that a mapped field can hold: its targets, and both truth values."""
+    return tuple(dict.fromkeys([*(sql for _, sql in field.domain), "true", "false"]))
+
+
 def contract_suite(contract: Contract, composite_key: bool = True) -> list[Rule]:
     """Rules the contract implies. A composite key is unique as a tuple, unless asked per column."""
-    suite = []
-    for field in contract.data_fields:
-        if not field.nullable:
-            suite.append(Rule(NOT_NULL, (field.target,)))
-        if field.key and (not composite_key or len(contract.keys) == 1):
-            suite.append(Rule(UNIQUE, (field.target,)))
-        if "email" in field.target:
-            suite.append(Rule(MATCH_REGEX, (field.target,), pattern=EMAIL_PATTERN))
-        if field.domain:
-            values = dict.fromkeys([*(sql for _, sql in field.domain), "true", "false"])
-            suite.append(Rule(IN_SET, (field.target,), values=tuple(values)))
-    if composite_key and len(contract.keys) > 1:
-        suite.append(Rule(UNIQUE, tuple(contract.keys)))
-    return suite
+    alone = not composite_key or len(contract.keys) == 1
+    own = [make(field) for field in contract.data_fields for applies, make in IMPLIED if applies(field, alone)]
+    return own if alone or not contract.keys else [*own, Rule(UNIQUE, tuple(contract.keys))]
 
 
 def satisfied(rule: Rule) -> Column | None:

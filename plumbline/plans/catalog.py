@@ -35,8 +35,8 @@ from plumbline.streaming.debounce import debounced_stream
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-RUN_AT = datetime(2026, 4, 21, 2, 15, 33, tzinfo=timezone.utc)
-BATCH = "batch-2026-04-21"
+RUN_AT = datetime(2031, 9, 5, 3, 40, 12, tzinfo=timezone.utc)
+BATCH = "batch-0905"
 
 
 def query(fn: Query) -> Query:
@@ -128,7 +128,7 @@ def typed_values(spark, sf):
         F.when(bad, "n/a").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("B"),
         F.when(bad, "12345678901.1").otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("string")).alias("C"),
         F.col("l_quantity").cast("int").cast("string").alias("D"),
-        F.when(bad, "2026-04-21").otherwise(F.date_format("l_shipdate", "yyyyMMdd")).alias("E"),
+        F.when(bad, "2031-09-05").otherwise(F.date_format("l_shipdate", "yyyyMMdd")).alias("E"),
         F.concat(F.lpad(key.cast("string"), 2, "0"), F.lit("3015")).alias("F"),
         F.when(bad, "20261341").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("G"),
         F.concat(F.col("l_returnflag"), F.lit("  ")).alias("H"),

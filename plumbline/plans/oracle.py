@@ -223,7 +223,7 @@ def stats_row(limit: float = 0.5) -> str:
 def report(*kinds: str, count: float = 0.0, points: float = 5.0, sums: float = 0.5, evidence: bool = True) -> str:
     rows = " union all ".join([count_row(count), null_row(points), unique_row(), checksum_row(), stats_row(sums)])
     last = ", evidence" if evidence else ""
-    return f"""{sides(*kinds)} select 'DW:SALES.ORDERS' as contract_fqn, 'batch-2026-04-21' as batch_id,
+    return f"""{sides(*kinds)} select 'DW:SALES.ORDERS' as contract_fqn, 'batch-0905' as batch_id,
       layer, status, message{last} from ({rows})"""
 
 
@@ -240,7 +240,7 @@ select MANDT, MATNR as material_number, ERSDA as created_on, ERNAM as created_by
 CASES["typed_values"] = """
 select l_orderkey as a_bigint, case when not bad then l_quantity::int end as b_integer,
   case when not bad then l_extendedprice::decimal(10,2) end as c_decimal, l_quantity::int::double as d_double,
-  case when bad then date '2026-04-21' else l_shipdate::date end as e_date,
+  case when bad then date '2031-09-05' else l_shipdate::date end as e_date,
   timestamp '1970-01-01 00:30:15' + to_hours(l_linenumber::int) as f_time,
   case when not bad then l_shipdate end as g_timestamp, l_returnflag as h_text, l_linestatus || '  ' as i_clob,
   null::decimal(9,2) as j_missing
@@ -266,10 +266,10 @@ select 'created_on' as column_name, count(ERDAT) as present_count, 0::bigint as
 union all select 'is_deletion_flag', count(LOEVM), count(*) filter (LOEVM = 'Z') from ({KNA1_SRC})"""
 CASES["extract_audit"] = f"""
 select *, 'HANA' as _sap_system, 'SAPSR3' as _sap_schema, 'LFA1' as _sap_table,
-  timestamp '2026-04-21 02:15:33' as _extracted_at, 'LFA1_20260421021533' as _extract_batch_id from ({LFA1})"""
+  timestamp '2031-09-05 03:40:12' as _extracted_at, 'LFA1_20310905034012' as _extract_batch_id from ({LFA1})"""
 CASES["load_audit"] = f"""
-select *, 'HANA' as _source_system, timestamp '2026-04-21 02:15:33' as _extracted_at,
-  timestamp '2026-04-21 02:15:33' as _loaded_at, true as _is_current, 'batch-2026-04-21' as _batch_id from ({LFA1})"""
+select *, 'HANA' as _source_system, timestamp '2031-09-05 03:40:12' as _extracted_at,
+  timestamp '2031-09-05 03:40:12' as _loaded_at, true as _is_current, 'batch-0905' as _batch_id from ({LFA1})"""
 
 
 def profile(table: str, numeric: dict[str, str], text: list[str], quantiles: bool = False) -> str:
@@ -335,7 +335,7 @@ CASES["recon_report"] = report(*ALL_DAMAGE)
 CASES["recon_report_swapped"] = report("swapped", evidence=False)
 CASES["recon_report_tolerant"] = report(*ALL_DAMAGE, count=2.0, points=10.0, sums=100.0, evidence=False)
 CASES["recon_overall"] = f"""
-select contract_fqn, batch_id, timestamp '2026-04-21 02:15:33' as validated_at, case when bool_or(status = 'FAILED') then 'FAILED'
+select contract_fqn, batch_id, timestamp '2031-09-05 03:40:12' as validated_at, case when bool_or(status = 'FAILED') then 'FAILED'
   when bool_or(status = 'WARNING') then 'WARNING' else 'PASSED' end as overall_status,
   (select count(*) from orders) as source_row_count, (select count(*) from orders) as target_row_count,
   count(*)::int as results
@@ -661,7 +661,7 @@ CASES["csv_scan"] = MARA_SRC
 CASES["staging_zone"] = LFA1
 CASES["sidecars"] = """
 select 'HANA:SAPSR3.MARA' as contract_fqn, 'incremental_merge' as load_strategy, 'MATNR' as partition_column,
-  32::int as partition_num_chunks, count(*) as row_count, '2026-04-21T02:15:33+00:00' as extracted_at, 14::int as n_columns
+  32::int as partition_num_chunks, count(*) as row_count, '2031-09-05T03:40:12+00:00' as extracted_at, 14::int as n_columns
 from part"""
 CASES["hour_partition_layout"] = """
 select strftime(ts, '%Y-%m-%d') as dt, hour(ts)::int as hh, count(*) as n from events group by 1, 2"""
@@ -683,7 +683,7 @@ union all select * replace (-s_suppkey - 1 as s_suppkey) from supplier"""
 CASES["run_table"] = MARA
 CASES["run_table_masked"] = KNA1_MASKED
 CASES["run_many"] = " union all ".join(
-    f"select 'batch-2026-04-21-{name}' as batch_id, count(*) as n_rows, 'SUCCEEDED' as status, count(*) as row_count from {table}"
+    f"select 'batch-0905-{name}' as batch_id, count(*) as n_rows, 'SUCCEEDED' as status, count(*) as row_count from {table}"
     for name, table in (("MARA", "part"), ("KNA1", "customer"), ("LFA1", "supplier"))
 )
 CASES["run_table_bad_values"] = """

@@ -7,15 +7,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings that matter for the jobs here; everything else stays at Spark's defaults.
-SETTINGS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.parquet.filterPushdown": "true",
-}
-
 
 def local_session(cores: int | str = 8, name: str = "plumbline") -> SparkSession:
     """Session for tests and benchmarks on one machine. A cluster brings its own."""
@@ -24,9 +15,8 @@ def local_session(cores: int | str = 8, name: str = "plumbline") -> SparkSession
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.session.timeZone", "UTC")
     )
-    for key, value in SETTINGS.items():
-        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
