@@ -44,9 +44,10 @@ def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _settled(edges: DataFrame) -> bool:
     """True if every link is (node, root), each node has one root, and no root has a root."""
-    roots = edges.select(F.col("v").alias("u")).distinct()
-    many = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1")
-    return edges.select("u").intersect(roots).isEmpty() and many.isEmpty()
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("roots"), F.lit(0).alias("is_root")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("roots"), F.lit(1).alias("is_root")))
+    counts = ends.groupBy("x").agg(F.sum("roots").alias("roots"), F.max("is_root").alias("is_root"))
+    return counts.where("roots > 1 or (roots > 0 and is_root > 0)").isEmpty()
 
 
 def components(links: DataFrame, purpose: str = "components") -> DataFrame:
@@ -62,8 +63,7 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
         if _settled(edges):
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # Written out, so that the join below is between two plain inputs, and a node with very many links can be split.
-        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), purpose)
+        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         # Larger neighbours of a node are tied to its smallest one.
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(large, purpose)
