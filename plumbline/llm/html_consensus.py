@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -33,8 +34,14 @@ NOISE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|widget|ads?|advert\w*|banner|"
     r"sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|"
     r"social|related|recommend\w*|comments?|commentlist|disqus|respond|reply|replies|form|search|toolbar|pagination|pager)(?:$|[\s_-])", re.I)
+# A name that says what an element has or lacks says nothing of what it is.
+HAS_NAMES = re.compile(r"(?:^|[\s_-])(?:has|no|with|without)[_-]\S*", re.I)
+# What follows an article and may be longer than it.
+THREAD_NAMES = re.compile(
+    r"(?:^|[\s_-])(?:related|recommend\w*|comments?|commentlist|disqus|respond|reply|replies)(?:$|[\s_-])", re.I)
 GOOD_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|entry|post|story|text|main)(?:$|[\s_-])", re.I)
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+ARTICLE_BLOCKS = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote".split())
 LISTS = frozenset("ul ol dl table menu dir".split())
 
 TOKEN = re.compile(
@@ -50,19 +57,77 @@ DEEPEST = 64
 
 
 class Page(NamedTuple):
-    """Elements in order (parent, name, path, depth, good name) and blocks (element, text)."""
+    """Elements in order (parent, name, path, depth, good name) and blocks (element, text).
+
+    suspects: elements that are noise by their names alone, and whether these name what follows articles. noisy: articles
+    and the like with such names.
+    """
 
     parents: list[int]
     names: list[str]
     paths: list[str]
     depths: list[int]
     good: list[bool]
+    suspects: dict[int, bool]
+    noisy: set[int]
     blocks: list[tuple[int, str]]
 
 
+def _without_noise(page: Page) -> Page:
+    """The page without the blocks below elements that their names make noise.
+
+    Names are judged when the text below them is known, the longest first. An element stays where it holds
+    more than all other text not muted, unless the article stands elsewhere: an article, a main or a well named
+    element outside it and none in it, or, for what follows articles, a heading or paragraph outside it and no h1 in
+    it. It also stays where it holds the page's articles or main.
+    """
+    if not page.suspects:
+        return page
+    n = len(page.parents)
+    owner, last = [0] * n, list(range(n))  # the nearest suspect, and the last element below
+    held, own, proper, in_article = [0] * n, [0] * n, [0] * n, [False] * n
+    for i in range(1, n):
+        up = page.parents[i]
+        owner[i] = i if i in page.suspects else owner[up]
+        in_article[i] = in_article[up] or page.names[up] == "article"
+    for element, block in page.blocks:
+        held[element] += len(block)
+        own[owner[element]] += len(block)
+        proper[element] += len(block) if page.names[element] in ARTICLE_BLOCKS else 0
+    for i in range(n - 1, 0, -1):
+        up = page.parents[i]
+        held[up] += held[i]
+        proper[up] += proper[i]
+        last[up] = max(last[up], last[i])
+    named = [i for i in range(1, n) if page.good[i] and held[i] and i not in page.suspects and i not in page.noisy]
+    heads = [i for i in range(1, n) if page.names[i] == "h1" and held[i]]
+    articles = [i for i in named if page.names[i] in ("article", "main")]
+    first_end = {id(found): min((last[k] for k in found), default=n) for found in (named, articles)}
+    kept, unmuted = {0}, own[0]
+
+    def holds(i: int, found: list[int]) -> bool:
+        return bisect_right(found, last[i]) > bisect_right(found, i)
+
+    def elsewhere(i: int, found: list[int]) -> bool:
+        return bool(found) and (found[-1] > last[i] or first_end[id(found)] < i)
+
+    def stands(i: int) -> bool:
+        if holds(i, articles) and not in_article[i] and not elsewhere(i, articles):
+            return True
+        if held[i] <= unmuted or page.suspects[i] and proper[0] > proper[i] and not holds(i, heads):
+            return False
+        return holds(i, named) or not elsewhere(i, named)
+
+    for i in sorted(page.suspects, key=lambda k: (-held[k], k)):
+        if held[i] and owner[page.parents[i]] in kept and stands(i):
+            kept.add(i)
+            unmuted += own[i]
+    return page._replace(blocks=[b for b in page.blocks if owner[b[0]] in kept])
+
+
 def parse(source: str) -> Page:
-    page = Page([-1], ["html"], [""], [0], [False], [])
-    stack: list[tuple[str, int, bool]] = [("html", 0, False)]
+    page = Page([-1], ["html"], [""], [0], [False], {}, set(), [])
+    stack: list[tuple[str, int, bool, bool]] = [("html", 0, False, False)]
     muted, text, at = 0, [], 0
 
     def flush():
@@ -76,7 +141,7 @@ def parse(source: str) -> Page:
         nonlocal muted
         flush()
         while len(stack) > n:
-            muted -= stack.pop()[2]
+            muted -= stack.pop()[3]
 
     for m in TOKEN.finditer(source):
         if m.start() > at and not muted:
@@ -103,8 +168,11 @@ def parse(source: str) -> Page:
         attributes = m["attributes"]
         names = " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(attributes)) if "=" in attributes else ""
         big = name in ("body", "main", "article", "html")
-        noise = name in NOISE_TAGS or (not big and bool(names) and bool(NOISE_NAMES.search(names))) or (
-            bool(attributes) and not big and bool(HIDDEN.search(attributes)))
+        mute = name in NOISE_TAGS or bool(attributes) and not big and bool(HIDDEN.search(attributes))
+        plain = HAS_NAMES.sub(" ", names) if names else ""
+        noisy = not mute and bool(plain) and bool(NOISE_NAMES.search(plain))
+        suspect = noisy and not big
+        noise = mute or suspect
         if name not in BLOCKS and not noise:
             continue
         if name == "html":
@@ -124,23 +192,28 @@ def parse(source: str) -> Page:
                     break
         parent = stack[-1][1]
         index = parent
-        if page.depths[parent] < DEEPEST and not muted and not noise:
+        if suspect and not muted or page.depths[parent] < DEEPEST and not muted and not noise:
             classes = next((a or b or c for key, a, b, c in ATTRIBUTE.findall(attributes) if key.lower() == "class"), "") if names else ""
             mark = ".".join([name, *sorted({re.sub(r"\d+", "#", c) for c in classes.lower().split()})])
             index = len(page.parents)
             page.parents.append(parent)
             page.names.append(name)
-            page.paths.append(f"{page.paths[parent]}>{mark}")
-            page.depths.append(page.depths[parent] + 1)
+            deeper = page.depths[parent] < DEEPEST
+            page.paths.append(f"{page.paths[parent]}>{mark}" if deeper else page.paths[parent])
+            page.depths.append(page.depths[parent] + deeper)
+            if suspect:
+                page.suspects[index] = bool(THREAD_NAMES.search(plain))
+            elif noisy:
+                page.noisy.add(index)
             page.good.append(name in ("article", "main") or bool(names) and bool(GOOD_NAMES.search(names)))
-        stack.append((name, index, noise))
+        stack.append((name, index, noise, mute))
         if noise:
             flush()
-        muted += noise
+        muted += mute
     if at < len(source) and not muted:
         text.append(source[at:])
     close(1)
-    return page
+    return _without_noise(page)
 
 
 def scores(page: Page) -> dict[str, float]:

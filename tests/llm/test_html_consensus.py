@@ -31,7 +31,25 @@ def test_pages(source, expected):
     assert expected is None or found == expected
 
 
+BODY = "<h1>Head</h1><p>One two three four.</p><p>Five six seven.</p>"
+WHOLE = "Head\n\nOne two three four.\n\nFive six seven."
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "content no-sidebar", "long-form", "article-content with-comments", "container menu-open", "page_with_ads"])
+def test_a_wrapper_is_not_muted_for_its_name(name):
+    assert text(f"<body><nav>a b</nav><div class='{name}'>{BODY}<div class='sidebar'>side</div></div><div id='comments'>late</div></body>") == WHOLE
+    assert text(f"<body><div id='{name}'><div class='share'>s</div><article>{BODY}</article></div></body>") == WHOLE
+
+
+def test_noise_longer_than_the_article_is_muted():
+    assert text(f"<body><div class='content'>{BODY}<div id='comments'><article class='comment'><p>{'late ' * 90}</p></article></div></div></body>") == WHOLE
+    assert text(f"<body><div class='sidebar'>{'side ' * 90}</div><article>{BODY}<div class='related'><article>x</article></div></article></body>") == WHOLE
+    assert text(f"<body><div class='container menu-open'>{BODY}</div><div id='comments'><p>{'late ' * 90}</p></div></body>") == WHOLE
+
+
 def test_deep_and_long_pages():
+    assert text("<div>" * 5000 + "<div class='menu'>" * 5000 + "x") == "x"
+
     assert text("<div>" * 5000 + "x" + "</div>" * 5000) == "x"
     assert text("<article>" + "<p>word</p>" * 20000 + "</article>").count("word") == 20000
 
