@@ -4,8 +4,8 @@
    are summed per host and generalised tag-class path: within a batch first, then in Spark.
 2. The path with the highest sum wins its host. There is one row per host; Spark joins it to the
    pages by its size, and splits a host with very many pages.
-3. Pages are read again and give the text below the winning path. A page without that path gives the
-   text below its own best container.
+3. Pages are read again and give the text below the winning path. A page without that path, or of another template
+   where it holds little, gives the text below its own best container.
 """
 
 from __future__ import annotations
@@ -216,16 +216,42 @@ def parse(source: str) -> Page:
     return _without_noise(page)
 
 
-def scores(page: Page) -> dict[str, float]:
-    """For each path of a container that holds half of the page's text or more, its best score."""
+def _held(page: Page) -> list[int]:
+    """The text below every element, in characters."""
     held = [0] * len(page.parents)
     for element, block in page.blocks:
         held[element] += len(block)
     for i in range(len(held) - 1, 0, -1):
         held[page.parents[i]] += held[i]
+    return held
+
+
+def scores(page: Page) -> dict[str, float]:
+    """For each path of a container that holds half of the page's text or more, its best score.
+
+    A container within another such one is left out where headings or paragraphs of the outer one stand outside it.
+    The body, which holds other things than the article, counts for this only with what stands in no container.
+    """
+    n = len(page.parents)
+    held, proper, direct, box, over, cut = _held(page), [0] * n, [0] * n, [0] * n, [0] * n, [False] * n
+    for i in range(1, n):
+        box[i] = i if page.names[i] in CONTAINERS else box[page.parents[i]]
+    for element, block in page.blocks:
+        if page.names[element] in ARTICLE_BLOCKS:
+            proper[element] += len(block)
+            direct[box[element]] += len(block)
+    for i in range(n - 1, 0, -1):
+        proper[page.parents[i]] += proper[i]
     found: dict[str, float] = {}
-    for i in range(1, len(held)):
+    for i in range(1, n):
+        up = page.parents[i]
+        over[i] = over[up]
         if page.names[i] in CONTAINERS and held[i] * 2 >= held[0] > 0:
+            j = over[i]
+            over[i] = i
+            cut[i] = cut[j] or (direct[j] > 0 if page.names[j] in ("html", "body") else proper[j] > proper[i])
+            if cut[i]:
+                continue
             # The body is what is left to take where nothing narrower is agreed on.
             depth = 0.5 if page.names[i] == "body" else 1 + 0.1 * min(page.depths[i], 10)
             score = held[i] / held[0] * depth + 0.5 * page.good[i]
@@ -233,11 +259,34 @@ def scores(page: Page) -> dict[str, float]:
     return found
 
 
-def extract(page: Page, path: str | None) -> str:
-    """The blocks below elements of this path, else below the page's best container, else all."""
+def best_of(own: dict[str, float]) -> str:
+    return max(own, key=lambda p: (own[p], p)) if own else ""
+
+
+def passed_over(page: Page, best: str) -> set[str]:
+    """Paths of the containers with text that stand neither in the best one nor around it."""
+    held = _held(page)
+    paths = {page.paths[i] for i in range(1, len(held)) if held[i] and page.names[i] in CONTAINERS}
+    return {p for p in paths if p != best and not p.startswith(best + ">") and not best.startswith(p + ">")} if best else set()
+
+
+def extract(page: Page, path: str | None, passed: list[str] | None = None) -> str:
+    """The blocks below elements of this path, else below the page's best container, else all.
+
+    The page's best container also counts where the path leaves out headings or paragraphs around it, or
+    holds less than half of the page's text; the latter not if its path is one that the host passes over.
+    """
+    own = scores(page)
+    best = best_of(own)
     if path is None or path not in page.paths:
-        own = scores(page)
-        path = max(own, key=lambda p: (own[p], p)) if own else ""
+        path = best
+    elif path not in own:
+        held = _held(page)
+        parts = [held[i] for i in range(len(held)) if page.paths[i] == path and (i == 0 or page.paths[page.parents[i]] != path)]
+        if sum(parts) * 2 < held[0]:
+            path = path if best in (passed or ()) else best
+        elif max(parts) * 2 >= held[0]:
+            path = best
     inside = [False] * len(page.parents)
     for i in range(len(inside)):
         inside[i] = page.paths[i] == path or page.parents[i] >= 0 and inside[page.parents[i]]
@@ -246,20 +295,28 @@ def extract(page: Page, path: str | None) -> str:
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        total: dict[tuple[str, str], float] = defaultdict(float)
+        total: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0])
         for host, source in zip(*(c.to_pylist() for c in batch.columns)):
             if source:
-                for path, score in scores(parse(source)).items():
+                page = parse(source)
+                own = scores(page)
+                best = best_of(own)
+                for path, score in own.items():
                     # Whole numbers, so that sums do not depend on their order.
-                    total[host, path] += round(score * 1000)
+                    total[host, path][0] += round(score * 1000)
+                    total[host, path][1] += path == best
+                for path in passed_over(page, best):
+                    total[host, path][2] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()),
-             pa.array([int(v) for v in total.values()], pa.int64())], names=["host", "path", "votes"])
+             *(pa.array([v[i] for v in total.values()], pa.int64()) for i in range(3))],
+            names=["host", "path", "votes", "best", "passed"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [extract(parse(source), path) if source else "" for source, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        rows = zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))
+        out = [extract(parse(source), path, passed) if source else "" for source, path, passed in rows]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), batch.column(3)],
                                          names=["page_id", "url", "text", "path"])
 
@@ -270,23 +327,29 @@ def host_of(url):
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, path: the container path with the highest sum of scores, the last by name of equals. Hosts without text have none."""
-    votes = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).mapInArrow(
-        _votes, "host string, path string, votes long")
-    sums = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    return sums.groupBy("host").agg(F.max_by("path", F.struct("votes", "path")).alias("path"))
+    """host, path, passed: the container path with the highest sum of scores, the last by name of equals. Hosts without text have none.
+
+    passed: paths that are the best ones of some pages, but stand beside the best one on more pages. Pages whose
+    URLs name no host have nothing to agree on.
+    """
+    votes = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("host <> ''").mapInArrow(
+        _votes, "host string, path string, votes long, best long, passed long")
+    sums = votes.groupBy("host", "path").agg(*(F.sum(c).alias(c) for c in ("votes", "best", "passed")))
+    return sums.where("votes > 0").groupBy("host").agg(
+        F.max_by("path", F.struct("votes", "path")).alias("path"),
+        F.sort_array(F.collect_list(F.when((F.col("best") > 0) & (F.col("passed") > F.col("best")), F.col("path")))).alias("passed"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, path: one row for each input row.
 
-    A null or empty page, or one without text, gives an empty text. Null and relative URLs share one
-    host without a name. Repeated rows give equal rows (and vote once each). Other columns are not read. An
+    A null or empty page, or one without text, gives an empty text. Null and relative URLs name no host; their
+    pages give their own best containers, and path is null. Repeated rows give equal rows (and vote once each). Other columns are not read. An
     empty table gives no rows.
     """
     winners = stored(host_paths(pages, url_col, html_col), "host-paths").withColumnRenamed("host", "__host")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         host_of(F.col(url_col)).alias("__own"))
-    joined = rows.join(winners, F.col("__own") == F.col("__host"), "left").select("page_id", "url", "html", "path")
+    joined = rows.join(winners, F.col("__own") == F.col("__host"), "left").select("page_id", "url", "html", "path", "passed")
     kind = dict(rows.dtypes)["page_id"]
     return joined.mapInArrow(_texts, f"page_id {kind}, url string, text string, path string")

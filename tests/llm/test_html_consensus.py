@@ -65,3 +65,24 @@ def test_the_host_decides(spark):
     got = sorted((r["page_id"], r["text"]) for r in main_text(df).collect())
     assert got == [(i, ("main text " * 9).strip()) for i in range(4)] + [(9, "main text"), (10, ""), (11, ""), (12, "alone"), (12, "alone")]
     assert main_text(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_heading_lead_and_sections_around_an_inner_container_stay(spark):
+    inner = "<div class='content'>" + "<p>word word word</p>" * 40 + "</div>"
+    outer = "<body><div class='article'><h1>H</h1><p>lead</p>{}</div></body>".format(inner)
+    assert text(outer).startswith("H\n\nlead\n\nword")
+    assert text(f"<body><div class='article'>{inner}<div class='more'><h2>S</h2><p>last</p></div></div></body>").endswith("S\n\nlast")
+    assert text(f"<body><h1>H</h1>{inner}</body>").startswith("H\n\nword")
+    # Most pages of the host have no lead; the one that has one keeps it.
+    rows = [(i, "http://h.x/", f"<body><div class='article'>{inner}</div></body>", None) for i in range(5)] + [(9, "http://h.x/", outer, None)]
+    got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[9].startswith("H\n\nlead\n\nword") and got[0].startswith("word")
+
+
+def test_pages_of_another_template_give_their_own_article(spark):
+    page = "<body><div class='content'><p>{}</p></div></body>"
+    other = "<body><div class='content'><p>teaser</p></div><div class='story'><p>{}</p></div></body>".format("long story " * 30)
+    for first, last in (("http://h.x/a", "http://h.x/b"), ("/a", None)):
+        rows = [(i, first, page.format("main text " * 9), None) for i in range(5)] + [(9, last, other, None)]
+        got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert got == {i: ("main text " * 9).strip() for i in range(5)} | {9: ("long story " * 30).strip()}
