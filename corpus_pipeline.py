@@ -28,14 +28,23 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by sets of five-word shingles at 0.8 or more, the one with the smallest id stays.
+    """Of rows linked by sets of five-word shingles at 0.8 or more, the one with the smallest id stays.
 
-    Of rows that repeat an id one stays as well; documents without an id all stay.
+    Rows are compared whatever their ids: texts that differ stay under one id, and a row without an id goes if it copies
+    another; it stays only where no row of its group has an id. Of rows with one id and one text without words one stays
+    as well. Which of equal ids stays does not matter, as their texts are linked.
     """
-    docs = docs.select(*COLUMNS)
-    groups = jaccard_join.similar_documents(docs, width=5, share=(4, 5))
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    rows = stored(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    groups = stored(jaccard_join.similar_documents(rows, id_col="__row", width=5, share=(4, 5))
+                    .select(F.col("doc_id").alias("__row"), "n_shingles", "component_id", "n_links"), "pipeline-groups")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row")
+    linked = groups.where("n_links > 0").join(rows.select("__row", "doc_id"), "__row")
+    wordless = groups.where("n_shingles = 0").select("__row").join(rows.select("__row", "doc_id", "text"), "__row").where("doc_id is not null")
+    stay = (linked.groupBy("component_id").agg(F.min(order).alias("first"))
+            .unionByName(wordless.groupBy("doc_id", "text").agg(F.min(order).alias("first")), allowMissingColumns=True)
+            .select(F.col("first.__row").alias("__row")))
+    gone = linked.select("__row").unionByName(wordless.select("__row")).join(stay, "__row", "left_anti")
+    return rows.join(gone, "__row", "left_anti").select(*COLUMNS)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,3 +84,12 @@ def test_run_on_rows_with_nulls(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in got} == {1, 2, 3, 4, None}
     assert sum(r["length"] for r in got if r["doc_id"] == 3) == 30_001
+
+
+def test_near_copies_of_repeated_and_null_ids(spark):
+    one, two, three = ("alpha beta gamma delta epsilon zeta eta", "one two three four five six seven", "red green blue black white grey pink")
+    rows = [(7, one), (7, one), (7, two), (3, two), (None, three), (None, three), (None, one), (8, None), (8, None), (9, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_copies(spark, docs.repartition(3), SMALL)
+    assert got.columns == COLUMNS
+    assert Counter(pairs(got)) == Counter([(7, one), (3, two), (None, three), (8, None), (9, None), (None, "")])
