@@ -3,7 +3,9 @@
 A seed is a mask of word positions; the words at its gaps do not count, so a replaced word breaks only
 the seeds that look at it. The masks below are such that any alignment of seven words or more with
 at most one word in five replaced (two in ten to fourteen) is hit by one of them. A hit only names a passage
-and a place: the passage is then laid over the document there and the equal words are counted.
+and a place: the passage is then laid over the document there and the equal words are counted. Where no single place
+holds enough of them, places that words left out or added have shifted are put together in order. A passage also
+counts where a long stretch of it stands in a document.
 
 The benchmark is cut into blocks of a bounded number of words. A block's hashes go to the tasks that
 read the documents; several blocks are several passes. Documents are never shuffled.
@@ -28,6 +30,9 @@ LEAST_WORDS = 5
 BLOCK_WORDS = 1 << 18
 TABLE_BITS = 22
 STEP = 1 << 20
+# Words of a stretch that counts by itself, and places beside a hit that are looked at.
+STRETCH = 30
+BESIDE = 3
 
 
 def _ranks(h: np.ndarray, weight: int) -> list[np.ndarray]:
@@ -70,8 +75,48 @@ class Passages:
         self.table[(self.keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
 
 
+def _shifted(h: np.ndarray, item: np.ndarray, starts: np.ndarray, low: int, high: int, share: float) -> tuple[int, int]:
+    """Most words of the item that stand in h[low:high] in order at places by the given ones, and the place of the first.
+
+    Places are put together where they differ by half of the item's words or less, or by BESIDE. (0, 0) if fewer than `share`
+    of the words stand there.
+    """
+    n, found = len(item), (0, 0)
+    reach = max(BESIDE, n // 2)
+    for near in np.split(starts, np.flatnonzero(np.diff(starts) > reach) + 1):
+        base, size = int(near[0]) - BESIDE, int(near[-1] - near[0]) + 2 * BESIDE + 1
+        at = np.arange(base, base + size)[None, :] + np.arange(n)[:, None]
+        same = (at >= low) & (at < high) & (h[np.clip(at, 0, len(h) - 1)] == item[:, None])
+        if same.any(axis=1).sum() < share * n - 1e-9:
+            continue
+        # The number of equal words, then the first place, which is better if smaller.
+        fresh = (1 << 32) + (1 << 31) - np.arange(size)
+        best = np.zeros((n + 1, size), np.int64)
+        for k in range(n):
+            before = best[k].copy()
+            for j in range(1, min(reach, size - 1) + 1):
+                # Words were added before this one, or words of the item left out.
+                np.maximum(before[j:], best[k, :-j], out=before[j:])
+                if j <= k:
+                    np.maximum(before[:-j], best[k - j, j:], out=before[:-j])
+            best[k + 1] = np.maximum(best[k], np.where(same[k], np.where(before > 0, before + (1 << 32), fresh), 0))
+        top = int(best[n].max())
+        if (top >> 32) > found[0]:
+            found = top >> 32, base + (1 << 31) - (top & 0xFFFFFFFF)
+    return found if found[0] >= share * n - 1e-9 else (0, 0)
+
+
+def _stretch(same: np.ndarray, share: float) -> bool:
+    """True if STRETCH neighbouring words or more hold at least `share` equal ones."""
+    total = np.r_[0, np.cumsum(same - share)]
+    return bool((total[STRETCH:] - np.minimum.accumulate(total)[:len(total) - STRETCH] >= -1e-9).any())
+
+
 def overlaps(h: np.ndarray, counts: np.ndarray, passages: Passages, share: float = SHARE):
-    """(document, passage, equal words, place) of every alignment with at least `share` of the passage's words."""
+    """(document, passage, equal words, place) of every alignment with at least `share` of the passage's words, or of a stretch of it.
+
+    Where a document has no such alignment of a passage, its alignments are put together.
+    """
     if not len(h) or not len(passages.keys):
         return (np.zeros(0, np.int64),) * 4
     first = np.cumsum(counts) - counts
@@ -113,6 +158,22 @@ def overlaps(h: np.ndarray, counts: np.ndarray, passages: Passages, share: float
         same = inside & (h[np.clip(place, 0, len(h) - 1)] == passages.words[np.repeat(passages.first[item[part]], n) + within])
         equal[part] = np.add.reduceat(same, np.cumsum(n) - n) if total else 0
     good = equal >= share * size - 1e-9
+    # One group for each document and passage; what has a good alignment is settled.
+    edges = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])])
+    lengths = np.diff(np.r_[edges, len(doc)])
+    open_groups = ~np.logical_or.reduceat(good, edges)
+    for begin, length in zip(edges[open_groups], lengths[open_groups]):
+        d, p = doc[begin], item[begin]
+        words_of = passages.words[passages.first[p]:passages.first[p] + size[begin]]
+        low, high = int(first[d]), int(first[d] + counts[d])
+        n, place = _shifted(h, words_of, start[begin:begin + length], low, high, share)
+        if n:
+            good[begin], equal[begin], start[begin] = True, n, place
+            continue
+        for i in range(begin, begin + length):
+            if equal[i] >= share * STRETCH - 1e-9:
+                k = np.arange(max(0, low - start[i]), min(size[i], high - start[i]))
+                good[i] = _stretch(h[start[i] + k] == words_of[k], share)
     return doc[good], item[good], equal[good], (start - first[doc])[good]
 
 
@@ -159,7 +220,9 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """doc_id, item_id, equal_words, item_words, place: one row for each passage a document holds.
 
     A passage is held where at least `share` of its words stand in the document, in their places
-    relative to each other. Words are runs of letters and digits, A-Z lower-cased. Of several places
+    relative to each other or, if that is nowhere so, in order with words left out or added between them; or where
+    30 neighbouring words of it or more stand there with at least `share` of them equal. Left out or added words
+    are seen only beside a seed hit, and gaps between places up to half of the passage's words. Words are runs of letters and digits, A-Z lower-cased. Of several places
     the one with most equal words counts, the first of equals. Passages of fewer than five words, and
     null ones, are not looked for; null and empty documents hold none. Repeated rows, of either table, are
     one finding. Other columns are not read; empty tables give no rows.

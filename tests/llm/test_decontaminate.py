@@ -49,3 +49,23 @@ def test_empty_tables(spark):
     docs, bench = spark.createDataFrame([(1, "a b c d e f g", 1, "x")], DOCS), spark.createDataFrame([(1, "a b c d e f g", 1)], ITEMS)
     assert benchmark_overlaps(docs, bench).count() == 1
     assert benchmark_overlaps(docs.limit(0), bench).collect() == [] and decontaminate(docs, bench.limit(0)).count() == 1
+
+
+def test_words_left_out_or_added_and_long_stretches(spark):
+    draw = random.Random(4)
+    items = [sentence(draw, n) for n in (12, 30, 59)]
+    rows = []
+    for k, item in enumerate(items):
+        half = len(item) // 2
+        copies = [item[:half] + item[half + 1:], item[:half] + ["more"] + item[half:], item[:half] + item[half + len(item) // 6:],
+                  item[:half] + sentence(draw, 5) + item[half:], item[:4] + ["a"] + item[4:half + 2] + item[half + 3:]][:4 if k == 0 else 5]
+        rows += [(10 * k + i, k, len(item) - (1, 0, len(item) // 6, 0, 1)[i], copy) for i, copy in enumerate(copies)]
+    # 40 words of 59, and as many with one in five replaced.
+    part = items[2][10:50]
+    rows += [(90, 2, 40, part), (91, 2, 32, [w if i % 5 else "other" for i, w in enumerate(part)])]
+    docs = spark.createDataFrame([(i, " ".join(sentence(draw, 40) + copy + sentence(draw, 30)), 1, "x") for i, _, _, copy in rows], DOCS)
+    bench = spark.createDataFrame([(k, " ".join(x), 1) for k, x in enumerate(items)], ITEMS)
+    got = {(r["doc_id"], r["item_id"]): (r["equal_words"], r["place"]) for r in benchmark_overlaps(docs, bench).collect()}
+    assert got.keys() == {(i, k) for i, k, _, _ in rows}
+    assert {i: got[i, k] for i, k, _, _ in rows} == {i: (n, 30 if i >= 90 else 40) for i, _, n, _ in rows}
+    assert decontaminate(docs, bench).count() == 0
