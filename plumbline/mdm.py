@@ -57,6 +57,7 @@ CUSTOMER = Contract(
     operational="mdm.customer_master", analytical="mdm.customer_master",
     partition_column="KUNNR", partitions=32,
     keys=("customer_number",),
+    # New customers alone: changes of old ones come by the change feed (run_cdc).
     strategy="incremental_merge", incremental="created_on",
     mask_personal=True,
     fields=(
@@ -80,7 +81,8 @@ VENDOR = Contract(
     operational="mdm.vendor_master", analytical="mdm.vendor_master",
     partition_column="LIFNR", partitions=16,
     keys=("vendor_number",),
-    strategy="incremental_merge", incremental="created_on",
+    # Its only date is that of creation, which tells nothing of changes.
+    strategy="full_refresh", incremental="created_on",
     replicated=True,
     fields=(
         _key("LIFNR", "vendor_number", 10),

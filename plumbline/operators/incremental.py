@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.contracts import Contract
 from plumbline.functions.digest import BUCKETS, row_text
@@ -19,9 +20,17 @@ def in_window(df: DataFrame, column: str, after, up_to) -> DataFrame:
     return df.filter((F.col(column) > F.lit(after)) & (F.col(column) <= F.lit(up_to)))
 
 
-def newer_than(df: DataFrame, column: str, watermark) -> DataFrame:
-    """Incremental read; without a watermark it is a full read."""
-    return df if watermark is None else df.filter(F.col(column) > F.lit(watermark))
+def newer_than(df: DataFrame, column: str, watermark, whole_days: bool | None = None) -> DataFrame:
+    """Incremental read; without a watermark it is a full read.
+
+    A column of whole days is read from the watermark's day on, since more rows of that day may have come; merging
+    a row again changes nothing but its batch. By default dates and text (raw dates) are whole days.
+    """
+    if watermark is None:
+        return df
+    if whole_days is None:
+        whole_days = isinstance(df.schema[column].dataType, (T.DateType, T.StringType))
+    return df.filter(F.col(column) >= F.lit(watermark) if whole_days else F.col(column) > F.lit(watermark))
 
 
 def window_parity(source: DataFrame, target: DataFrame) -> DataFrame:

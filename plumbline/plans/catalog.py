@@ -1037,6 +1037,18 @@ def run_table(spark, sf):
     return run.target(MATERIAL, "operational").read().select(*MATERIAL.columns)
 
 
+@query
+def run_table_late_rows(spark, sf):
+    """Two loads: of the watermark's day, all rows but one come after the first; the operational target."""
+    run = runs.Run(spark, scratch_dir(spark, "late"), buckets=4)
+    raw = shaped.materials(spark, sf)
+    day = raw.where("LAEDA is not null").groupBy("LAEDA").agg(F.count("*").alias("n"), F.min("MATNR").alias("known")).orderBy(F.desc("n"), "LAEDA").first()
+    first = raw.filter((F.col("LAEDA") < day["LAEDA"]) | (F.col("LAEDA") == day["LAEDA"]) & (F.col("MATNR") == day["known"]) | F.col("LAEDA").isNull())
+    for batch_id, rows in ((BATCH, first), (f"{BATCH}-2", raw)):
+        runs.run_table(run, MATERIAL, batch_id, lambda mark, rows=rows: incremental.newer_than(rows, "LAEDA", mark), RUN_AT)
+    return run.target(MATERIAL, "operational").read().select(*MATERIAL.columns)
+
+
 @query
 def run_table_bad_values(spark, sf):
     """A table with unreadable weights and unknown flags: what the run reports, and that it loads nothing."""

@@ -681,6 +681,7 @@ union all select * replace (-s_suppkey - 1 as s_suppkey) from supplier"""
 # --- whole runs ------------------------------------------------------------------------------
 
 CASES["run_table"] = MARA
+CASES["run_table_late_rows"] = MARA
 CASES["run_table_masked"] = KNA1_MASKED
 CASES["run_many"] = " union all ".join(
     f"select 'batch-0905-{name}' as batch_id, count(*) as n_rows, 'SUCCEEDED' as status, count(*) as row_count from {table}"

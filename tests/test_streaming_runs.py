@@ -136,6 +136,21 @@ def test_failed_check_stops_before_the_load(spark, run):
     assert reports.groupBy("phase").count().count() == 3
 
 
+def test_changed_vendors_are_loaded_again(spark, run):
+    raw = shaped.vendors(spark, SMALL)
+    changed = raw.withColumn("NAME1", F.lit("changed"))
+    for batch, rows in (("b1", raw), ("b2", changed)):
+        assert runs.run_table(run, VENDOR, batch, lambda mark, rows=rows: newer_than(rows, "ERDAT", mark), AT).status == "SUCCEEDED"
+    assert {r[0] for r in run.target(VENDOR, "operational").read().select("vendor_name").distinct().collect()} == {"changed"}
+
+
+def test_whole_days_are_read_again(spark):
+    days = spark.createDataFrame([("20240101",), ("20240102",), ("20240103",)], "day string")
+    assert newer_than(days, "day", "20240102").count() == 2
+    assert newer_than(days.select(F.to_timestamp("day", "yyyyMMdd").alias("t")), "t", "2024-01-02 00:00:00").count() == 1
+    assert newer_than(days.select(F.to_date("day", "yyyyMMdd").alias("d")), "d", "2024-01-02").count() == 2
+
+
 def test_failed_load_is_put_back_and_may_run_again(spark, run, monkeypatch):
     raw = shaped.vendors(spark, SMALL)
     assert runs.run_table(run, VENDOR, "b1", lambda mark: raw.filter("LIFNR < '0000000005'"), AT).status == "SUCCEEDED"
