@@ -223,7 +223,8 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     relative to each other or, if that is nowhere so, in order with words left out or added between them; or where
     30 neighbouring words of it or more stand there with at least `share` of them equal. Left out or added words
     are seen only beside a seed hit, and gaps between places up to half of the passage's words. Words are runs of letters and digits, A-Z lower-cased. Of several places
-    the one with most equal words counts, the first of equals. Passages of fewer than five words, and
+    the one with most equal words counts, the first of equals. Of passages of five words only whole ones are
+    found for sure, and of six not those with the third word replaced; passages of fewer than five words, and
     null ones, are not looked for; null and empty documents hold none. Repeated rows, of either table, are
     one finding. Other columns are not read; empty tables give no rows.
     """
