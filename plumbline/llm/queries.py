@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import (
-    decontaminate, grouping_ga, html_consensus, jaccard_join, license_scan, line_dedup, quality, segment_topk, shard_packing,
-    token_files,
+    bloom_dedup, decontaminate, grouping_ga, html_consensus, jaccard_join, license_scan, line_dedup, periodic_runs, quality,
+    reversed_search, segment_topk, shard_packing, token_files,
 )
 from plumbline.llm.common import table
 
@@ -76,6 +76,35 @@ def op10_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_packing.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def with_planted_run(doc_id: int | None, words: list) -> list:
+    """The contract's planted runs: from some word on, the words of one document in ten repeat. Rows without an id stay as they are."""
+    from zlib import crc32
+
+    h = crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if doc_id is None or h % 10 or not n:
+        return words
+    first = g % n
+    period = 1 + (n - first) // (3 + g % 8)
+    unit = words[first:first + period]
+    return words[:first] + (unit * -(-(n - first) // period))[:n - first]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), prepare=with_planted_run)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+
+
+def op13_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_dedup.exact_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_consensus": op1_html_consensus,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -87,8 +116,13 @@ QUERIES: dict[str, Query] = {
     "op8_segment_topk": op8_segment_topk,
     "op9_token_files": op9_token_files,
     "op10_vector_sharding": op10_vector_sharding,
+    "op11_reversed_search": op11_reversed_search,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_bloom_dedup": op13_bloom_dedup,
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 _KEY = "translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 def _license_sql() -> str:
@@ -142,4 +176,21 @@ CASES: dict[str, str] = {
                    from v q join v x on q.vec_id <> x.vec_id and len(q.c) = len(x.c) where q.vec_id % 20 = 0),
              r as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score from s)
         select query_id, rank, vec_id, score from r where rank <= 20""",
+    "op11_reversed_search": f"""
+        with d as (select doc_id, unnest({_TERMS}) as term from documents),
+             n as (select doc_id, count(*) as n from d group by doc_id),
+             total as (select count(*) as n_docs, sum(n)::bigint as n_terms from n),
+             df as (select term, count(distinct doc_id) as df from d group by term),
+             i as (select item_id, term, count(*) as times from (select item_id, unnest({_TERMS}) as term from benchmark) group by all),
+             tf as (select doc_id, term, count(*) as tf from d where term in (select term from i) group by all),
+             w as (select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double))::bigint as w from df cross join total),
+             s as (select item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::bigint as score
+                   from i join tf using (term) join w using (term) join n using (doc_id) cross join total group by item_id, doc_id),
+             r as (select *, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank from s where score > 0)
+        select item_id, rank, doc_id, score from r where rank <= 20""",
+    "op13_bloom_dedup": f"""
+        with t as (select doc_id, {_LOWER} as text from documents)
+        select doc_id, max(doc_id) over (partition by text) as keep_id, count(*) over (partition by text) as group_size,
+               doc_id = max(doc_id) over (partition by text) as kept, sha256(text) as text_sha256
+        from t""",
 }
