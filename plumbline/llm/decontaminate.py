@@ -31,8 +31,9 @@ BLOCK_WORDS = 1 << 18
 TABLE_BITS = 22
 STEP = 1 << 20
 # Words of a stretch that counts by itself, and places beside a hit that are looked at.
-STRETCH = 30
+STRETCH = 13
 BESIDE = 3
+PART = 512
 
 
 def _ranks(h: np.ndarray, weight: int) -> list[np.ndarray]:
@@ -75,39 +76,49 @@ class Passages:
         self.table[(self.keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
 
 
+def _in_order(h: np.ndarray, item: np.ndarray, base: int, size: int, low: int, high: int) -> tuple[int, int]:
+    """Most words of the item that stand in h[low:high] in order, each shifted to one of `size` places from base on, and the first place."""
+    n = len(item)
+    at = np.arange(base, base + size + n)
+    inside = (at >= low) & (at < high)
+    own = h[np.clip(at, 0, len(h) - 1)]
+    # The number of equal words, then the first place, which is better if smaller.
+    fresh = (1 << 32) + (1 << 31) - np.arange(size)
+    best, left_out = np.zeros(size, np.int64), np.zeros(size + n + 1, np.int64)
+    for k in range(n):
+        # Words were added before this one, or words of the item left out.
+        before = np.maximum(np.maximum.accumulate(best), left_out[k:k + size])
+        same = inside[k:k + size] & (own[k:k + size] == item[k])
+        best = np.maximum(best, np.where(same, np.where(before > 0, before + (1 << 32), fresh), 0))
+        np.maximum(left_out[k + 1:k + 1 + size], best, out=left_out[k + 1:k + 1 + size])
+    top = int(best.max())
+    return (top >> 32, base + (1 << 31) - (top & 0xFFFFFFFF)) if top else (0, 0)
+
+
 def _shifted(h: np.ndarray, item: np.ndarray, starts: np.ndarray, low: int, high: int, share: float) -> tuple[int, int]:
     """Most words of the item that stand in h[low:high] in order at places by the given ones, and the place of the first.
 
-    Places are put together where they differ by half of the item's words or less, or by BESIDE. (0, 0) if fewer than `share`
-    of the words stand there.
+    Places are put together where the next is half of the item's words or less away, or BESIDE, and in windows of twice as many places as
+    the item has words, every second half of one beginning the next. (0, 0) if fewer than `share` of the words stand there.
     """
     n, found = len(item), (0, 0)
     reach = max(BESIDE, n // 2)
     for near in np.split(starts, np.flatnonzero(np.diff(starts) > reach) + 1):
-        base, size = int(near[0]) - BESIDE, int(near[-1] - near[0]) + 2 * BESIDE + 1
-        at = np.arange(base, base + size)[None, :] + np.arange(n)[:, None]
-        same = (at >= low) & (at < high) & (h[np.clip(at, 0, len(h) - 1)] == item[:, None])
-        if same.any(axis=1).sum() < share * n - 1e-9:
-            continue
-        # The number of equal words, then the first place, which is better if smaller.
-        fresh = (1 << 32) + (1 << 31) - np.arange(size)
-        best = np.zeros((n + 1, size), np.int64)
-        for k in range(n):
-            before = best[k].copy()
-            for j in range(1, min(reach, size - 1) + 1):
-                # Words were added before this one, or words of the item left out.
-                np.maximum(before[j:], best[k, :-j], out=before[j:])
-                if j <= k:
-                    np.maximum(before[:-j], best[k - j, j:], out=before[:-j])
-            best[k + 1] = np.maximum(best[k], np.where(same[k], np.where(before > 0, before + (1 << 32), fresh), 0))
-        top = int(best[n].max())
-        if (top >> 32) > found[0]:
-            found = top >> 32, base + (1 << 31) - (top & 0xFFFFFFFF)
+        first, last = int(near[0]) - BESIDE, int(near[-1]) + BESIDE + 1
+        for base in range(first, max(first + 1, last - 2 * reach), 2 * reach):
+            size = min(4 * reach, last - base)
+            if np.isin(item, h[max(low, base):max(low, min(high, base + size + n))]).sum() < share * n - 1e-9:
+                continue
+            equal, place = _in_order(h, item, base, size, low, high)
+            if equal > found[0]:
+                found = equal, place
     return found if found[0] >= share * n - 1e-9 else (0, 0)
 
 
 def _stretch(same: np.ndarray, share: float) -> bool:
     """True if STRETCH neighbouring words or more hold at least `share` equal ones."""
+    if len(same) < STRETCH:
+        return False
     total = np.r_[0, np.cumsum(same - share)]
     return bool((total[STRETCH:] - np.minimum.accumulate(total)[:len(total) - STRETCH] >= -1e-9).any())
 
@@ -166,7 +177,13 @@ def overlaps(h: np.ndarray, counts: np.ndarray, passages: Passages, share: float
         d, p = doc[begin], item[begin]
         words_of = passages.words[passages.first[p]:passages.first[p] + size[begin]]
         low, high = int(first[d]), int(first[d] + counts[d])
-        n, place = _shifted(h, words_of, start[begin:begin + length], low, high, share)
+        # Each part of a very long passage is put in order by itself, so that the work stays in proportion to it.
+        parts = range(0, len(words_of), PART)
+        found = [(_shifted(h, words_of[p:p + PART], start[begin:begin + length] + p, low, high, share / min(2, len(parts))), p) for p in parts]
+        n = sum(equal for (equal, _), _ in found)
+        place = next((at - p for (equal, at), p in found if equal), 0)
+        if n < share * len(words_of) - 1e-9:
+            n = 0
         if n:
             good[begin], equal[begin], start[begin] = True, n, place
             continue
@@ -221,8 +238,9 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
     A passage is held where at least `share` of its words stand in the document, in their places
     relative to each other or, if that is nowhere so, in order with words left out or added between them; or where
-    30 neighbouring words of it or more stand there with at least `share` of them equal. Left out or added words
-    are seen only beside a seed hit, and gaps between places up to half of the passage's words. Words are runs of letters and digits, A-Z lower-cased. Of several places
+    13 neighbouring words of it or more stand there with at least `share` of them equal, also at the document's
+    beginning or end. Left out or added words are seen only beside a seed hit, and where the places of neighbouring hits are up to half of the
+    passage's words apart, and all of them about as many as it has words. Words are runs of letters and digits, A-Z lower-cased. Of several places
     the one with most equal words counts, the first of equals. Of passages of five words only whole ones are
     found for sure, and of six not those with the third word replaced; passages of fewer than five words, and
     null ones, are not looked for; null and empty documents hold none. Repeated rows, of either table, are
