@@ -7,7 +7,7 @@ bucket, so the shuffle is a few hundred rows whatever the table's size or skew.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,18 +48,28 @@ def bucket_profile(
     ``lane2`` and ``rest_`` are for comparisons inside Spark: the bits of floats, and the numbers that an exact
     sum cannot hold.
     """
-    hashed = df.select(
+    bucket = (key_bucket(df, keys, buckets) if keys else F.lit(0)).alias("bucket")
+    return hashed_rows(df, columns, numeric, bucket).groupBy("bucket").agg(*profile_aggregates(df, columns, numeric))
+
+
+def hashed_rows(df: DataFrame, columns: list[str], numeric: list[str], *more: Column) -> DataFrame:
+    """What ``profile_aggregates`` works on: the columns, the lanes of their row, and anything else asked for."""
+    return df.select(
         *dict.fromkeys([*columns, *numeric]),
-        (key_bucket(df, keys, buckets) if keys else F.lit(0)).alias("bucket"),
+        *more,
         F.md5(row_text(df, columns)).alias("_md5"),
         F.expr(exact_lane(df, columns)).alias("_lane2"),
     ).withColumns({f"_lane{i}": F.expr(lane("_md5", i)) for i in (0, 1)})
+
+
+def profile_aggregates(df: DataFrame, columns: list[str], numeric: list[str]) -> list[Column]:
+    """Aggregates ``n, lane0, lane1, lane2, null_<column>…, sum_<column>…, rest_<column>…`` with the types of df's columns."""
     aggregates = ["count(1) as n", *[f"{lane_sum(f'_lane{i}')} as lane{i}" for i in (0, 1, 2)]]
     aggregates += [f"count_if({quoted(c)} is null) as {quoted(f'null_{c}')}" for c in columns]
     aggregates += [f"{summed(c, df.schema[c].dataType)} as {quoted(f'sum_{c}')}" for c in numeric]
     rest = {c: unsummed(c, df.schema[c].dataType) or "cast(null as double)" for c in numeric}
     aggregates += [f"{text if 'sum(' in text else f'max({text})'} as {quoted(f'rest_{c}')}" for c, text in rest.items()]
-    return hashed.groupBy("bucket").agg(*[F.expr(a) for a in aggregates])
+    return [F.expr(a) for a in aggregates]
 
 
 def table_profile(

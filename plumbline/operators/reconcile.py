@@ -6,16 +6,18 @@ target's key columns. Nothing is collected: the report stays a DataFrame of one
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.contracts import Contract
 from plumbline.functions.digest import BUCKETS, aligned
-from plumbline.operators.checksum import bands_differ
-from plumbline.operators.profile import bucket_profile
+from plumbline.operators.checksum import COMPARED, bands_differ, checksum_bands
+from plumbline.operators.profile import bucket_profile, hashed_rows, profile_aggregates
 
 PASSED, WARNING, FAILED = "PASSED", "WARNING", "FAILED"
 
@@ -223,7 +225,11 @@ def key_uniqueness(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def key_uniqueness_rows(target: DataFrame, contract: Contract) -> DataFrame:
     """Layer 3 as one report row."""
-    keys = list(contract.keys)
+    return _uniqueness_row(_uniqueness(target, list(contract.keys)))
+
+
+def _uniqueness(target: DataFrame, keys: list[str]) -> DataFrame:
+    """One row ``(total, distinct, dups, samples)``; samples is a JSON list of the most frequent repeated keys."""
     totals = key_uniqueness(target, keys).select(
         "total_rows", "distinct_pks", "duplicate_count", F.lit(None).cast("string").alias("sample")
     )
@@ -232,12 +238,15 @@ def key_uniqueness_rows(target: DataFrame, contract: Contract) -> DataFrame:
         none.alias("total_rows"), none.alias("distinct_pks"), none.alias("duplicate_count"),
         F.to_json(F.struct(*keys, F.col("n").alias("count"))).alias("sample"),
     )
-    joined = totals.unionByName(shown).agg(
+    return totals.unionByName(shown).agg(
         F.max("total_rows").alias("total"),
         F.max("distinct_pks").alias("distinct"),
         F.max("duplicate_count").alias("dups"),
         F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("sample")), ","), F.lit("]")).alias("samples"),
     )
+
+
+def _uniqueness_row(found: DataFrame, *by: str) -> DataFrame:
     dups = F.col("dups")
     evidence = F.concat(
         F.lit('{"total_rows":'), F.col("total"), F.lit(',"distinct_pks":'), F.col("distinct"),
@@ -249,7 +258,7 @@ def key_uniqueness_rows(target: DataFrame, contract: Contract) -> DataFrame:
         F.when(dups == 0, _filled(KEYS_UNIQUE, _grouped(F.col("total")))).otherwise(_filled(KEYS_REPEAT, _grouped(dups))),
         F.when(dups > 0, evidence),
     )
-    return joined.select(F.inline(F.array(result)))
+    return found.select(*by, F.inline(F.array(result)))
 
 
 def layer_rows(
@@ -267,9 +276,17 @@ def layer_rows(
         known = replace(contract, fields=kept, keys=tuple(k for k in contract.keys if k in shared))
         rows = layer_rows(source, target, known, buckets).filter(~F.col("layer").isin(_failed_by(contract, missing)))
         return rows.unionByName(_missing_rows(source.sparkSession, contract, missing))
+    uniqueness = key_uniqueness_rows(target, contract) if contract.keys else None
+    return _layers(paired_totals(source, target, contract, buckets), uniqueness, contract, buckets)
+
+
+def _layers(totals: DataFrame, uniqueness: DataFrame | None, contract: Contract, buckets: int, *by: str) -> DataFrame:
+    """The results from one row of both sides' totals, and the row of key uniqueness where there are keys.
+
+    Several comparisons are told apart by the columns ``by``.
+    """
     wide = (
-        paired_totals(source, target, contract, buckets)
-        .withColumn("null_drifts", null_drift_entries(contract))
+        totals.withColumn("null_drifts", null_drift_entries(contract))
         .withColumn("sum_drifts", sum_drift_entries(contract) if contract.numeric_columns else F.array())
     )
     in_scan = [
@@ -278,13 +295,72 @@ def layer_rows(
         checksum_layer(contract, buckets),
         statistics_layer(contract),
     ]
-    if contract.keys:
-        uniqueness = key_uniqueness_rows(target, contract)
-        return wide.select(F.inline(F.array(*in_scan))).unionByName(uniqueness)
+    if uniqueness is not None:
+        return wide.select(*by, F.inline(F.array(*in_scan))).unionByName(uniqueness)
     skipped = _result(
         LAYERS[2], F.lit(WARNING), F.lit(KEYS_UNDECLARED), F.lit(None)
     )
-    return wide.select(F.inline(F.array(*in_scan, skipped)))
+    return wide.select(*by, F.inline(F.array(*in_scan, skipped)))
+
+
+def measured(sides: dict[str, tuple[DataFrame, bool]], contract: Contract) -> dict[str, dict]:
+    """Totals of several tables in target form, and their key uniqueness where asked for: two rows of each, in one job."""
+    parts = []
+    for name, (df, unique) in sides.items():
+        rows = hashed_rows(df, contract.columns, contract.numeric_columns)
+        parts.append(rows.agg(*profile_aggregates(df, contract.columns, contract.numeric_columns)).withColumn("_side", F.lit(name)))
+        if unique and contract.keys:
+            parts.append(_uniqueness(df, list(contract.keys)).withColumn("_side", F.lit(name)))
+    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).collect()
+    out: dict[str, dict] = {name: {} for name in sides}
+    for row in found:
+        out[row["_side"]].update({k: v for k, v in row.asDict().items() if v is not None and k != "_side"})
+    return out
+
+
+def lanes_match(source: dict, target: dict) -> bool:
+    return all((source.get(c) or 0) == (target.get(c) or 0) for c in COMPARED)
+
+
+def reports_of(
+    spark: SparkSession, pairs: dict[str, tuple[dict, dict, Callable[[], DataFrame]]], contract: Contract, batch_id: str, buckets: int = BUCKETS,
+) -> dict[str, list[dict]]:
+    """Reports of pairs of tables whose totals are known, as ``reconcile`` gives them.
+
+    A pair is the source's totals, the target's, and what gives the bands of both. Tables of one checksum in all
+    have it in every bucket; only where the checksums differ the bands are asked for, and at most `buckets` rows of them are collected.
+    """
+    fields = ["_pair string", "n_differing long", "differing array<struct<bucket:int,source_rows:bigint,target_rows:bigint>>"]
+    for side in ("s", "t"):
+        fields += [f"`{side}_{name}` long" for name in ["n", *[f"null_{c}" for c in contract.columns]]]
+        for c in contract.numeric_columns:
+            fields += [f"`{side}_sum_{c}` decimal(38,6)", f"`{side}_rest_{c}` double"]
+    rows, keys = [], []
+    for name, (source, target, bands) in pairs.items():
+        shown, n_differing = [], 0
+        if not lanes_match(source, target):
+            found = bands().filter("differs").select("bucket", "source_count", "target_count").orderBy("bucket").collect()
+            # Sides that differed when they were measured still differ, whatever a second look finds.
+            n_differing, shown = max(1, len(found)), [tuple(r) for r in found[:SHOWN_BUCKETS]]
+        row = [name, n_differing, shown]
+        for values in (source, target):
+            row += [values.get(c) or 0 for c in ["n", *[f"null_{c}" for c in contract.columns]]]
+            row += [values.get(f"{part}_{c}") for c in contract.numeric_columns for part in ("sum", "rest")]
+        rows.append(tuple(row))
+        keys.append((name, target.get("total", 0), target.get("distinct", 0), target.get("dups", 0), target.get("samples", "[]")))
+    totals = spark.createDataFrame(rows, ", ".join(fields))
+    uniqueness = None
+    if contract.keys:
+        uniqueness = _uniqueness_row(spark.createDataFrame(keys, "_pair string, total long, distinct long, dups long, samples string"), "_pair")
+    reports: dict[str, list[dict]] = {name: [] for name in pairs}
+    for r in _layers(totals, uniqueness, contract, buckets, "_pair").collect():
+        layer = r.asDict()
+        reports[layer.pop("_pair")].append({"contract_fqn": contract.fqn, "batch_id": batch_id, **layer})
+    return reports
+
+
+def bands_of(source: DataFrame, target: DataFrame, contract: Contract, buckets: int = BUCKETS) -> DataFrame:
+    return checksum_bands(source, target, list(contract.keys), contract.columns, buckets)
 
 
 def _failed_by(contract: Contract, missing: list[str]) -> list[str]:

@@ -46,31 +46,31 @@ def normalise(df: DataFrame, contract: Contract) -> DataFrame:
     return df.drop(CLIENT_COLUMN).select(*exprs, *audit)
 
 
-def coercion_findings(df: DataFrame, contract: Contract) -> DataFrame:
-    """Per column: values that were present but could not be read as the declared type.
-
-    Rows ``(column_name, present_count, lost_count)`` from a single aggregate.
-    """
+def coercion_flags(df: DataFrame, contract: Contract) -> dict[str, tuple[Column, Column]]:
+    """Per typed column: whether a value is there, and whether it is there but cannot be read as declared."""
     types = {f.target: f.spark_type for f in contract.data_fields}
     defaults = {f.target: f for f in contract.data_fields if f.default_sql is not None}
     present = _source_types(df)
-    aggregates, structs = [], []
-    for i, (name, raw, expr) in enumerate(_select_list(df, contract)):
+    flags = {}
+    for name, raw, expr in _select_list(df, contract):
         if raw is None or isinstance(types[name], T.StringType):
             continue
         if name in defaults:
             # A default would hide the loss, so look at the value before it.
             field = replace(defaults[name], default_sql=None)
             expr = normalised(raw, field, present[field.source.lower()][1])
-        aggregates += [
-            F.count(raw).alias(f"p{i}"),
-            F.count_if(raw.isNotNull() & expr.isNull()).alias(f"l{i}"),
-        ]
-        structs.append(F.struct(
-            F.lit(name).alias("column_name"),
-            F.col(f"p{i}").alias("present_count"),
-            F.col(f"l{i}").alias("lost_count"),
-        ))
+        flags[name] = raw.isNotNull(), raw.isNotNull() & expr.isNull()
+    return flags
+
+
+def coercion_findings(df: DataFrame, contract: Contract) -> DataFrame:
+    """Per column: values that were present but could not be read as the declared type.
+
+    Rows ``(column_name, present_count, lost_count)`` from a single aggregate.
+    """
+    flags = coercion_flags(df, contract)
+    aggregates = [F.count_if(f).alias(f"{k}_{c}") for c, both in flags.items() for k, f in zip("pl", both)]
+    structs = [F.struct(F.lit(c).alias("column_name"), F.col(f"p_{c}").alias("present_count"), F.col(f"l_{c}").alias("lost_count")) for c in flags]
     return df.agg(*aggregates).select(F.inline(F.array(*structs)))
 
 

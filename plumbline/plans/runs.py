@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 from plumbline.contracts import Contract
 from plumbline.operators import incremental, parity, pii, reconcile
-from plumbline.operators.transform import coercion_findings, mask_personal, normalise, with_extract_audit, with_load_audit
-from plumbline.sinks.files import write_batch, write_extract, write_report
+from plumbline.operators.transform import mask_personal, normalise, with_extract_audit, with_load_audit
+from plumbline.sinks.files import write_batch, write_extract, write_rows
 from plumbline.sinks.ledger import Ledger
 from plumbline.sinks.versioned import VersionedTable
 from plumbline.streaming import cdc
@@ -65,42 +65,40 @@ class Outcome:
     detail: str = ""
 
 
-def _gate(reports: dict[str, DataFrame], path: str) -> None:
-    """Compute the reports of one step together, keep them, and stop the run if any layer failed.
-
-    A report has five rows.
-    """
-    parts = [rows.withColumn("phase", F.lit(phase)) for phase, rows in reports.items()]
-    rows = reduce(DataFrame.unionByName, parts)
-    results = rows.collect()
-    write_report(rows.sparkSession.createDataFrame(results, rows.schema), path)
-    failed = sorted(f"{r['phase']} {r['layer']}" for r in results if r["status"] == reconcile.FAILED)
+def _gate(spark: SparkSession, reports: dict[str, list[dict]], path: str) -> None:
+    """Keep the reports of one step, of five rows each, and stop the run if any layer failed."""
+    rows = [{**r, "phase": phase} for phase, report in reports.items() for r in report]
+    write_rows(spark, rows, path)
+    failed = sorted(f"{r['phase']} {r['layer']}" for r in rows if r["status"] == reconcile.FAILED)
     if failed:
         raise RuntimeError(f"reconciliation failed: {', '.join(failed)}")
 
 
-def _no_lost_values(raw: DataFrame, contract: Contract, path: str) -> None:
+def _no_lost_values(spark: SparkSession, lost: dict[str, tuple[int, int]], contract: Contract, path: str) -> None:
     """Stop the run if values that were there could not be read as declared; the columns concerned are reported.
 
     Both sides of the later checks are typed by the same code, so only the raw rows show such a loss. Where the
     contract declares a default for what it does not know, the loss is a warning.
     """
-    lost = coercion_findings(raw, contract).filter(F.col("lost_count") > contract.lost_values).orderBy("column_name").collect()
+    lost = {c: counts for c, counts in sorted(lost.items()) if counts[1] > contract.lost_values}
     if not lost:
         return
-    defaulted = [f.target for f in contract.data_fields if f.default_sql is not None]
-    status = F.when(F.col("column_name").isin(defaulted), reconcile.WARNING).otherwise(reconcile.FAILED)
-    report = raw.sparkSession.createDataFrame(lost, "column_name string, present_count long, lost_count long").select(
-        F.lit("coercion").alias("phase"), F.lit(reconcile.LAYERS[1]).alias("layer"), status.alias("status"),
-        F.concat(F.col("lost_count").cast("string"), F.lit(" unreadable value(s) in "), F.col("column_name")).alias("message"),
-        F.to_json(F.struct("column_name", "present_count", "lost_count")).alias("evidence"))
-    write_report(report, path)
-    if stopping := [r["column_name"] for r in lost if r["column_name"] not in defaulted]:
+    defaulted = {f.target for f in contract.data_fields if f.default_sql is not None}
+    write_rows(spark, [{
+        "phase": "coercion", "layer": reconcile.LAYERS[1], "status": reconcile.WARNING if c in defaulted else reconcile.FAILED,
+        "message": f"{n} unreadable value(s) in {c}",
+        "evidence": json.dumps({"column_name": c, "present_count": present, "lost_count": n}),
+    } for c, (present, n) in lost.items()], path)
+    if stopping := [c for c in lost if c not in defaulted]:
         raise RuntimeError(f"unreadable values: {', '.join(stopping)}")
 
 
-def _load_and_check(run: Run, contract: Contract, batch_id: str, typed: DataFrame, at: datetime) -> None:
-    """Load both targets and compare them with what was staged; on any failure put both back."""
+def _load_and_check(run: Run, contract: Contract, batch_id: str, typed: DataFrame, staged: dict[str, dict], at: datetime) -> None:
+    """Load both targets and compare them with what was staged; on any failure put both back.
+
+    staged: the measures of the staged rows, plain and as masked. Of a target only the buckets are read that the load rewrote: all
+    rows of the batch are there.
+    """
     operational = run.target(contract, "operational")
     analytical = run.target(contract, "analytical")
     before = {table: table.version() for table in (operational, analytical)}
@@ -114,15 +112,18 @@ def _load_and_check(run: Run, contract: Contract, batch_id: str, typed: DataFram
                 pool.submit(operational.upsert, loaded, attempt),
                 pool.submit(analytical.delete_insert, mask_personal(loaded, contract), attempt),
             ]
-        for load in loads:
-            load.result()
         mine = F.col("_batch_id") == batch_id
+        rows = {
+            "operational": operational.written(loads[0].result()).filter(mine),
+            "analytical": analytical.written(loads[1].result()).filter(mine),
+        }
+        found = reconcile.measured({side: (df, True) for side, df in rows.items()}, contract)
+        expected = {"operational": typed, "analytical": mask_personal(typed, contract)}
         pairs = {
-            "post_load_operational": (typed, operational.read().filter(mine)),
-            "post_load_analytical": (mask_personal(typed, contract), analytical.read().filter(mine)),
+            f"post_load_{side}": (staged[side], found[side], lambda side=side: reconcile.bands_of(expected[side], rows[side], contract))
+            for side in rows
         }
-        reports = {p: reconcile.reconcile(*sides, contract, batch_id) for p, sides in pairs.items()}
-        _gate(reports, f"{run.report(contract, batch_id)}/load")
+        _gate(run.spark, reconcile.reports_of(run.spark, pairs, contract, batch_id), f"{run.report(contract, batch_id)}/load")
     except Exception:
         for table, version in before.items():
             if table.version() != version:
@@ -135,6 +136,7 @@ def run_table(
 ) -> Outcome:
     """Extract, check, transform, load both targets, check again.
 
+    The source is read once: what the checks need of it is measured while the extract is written.
     ``source`` gives the source rows newer than a watermark. Nothing is loaded if the first check
     fails; if the second fails, the targets are put back. The watermark moves on success only.
     """
@@ -151,14 +153,19 @@ def run_table(
             with_extract_audit(source(mark), contract, at), contract, run.raw(contract, batch_id), at
         )
         raw = read_batch(run.spark, written.path)
-        _no_lost_values(raw, contract, f"{run.report(contract, batch_id)}/coercion")
+        _no_lost_values(run.spark, written.lost, contract, f"{run.report(contract, batch_id)}/coercion")
         # The checks compare in target form: raw text and typed rows never match byte for byte.
-        staged = write_batch(normalise(raw, contract), run.staged(contract, batch_id))
-        typed = read_batch(run.spark, staged.path)
-        expected = normalise(source(mark), contract)
-        extracted = reconcile.reconcile(expected, typed, contract, batch_id)
-        _gate({"post_extract": extracted}, f"{run.report(contract, batch_id)}/extract")
-        _load_and_check(run, contract, batch_id, typed, at)
+        path = write_batch(normalise(raw, contract), run.staged(contract, batch_id)).path
+        typed = read_batch(run.spark, path)
+        sides = {"operational": (typed, True)}
+        if contract.mask_personal:
+            sides["analytical"] = (mask_personal(typed, contract), False)
+        staged = reconcile.measured(sides, contract)
+        # The source was measured while it was read; the raw batch is what it gave.
+        pairs = {"post_extract": (
+            written.totals, staged["operational"], lambda: reconcile.bands_of(normalise(raw, contract), typed, contract))}
+        _gate(run.spark, reconcile.reports_of(run.spark, pairs, contract, batch_id), f"{run.report(contract, batch_id)}/extract")
+        _load_and_check(run, contract, batch_id, typed, {"analytical": staged["operational"], **staged}, at)
         ledger.succeed(run.job, batch_id, written.rows, table=contract.fqn, watermark=written.watermark)
         return Outcome(contract.table, batch_id, "SUCCEEDED", written.rows)
     except Exception as error:

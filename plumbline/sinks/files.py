@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 from plumbline.contracts import Contract
 from plumbline.functions.digest import BUCKETS
+from plumbline.operators.profile import hashed_rows, profile_aggregates
+from plumbline.operators.transform import coercion_flags, normalise
+from plumbline.session import write_text
 
 
 @dataclass(frozen=True)
@@ -17,6 +21,10 @@ class Written:
     path: str
     rows: int
     watermark: str | None = None
+    totals: dict = field(default_factory=dict, compare=False)
+    """What ``reconcile.measured`` would give for the rows in target form, taken while they were written."""
+    lost: dict[str, tuple[int, int]] = field(default_factory=dict, compare=False)
+    """Column -> values that were there, and of them those that cannot be read as declared."""
 
 
 def write_batch(df: DataFrame, path: str, watermark_column: str | None = None) -> Written:
@@ -30,31 +38,46 @@ def write_batch(df: DataFrame, path: str, watermark_column: str | None = None) -
     return Written(path, values["rows"], values.get("watermark"))
 
 
+def write_rows(spark: SparkSession, rows: list[dict], path: str) -> None:
+    """A few rows as JSON lines in a folder of one file; writing again replaces them. No job is needed for so little."""
+    write_text(spark, f"{path}/part-0.json", "".join(json.dumps(r, default=str, ensure_ascii=False) + "\n" for r in rows))
+
+
 def write_schema(df: DataFrame, path: str) -> None:
     """Schema sidecar: one line of schema JSON."""
-    spark = df.sparkSession
-    spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    write_text(df.sparkSession, f"{path}/part-0.txt", df.schema.json() + "\n")
 
 
-def manifest(spark: SparkSession, contract: Contract, written: Written, at: datetime) -> DataFrame:
-    row = (
-        contract.fqn, contract.operational, contract.analytical, written.rows, written.path,
-        at.isoformat(), contract.strategy, contract.partition_column, contract.partitions,
-    )
-    return spark.createDataFrame(
-        [row],
-        "contract_fqn string, operational_target string, analytical_target string, row_count long, "
-        "output_path string, extracted_at string, load_strategy string, partition_column string, "
-        "partition_num_chunks int",
-    )
+def manifest(contract: Contract, written: Written, at: datetime) -> dict:
+    return {
+        "contract_fqn": contract.fqn, "operational_target": contract.operational, "analytical_target": contract.analytical,
+        "row_count": written.rows, "output_path": written.path, "extracted_at": at.isoformat(), "load_strategy": contract.strategy,
+        "partition_column": contract.partition_column, "partition_num_chunks": contract.partitions,
+    }
 
 
 def write_extract(df: DataFrame, contract: Contract, path: str, at: datetime) -> Written:
-    """Batch folder with its schema and manifest beside it."""
-    watermark = contract.incremental_source if contract.strategy == "incremental_merge" else None
-    written = write_batch(df, f"{path}/data", watermark)
+    """Batch folder with its schema and manifest beside it.
+
+    While the rows are written they are also measured in target form, as the reconciliation needs it: counts, NULLs, sums and
+    checksums, and per column the values that cannot be read as declared. So a source is read once.
+    """
+    seen = Observation()
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if contract.strategy == "incremental_merge":
+        metrics.append(F.max(f"_raw.`{contract.incremental_source}`").cast("string").alias("watermark"))
+    flags = coercion_flags(df, contract)
+    typed = normalise(df.withColumns({f"_present_{c}": f for c, (f, _) in flags.items()} | {f"_lost_{c}": f for c, (_, f) in flags.items()})
+                      .withColumn("_raw", F.struct(*[f"`{c}`" for c in df.columns])), contract)
+    aggregates = profile_aggregates(typed, contract.columns, contract.numeric_columns)
+    rows = hashed_rows(typed, contract.columns, contract.numeric_columns, "_raw", *[f"_{k}_{c}" for c in flags for k in ("present", "lost")])
+    metrics += [F.count_if(f"_{k}_{c}").alias(f"_{k}_{c}") for c in flags for k in ("present", "lost")]
+    rows.observe(seen, *metrics, *aggregates).select("_raw.*").write.mode("overwrite").parquet(f"{path}/data")
+    values = seen.get
+    lost = {c: (values[f"_present_{c}"], values[f"_lost_{c}"]) for c in flags}
+    written = Written(f"{path}/data", values["rows"], values.get("watermark"), values, lost)
     write_schema(df, f"{path}/_schema")
-    manifest(df.sparkSession, contract, written, at).coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
+    write_rows(df.sparkSession, [manifest(contract, written, at)], f"{path}/_manifest")
     return written
 
 
@@ -92,8 +115,3 @@ def save_bucketed(df: DataFrame, contract: Contract, table: str, buckets: int =
     """Catalogue table bucketed by the keys: joins and key checks on it need no shuffle."""
     keys = list(contract.keys)
     df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
-
-
-def write_report(rows: DataFrame, path: str) -> None:
-    """Report rows of one table and batch as JSON; writing again replaces them."""
-    rows.coalesce(1).write.mode("overwrite").json(path)

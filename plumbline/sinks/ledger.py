@@ -6,6 +6,7 @@ started by creating a marker file that must not exist, so of two drivers one win
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from datetime import datetime, timezone
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from plumbline.operators.ledger import (
     BATCH, ERROR_LENGTH, FAILED, ROLLED_BACK, SCHEMA, STARTED, SUCCEEDED, WATERMARK, latest_status, unexpired, watermarks,
 )
-from plumbline.session import create_file, path_exists
+from plumbline.session import create_file, path_exists, write_text
 
 STORED = T.StructType([*SCHEMA.fields, T.StructField("seq", T.LongType())])
 TIE = ["seq"]
@@ -51,11 +52,12 @@ class Ledger:
         return self.spark.read.schema(STORED).json(f"{self.path}/*")
 
     def _append(self, *rows: tuple) -> None:
-        # A folder per entry: runs of several tables may write at the same time.
-        entry = f"{self.path}/{uuid.uuid4().hex}"
+        # A file per entry: runs of several tables may write at the same time.
         stamp = time.time_ns()
-        stamped = [(*row, stamp + i) for i, row in enumerate(rows)]
-        self.spark.createDataFrame(stamped, STORED).coalesce(1).write.json(entry)
+        entries = [dict(zip(STORED.names, (*row, stamp + i))) for i, row in enumerate(rows)]
+        for entry in entries:
+            entry["at"] = entry["at"].astimezone(timezone.utc).isoformat()
+        write_text(self.spark, f"{self.path}/{uuid.uuid4().hex}.json", "".join(json.dumps(e) + "\n" for e in entries))
 
     def _status(self, job: str, batch_id: str) -> str | None:
         mine = self.entries().filter((F.col("job") == job) & (F.col("name") == batch_id))

@@ -116,6 +116,12 @@ class VersionedTable:
             parts.append(part.filter(F.col(BUCKET).isin(members)).drop(BUCKET))
         return reduce(DataFrame.unionByName, parts)
 
+    def written(self, version: int | None) -> DataFrame:
+        """The rows of the buckets that one commit rewrote; none without a version."""
+        if version is None:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/data/v={version}")
+
     def _commit(self, df: DataFrame, batch: str, version: int, touched: list[int], removed: str | None = None) -> int:
         """Write the full new content of the touched buckets and log it."""
         rows = df.select(*self.schema.names).withColumn(BUCKET, key_bucket(df, self.keys, self.buckets))
@@ -127,7 +133,8 @@ class VersionedTable:
         return version
 
     def _append_log(self, rows: list[tuple]) -> None:
-        self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.path}/log")
+        lines = [json.dumps(dict(zip(LOG_SCHEMA.names, r))) for r in rows]
+        write_text(self.spark, f"{self.path}/log/{rows[0][0]:012d}-{uuid.uuid4().hex[:8]}.json", "\n".join(lines) + "\n")
 
     def _touched(self, df: DataFrame) -> list[int]:
         """Buckets of the given rows; at most one value per bucket."""

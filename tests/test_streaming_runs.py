@@ -123,6 +123,74 @@ def test_run_table(spark, run):
     assert run.target(CUSTOMER, "operational").read().count() == expected.count()
 
 
+def test_the_source_is_read_once(spark, run, folder, monkeypatch):
+    """The source is gone as soon as the extract is written, and all checks still run and say what they said of two reads."""
+    import shutil
+
+    from plumbline.operators import reconcile
+
+    raw = shaped.customers(spark, SMALL)
+    raw.write.parquet(f"{folder}/source")
+    expected = {(r["layer"], r["status"], r["message"], r["evidence"]) for r in reconcile.layer_rows(
+        normalise(raw, CUSTOMER), normalise(raw, CUSTOMER), CUSTOMER).collect()}
+    calls, write = [], runs.write_extract
+
+    def source(mark):
+        calls.append(mark)
+        return spark.read.parquet(f"{folder}/source")
+
+    def then_gone(*args):
+        written = write(*args)
+        shutil.rmtree(f"{folder}/source")
+        return written
+
+    monkeypatch.setattr(runs, "write_extract", then_gone)
+    done = runs.run_table(run, CUSTOMER, "b1", source, AT)
+    assert (done.status, done.rows, len(calls)) == ("SUCCEEDED", raw.count(), 1)
+    reports = spark.read.json(f"{run.report(CUSTOMER, 'b1')}/*").collect()
+    assert {r["phase"] for r in reports} == {"post_extract", "post_load_operational", "post_load_analytical"}
+    for phase in {r["phase"] for r in reports}:
+        assert {(r["layer"], r["status"], r["message"], r["evidence"]) for r in reports if r["phase"] == phase} == expected
+
+
+def test_what_is_lost_between_reading_and_staging_is_seen(spark, run, monkeypatch):
+    raw = shaped.materials(spark, SMALL)
+    write = runs.write_batch
+
+    def lossy(df, path, *more):
+        return write(df.filter("material_number not like '%7'"), path, *more)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(runs, "write_batch", lossy)
+        outcome = runs.run_table(run, MATERIAL, "b1", lambda mark: raw, AT)
+    assert outcome.status == "FAILED" and "post_extract checksum_bands" in outcome.detail and "post_extract row_count" in outcome.detail
+    bands = spark.read.json(f"{run.report(MATERIAL, 'b1')}/extract").filter("layer = 'checksum_bands'").first()
+    assert "bucket(s) differ" in bands["message"] and bands["evidence"].count('"bucket"') == 10
+    assert run.target(MATERIAL, "operational").read().count() == 0
+
+
+def test_checks_after_the_load_read_the_rewritten_buckets_alone(spark, run):
+    raw = shaped.vendors(spark, SMALL)
+    for batch in ("b1", "b2"):
+        assert runs.run_table(run, VENDOR, batch, lambda mark: raw, AT).status == "SUCCEEDED"
+    table = run.target(VENDOR, "operational")
+    files = {f.split("/data/")[1].split("/")[0] for f in table.written(table.version()).inputFiles()}
+    assert files == {f"v={table.version()}"} and table.written(None).count() == 0
+
+
+def test_measures_equal_a_full_report(spark):
+    from plumbline.mdm import ORDERS
+    from plumbline.operators import reconcile
+
+    clean = shaped.normalised_orders(spark, SMALL)
+    for kinds in ((), ("dropped",), ("nulled",), ("duplicated",), ("scaled", "swapped")):
+        damaged = shaped.damaged_orders(clean, *kinds) if kinds else clean.repartition(3)
+        found = reconcile.measured({"s": (clean, False), "t": (damaged, True)}, ORDERS)
+        got = reconcile.reports_of(spark, {"x": (found["s"], found["t"], lambda: reconcile.bands_of(clean, damaged, ORDERS))}, ORDERS, "b")["x"]
+        full = reconcile.reconcile(clean, damaged, ORDERS, "b").collect()
+        assert sorted(map(str, (tuple(r.values()) for r in got))) == sorted(map(str, map(tuple, full)))
+
+
 def test_failed_check_stops_before_the_load(spark, run):
     raw = shaped.vendors(spark, SMALL)
     twice = raw.unionByName(raw)
