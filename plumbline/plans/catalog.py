@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from plumbline.contracts import Contract, Field
 from plumbline.mdm import ACTIVITY, CUSTOMER, MATERIAL, ORDERS, PRICE_HISTORY, VENDOR
-from plumbline.operators import checksum, incremental, ledger, merge, monitor, parity, pii, reconcile, rules
+from plumbline.operators import checksum, digest_tree, incremental, ledger, merge, monitor, parity, pii, reconcile, rules
 from plumbline.operators.profile import table_profile
 from plumbline.operators.transform import (
     coercion_findings, expand_lookup, mask_personal, normalise, rename_only, schema_conformance, with_extract_audit,
@@ -752,6 +752,51 @@ def rollback_delta(spark, sf):
     return checksum.differing_rows(clean, merge.upsert(clean, changes, ORDER_KEYS), ORDER_KEYS, ORDERS.columns)
 
 
+def stored_orders(spark, sf):
+    """Orders as they were and as they are after the last changes, each stored with its digest tree."""
+    clean, changes = orders_and_changes(spark, sf)
+    root = scratch_dir(spark, "versions")
+    sides = {"before": clean, "after": merge.upsert(clean, changes, ORDER_KEYS)}
+    return [digest_tree.StoredVersion.store(df, f"{root}/{name}", ORDER_KEYS, ORDERS.columns, buckets=16) for name, df in sides.items()]
+
+
+@query
+def stored_version_delta(spark, sf):
+    """Rows that differ between two stored versions; only differing leaves are opened."""
+    return digest_tree.stored_delta(*stored_orders(spark, sf))[1]
+
+
+@query
+def stored_version_report(spark, sf):
+    return digest_tree.stored_delta(*stored_orders(spark, sf))[0]
+
+
+LATER = "2000-09-01"
+
+
+@query
+def digest_maintained(spark, sf):
+    """The digests of a table after three loads, kept up by what each load added and replaced."""
+    clean, changes = orders_and_changes(spark, sf)
+    late = shaped.order_changes(clean, LATER).withColumn("order_priority", F.lit("9-LATE"))
+    state, digests = clean.limit(0), None
+    for batch in (clean, changes, late):
+        delta = digest_tree.load_delta(state, batch, ORDER_KEYS, ORDERS.columns)
+        digests = delta if digests is None else digest_tree.added_up((digests, 1), (delta, 1))
+        state = merge.delete_insert(state, batch, ORDER_KEYS)
+    return digests.groupBy(F.expr(f"leaf div {digest_tree.LEAVES}").cast("int").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("leaves"), F.sum("n").alias("n"),
+        F.concat_ws("-", F.sum("lane0").cast("string"), F.sum("lane1").cast("string")).alias("checksum"))
+
+
+@query
+def digest_stale_leaves(spark, sf):
+    """Leaves in which a target has drifted from the digests kept of its loads."""
+    clean, damaged = orders_and_damaged(spark, sf, "scaled")
+    kept, found = (digest_tree.tree(df, ORDER_KEYS, ORDERS.columns) for df in (clean, damaged))
+    return digest_tree.differing_leaves(kept, found)
+
+
 @query
 def rollback_restore(spark, sf):
     """Load, change, restore the first version; then the same for a batch removed by its id."""

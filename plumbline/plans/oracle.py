@@ -592,6 +592,28 @@ CASES["ledger_audit"] = f"""select name, status, "at" from ({ENTRIES}) where sta
 LOADED = f"""select *, strftime(order_date, '%Y-%m') as _batch_id, order_date::timestamp as _loaded_at from ({ORDERS})"""
 CASES["rollback_by_batch"] = f"select * from ({LOADED}) where _batch_id <> '1998-07'"
 CASES["rollback_delta"] = f"with s as ({ORDERS}), t as ({MERGED}) " + differing("s", "t")
+CASES["stored_version_delta"] = CASES["rollback_delta"]
+KEY_MD5 = f"md5({row_text(['order_key'])})"
+LEAF = f"(('0x' || substr({KEY_MD5}, 1, 8))::bigint % 256 * 64 + ('0x' || substr({KEY_MD5}, 9, 8))::bigint % 64)::int"
+LEAF_OF_16 = LEAF.replace("% 256", "% 16")
+CASES["stored_version_report"] = f"""
+with s as ({ORDERS}), t as ({MERGED}), d as ({differing("s", "t")}),
+  leaves as (select {LEAF_OF_16} as leaf from s union select {LEAF_OF_16} from t)
+select (select count(*) from s) as left_rows, (select count(*) from t) as right_rows, (select count(*) from leaves) as leaves,
+  count(distinct {LEAF_OF_16}) as differing_leaves, count(*) filter (reason = 'missing_in_target') as missing_right,
+  count(*) filter (reason = 'missing_in_source') as missing_left,
+  count(*) filter (reason not in ('missing_in_target', 'missing_in_source')) as changed,
+  case when count(*) = 0 then 'PASSED' else 'FAILED' end as status
+from d"""
+LATE = CHANGES.replace("2000-06-01", "2000-09-01").replace("* replace (", "* replace ('9-LATE' as order_priority, ")
+CASES["digest_maintained"] = f"""
+with state as (select * from ({MERGED}) where order_key not in (select order_key from ({LATE})) union all select * from ({LATE})),
+  l as (select bucket, count(*) as leaves from (select distinct {LEAF} // 64 as bucket, {LEAF} from state) group by 1)
+select b.bucket::int as bucket, leaves, n, checksum from ({bands("state")}) b join l using (bucket)"""
+CASES["digest_stale_leaves"] = f"""
+{sides("scaled")}, a as (select {LEAF} as leaf, count(*) as n from s group by 1), b as (select {LEAF} as leaf, count(*) as n from t group by 1)
+select leaf, a.n as left_count, b.n as right_count from a join b using (leaf)
+where leaf in (select {LEAF} from ({differing("s", "t")}))"""
 CASES["rollback_restore"] = f"select *, 'b1' as _batch_id from ({ORDERS})"
 CASES["rollback_delete_batch"] = f"""
 select *, 'b1' as _batch_id from ({ORDERS}) where order_key not in (select order_key from ({CHANGES}))"""
