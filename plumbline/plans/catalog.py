@@ -1043,6 +1043,19 @@ def jdbc_queue_scan(spark, sf):
     return ledger.unconsumed(queue, taken, "o_custkey")
 
 
+@query
+def jdbc_even_scan(spark, sf):
+    """Orders by a key that few customers hold most of: slices of about as many rows, a customer who fills several split by order."""
+    db = database(spark)
+    skewed = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderdate",
+        F.when(F.col("o_orderkey") % 3 == 0, 7).when(F.col("o_orderkey") % 11 != 0, F.col("o_custkey") * F.col("o_custkey")).cast("bigint").alias("o_custkey"))
+    sink_jdbc.write_table(skewed, db, "orders_even")
+    by_key = lower_names(jdbc.even_scan(spark, db, "orders_even", "o_custkey", 8, split_by="o_orderkey"))
+    by_day = lower_names(jdbc.even_scan(spark, db, "orders_even", "o_orderdate", 8, f"{db.name('o_custkey')} > 7"))
+    return by_key.withColumn("cut_by", F.lit("key")).unionByName(by_day.withColumn("cut_by", F.lit("day")))
+
+
 @query
 def jdbc_single_scan(spark, sf):
     db = stored_suppliers(spark, sf, "sup_single")

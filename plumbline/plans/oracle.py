@@ -689,6 +689,9 @@ CASES["hour_partition_layout"] = """
 select strftime(ts, '%Y-%m-%d') as dt, hour(ts)::int as hh, count(*) as n from events group by 1, 2"""
 CASES["keyed_layout"] = MARA
 CASES["jdbc_range_scan"] = "select * from supplier"
+SKEWED = """select o_orderkey, o_orderdate,
+  case when o_orderkey % 3 = 0 then 7 when o_orderkey % 11 <> 0 then o_custkey * o_custkey end as o_custkey from orders"""
+CASES["jdbc_even_scan"] = f"select *, 'key' as cut_by from ({SKEWED}) union all select *, 'day' from ({SKEWED}) where o_custkey > 7"
 CASES["jdbc_hash_scan"] = "select * from supplier"
 CASES["jdbc_key_range_scan"] = "select * from supplier"
 CASES["jdbc_queue_scan"] = """

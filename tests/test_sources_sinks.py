@@ -41,6 +41,39 @@ def test_slices_are_even_with_discovered_bounds(spark, db):
     assert sum(sizes) == 400 and len(sizes) == 4 and max(sizes) - min(sizes) <= 2
 
 
+def slice_sizes(df):
+    return sorted(r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect())
+
+
+def test_even_slices_of_uneven_keys(spark):
+    database = jdbc.derby("even")
+    rows = spark.range(3000).selectExpr(
+        "id as num", "cast(if(id % 3 = 0, 5, id * id * id) as bigint) as cube", "if(id % 10 = 0, null, id * id) as holes",
+        "date_add(date'2024-01-01', cast(sqrt(id) as int)) as day", "timestamp'2024-01-01' + make_dt_interval(0, 0, 0, id * id / 7) as ts",
+        "cast(id * id / 3 as decimal(18,4)) as price", "exp(id / 300) as wide")
+    sink_jdbc.write_table(rows, database, "uneven")
+    for column in ("num", "holes", "day", "ts", "price", "wide"):
+        df = jdbc.even_scan(spark, database, "uneven", column, 6)
+        sizes = slice_sizes(df)
+        nulls = 300 if column == "holes" else 0
+        assert df.select("num").distinct().count() == df.count() == 3000, column
+        assert len(sizes) == 6 and sizes[-1] - nulls <= 2 * sizes[0], (column, sizes)
+    # A third of the rows have one value. Split by another column, no slice is left with all of them.
+    whole = jdbc.even_scan(spark, database, "uneven", "cube", 6)
+    assert slice_sizes(whole)[-1] >= 1000 and whole.count() == 3000
+    split = jdbc.even_scan(spark, database, "uneven", "cube", 9, split_by="num")
+    sizes = slice_sizes(split)
+    assert split.select("num").distinct().count() == split.count() == 3000 and sizes[-1] <= 2 * (3000 / 9), sizes
+    assert slice_sizes(jdbc.range_scan(spark, database, "uneven", "cube", 6))[-1] > 2000
+    some = jdbc.even_scan(spark, database, "uneven", "day", 4, '"num" >= 2000')
+    assert some.count() == 1000 and slice_sizes(some)[-1] <= 2 * 250
+    assert jdbc.even_scan(spark, database, "uneven", "num", 4, '"num" < 0').count() == 0
+
+
+def test_cut_points_keep_the_order_of_the_database():
+    assert jdbc.key_range_predicates("c", ["a", "B", "c"])[1:3] == ["(c >= 'a' AND c < 'B')", "(c >= 'B' AND c < 'c')"]
+
+
 def test_hash_slices_cover_every_row(spark, db):
     df = jdbc.hash_scan(spark, db, "big", "holes", 5)
     assert df.rdd.getNumPartitions() == 5 and df.count() == 1000
