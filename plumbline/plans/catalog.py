@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from plumbline.contracts import Contract, Field
 from plumbline.mdm import ACTIVITY, CUSTOMER, MATERIAL, ORDERS, PRICE_HISTORY, VENDOR
-from plumbline.operators import checksum, digest_tree, incremental, ledger, merge, monitor, parity, pii, reconcile, rules
+from plumbline.operators import checksum, digest_tree, incremental, ledger, merge, monitor, parity, pii, reconcile, rules, sketches
 from plumbline.operators.profile import table_profile
 from plumbline.operators.transform import (
     coercion_findings, expand_lookup, mask_personal, normalise, rename_only, schema_conformance, with_extract_audit,
@@ -26,11 +26,13 @@ from plumbline.plans import runs
 from plumbline.session import scratch_dir
 from plumbline.sinks import files as sink_files
 from plumbline.sinks import jdbc as sink_jdbc
+from plumbline.sinks.ledger import Ledger
 from plumbline.sinks.versioned import VersionedTable
 from plumbline.sources import files, jdbc, shaped
 from plumbline.sources.files import table
 from plumbline.streaming import cdc
-from plumbline.streaming.debounce import debounced_stream
+from plumbline.streaming.debounce import debounced_stream, first_arrivals_stream
+from plumbline.streaming.queue import QueueReader
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -228,6 +230,28 @@ def quantile_rank_errors(spark, sf):
     return df.agg(F.array(*checks).alias("c")).select(F.inline("c"))
 
 
+def month_sketches(spark, sf):
+    """Sketches of two line columns, stored per month of shipping and read back."""
+    path = scratch_dir(spark, "sketches")
+    lines = table(spark, sf, "lineitem")
+    sketches.period_sketches(lines, F.date_format("l_shipdate", "yyyy-MM"), ["l_quantity", "l_extendedprice"]).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query
+def sketch_periods(spark, sf):
+    """Values in each month's sketch, and in those of each year merged."""
+    months = month_sketches(spark, sf)
+    years = sketches.merged(months.withColumn("year", F.substring("period", 1, 4)), "year").withColumnRenamed("year", "period")
+    return months.unionByName(years).select("period", "column_name", F.kll_sketch_get_n_double("sketch").alias("n"))
+
+
+@query
+def merged_quantiles(spark, sf):
+    """Quantiles of all lines from their months' sketches."""
+    return sketches.quantiles(sketches.merged(month_sketches(spark, sf)), [0.01, 0.5, 0.95, 0.99])
+
+
 def one_layer(spark, sf, layer, *kinds):
     source, target = orders_and_damaged(spark, sf, *kinds)
     return reconcile.layer_rows(source, target, ORDERS).filter(F.col("layer") == layer)
@@ -649,6 +673,25 @@ def dual_target_stream(spark, sf):
     return rows[0].unionByName(rows[1])
 
 
+@query
+def two_cadence_stream(spark, sf):
+    """Silver's changes followed by two targets: one keeps up with every part, the other takes all of it at the end."""
+    root = scratch_dir(spark, "cadences")
+    schema = cdc.feed_schema(ACTIVITY, STORED)
+    silver, operational, analytical = (
+        VersionedTable(spark, f"{root}/{n}", cdc.silver_schema(ACTIVITY), ["user_id"], 4) for n in ("silver", "operational", "analytical"))
+    for part in half_feeds(spark, sf):
+        stored = part.withColumn("_dms_committed_at", F.col("_dms_committed_at").cast("timestamp"))
+        stored.write.mode("append").parquet(f"{root}/feed")
+        cdc.ingest_bronze(spark, f"{root}/feed", f"{root}/bronze", f"{root}/ckpt", schema).awaitTermination()
+        cdc.merge_silver(spark, f"{root}/bronze", silver, f"{root}/ckpt", ACTIVITY, cdc.bronze_schema(schema), changes_dir=f"{root}/changes").awaitTermination()
+        cdc.follow_changes(spark, f"{root}/changes", operational, f"{root}/ckpt/operational", ACTIVITY).awaitTermination()
+    cdc.follow_changes(spark, f"{root}/changes", analytical, f"{root}/ckpt/analytical", ACTIVITY, masked=True).awaitTermination()
+    rows = [t.read().select(F.lit(side).alias("side"), "user_id", "email", "_is_deleted")
+            for side, t in (("operational", operational), ("analytical", analytical))]
+    return rows[0].unionByName(rows[1])
+
+
 def arrivals(spark, sf):
     """Events as object arrivals; clicks fall outside the change area."""
     area = F.when(F.col("event_type") == "click", "raw").otherwise("cdc")
@@ -678,6 +721,33 @@ def debounce_stream(spark, sf):
     return zoneless(spark.read.schema(stream.schema).parquet(f"{root}/out").select("table_name", "period_start"))
 
 
+@query
+def debounce_stream_late(spark, sf):
+    """Arrivals in five triggers by their time, one in 50 a trigger late, one in 70 three; the first arrival of each table and period.
+
+    A period is open until the trigger after the one that moved the watermark past it: what comes later is dropped. A sixth trigger holds an arrival of no table that closes the last periods.
+    """
+    root = scratch_dir(spark, "debounce-late")
+    arrived = arrivals(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")).withColumn("event_id", F.regexp_extract("path", r"/(\d+)\.parquet$", 1).cast("long"))
+    low, high = arrived.agg(F.min("ts"), F.max("ts")).first()
+    since = lambda t: F.unix_micros(t) - F.unix_micros(F.lit(low))
+    trigger = F.floor(since(F.col("ts")) * 5 / (since(F.lit(high)) + 1)).cast("int")
+    arrived = arrived.withColumn("trigger", F.when(F.col("event_id") % 50 == 0, F.least(trigger + 1, F.lit(4)))
+                                 .when(F.col("event_id") % 70 == 0, F.least(trigger + 3, F.lit(4))).otherwise(trigger))
+    close = arrived.filter(F.col("ts") == F.lit(high)).limit(1).select((F.col("ts") + F.expr("interval 1 day")).alias("ts"), F.lit("none").alias("path"))
+    schema = arrived.select("ts", "path").schema
+    for k in range(6):
+        part = arrived.filter(F.col("trigger") == k).select("ts", "path") if k < 5 else close
+        # A trigger takes one file.
+        part.coalesce(1).write.mode("append").parquet(f"{root}/arrivals")
+    stream = first_arrivals_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arrivals"))
+    (
+        stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/ckpt")
+        .trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    )
+    return zoneless(spark.read.schema(stream.schema).parquet(f"{root}/out"))
+
+
 # --- ledger, rollback, retention -------------------------------------------------------------
 
 TIE = ["seq"]
@@ -826,6 +896,25 @@ def retention_purge(spark, sf):
     return merge.retained(loaded_orders(spark, sf), date(2001, 8, 1))
 
 
+@query
+def retention_purge_rewrite(spark, sf):
+    """The purge as a rewrite of a stored table: only the years that hold old rows are touched."""
+    path = scratch_dir(spark, "purge")
+    loaded_orders(spark, sf).withColumn("year", F.year("order_date")).write.partitionBy("year").parquet(path)
+    sink_files.purge_partitions(spark, path, "year", F.col("_loaded_at") >= F.date_add(F.lit(date(2001, 8, 1)), -730))
+    return spark.read.parquet(path).drop("year")
+
+
+@query
+def ledger_compaction(spark, sf):
+    """A ledger of many files, compacted without batch entries older than ten days."""
+    stored = Ledger(spark, scratch_dir(spark, "compaction"))
+    shaped.as_ledger(spark, sf).withColumn("at", F.col("at").cast("timestamp")).repartition(20).write.json(f"{stored.path}/first")
+    stored.compact(datetime.fromisoformat(NOW).replace(tzinfo=timezone.utc), days=10)
+    kept = stored.entries().groupBy("kind", "status").agg(F.count(F.lit(1)).alias("n"), F.max("seq").alias("newest"))
+    return kept.withColumn("files", F.lit(len(stored.entries().inputFiles())))
+
+
 @query
 def batch_scoped_count(spark, sf):
     scoped = reconcile.loaded_since(loaded_orders(spark, sf), moment("1998-06-30 12:00:00"))
@@ -940,6 +1029,29 @@ def consumed_requests(spark, sf):
     return ledger.unconsumed(queue, consumed, "request")
 
 
+@query
+def queue_loads(spark, sf):
+    """A queue of orders by their number, loaded by a pointer: half of it, then the rest with a crash on the way; who loaded what."""
+    root = scratch_dir(spark, "queue")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    middle = orders.agg(F.expr("cast(avg(o_orderkey) as bigint)")).first()[0]
+    reader = QueueReader(spark, root, "o_orderkey")
+
+    def dies(rows, folder):
+        rows.limit(100).write.mode("overwrite").parquet(folder)
+        raise RuntimeError("lost")
+
+    reader.consume(orders.filter(F.col("o_orderkey") <= middle))
+    try:
+        reader.consume(orders.filter(F.col("o_orderkey") <= 2 * middle), write=dies)
+    except RuntimeError:
+        pass
+    # More requests have come meanwhile; the load that was cut short reads what it had set out to read.
+    while reader.consume(orders):
+        pass
+    return reader.loaded(orders.schema)
+
+
 @query
 def parquet_scan(spark, sf):
     path = scratch_dir(spark, "scan")
@@ -1178,6 +1290,24 @@ def run_many(spark, sf):
     return counts.join(status, "_batch_id").select(F.col("_batch_id").alias("batch_id"), "n_rows", "status", "row_count")
 
 
+@query
+def run_many_ordered(spark, sf):
+    """Four tables of which some need others: the vendors fail first, and hold back two; then all are loaded."""
+    run = runs.Run(spark, scratch_dir(spark, "ordered"), buckets=4)
+    work = []
+    for name in ("ZPRICE_HISTORY", "MARA", "KNA1", "LFA1"):
+        df, contract = shaped.extract(spark, sf, name)
+        work.append((contract, f"{BATCH}-{name}", lambda mark, df=df: df))
+    needs = {"ZPRICE_HISTORY": ["MARA"], "MARA": ["LFA1"]}
+    contract, batch_id, vendors_of = work[3]
+    twice = (contract, batch_id, lambda mark: vendors_of(mark).unionByName(vendors_of(mark)))
+    rows = []
+    for attempt, tables in ((1, [*work[:3], twice]), (2, work)):
+        for o in runs.run_many(run, tables, needs):
+            rows.append((attempt, o.table, o.status, o.rows))
+    return spark.createDataFrame(rows, "attempt int, table_name string, status string, n_rows long")
+
+
 @query
 def run_reports(spark, sf):
     """The stored reports of one run: three phases of five layers."""

@@ -302,6 +302,9 @@ CASES["profile_orders"] = profile(
 CASES["profile_part"] = profile(
     "part", {"p_partkey": "bigint", "p_size": "int", "p_retailprice": "decimal(28,6)"}, ["p_brand"], quantiles=True
 )
+CASES["sketch_periods"] = " union all ".join(
+    f"select strftime(l_shipdate, '{period}') as period, '{c}' as column_name, count({c}) as n from lineitem group by 1"
+    for c in ("l_quantity", "l_extendedprice") for period in ("%Y-%m", "%Y"))
 CASES["recon_row_count"] = f"{sides('dropped')} {count_row()}"
 CASES["recon_null_drift"] = f"{sides('nulled')} {null_row()}"
 CASES["recon_pk_unique"] = f"{sides('duplicated')} {unique_row()}"
@@ -563,6 +566,21 @@ from ({ARRIVALS}) group by 1, 2"""
 CASES["debounce_stream"] = f"""
 select distinct table_name, time_bucket(interval '5 minutes', ts) as period_start from ({ARRIVALS})"""
 
+CASES["two_cadence_stream"] = CASES["dual_target_stream"]
+CASES["debounce_stream_late"] = """
+with b as (select min(epoch_us(ts)) as lo, max(epoch_us(ts)) as hi from events),
+  a as (select event_type <> 'click' as named, 'T' || (user_id % 5) as table_name, ts, event_id, ((epoch_us(ts) - lo) * 5 // (hi - lo + 1))::int as k from events cross join b),
+  t as (select *, case when event_id % 50 = 0 then least(k + 1, 4) when event_id % 70 = 0 then least(k + 3, 4) else k end as arrives from a),
+  m as (select arrives, max(ts) as newest from t group by 1),
+  w as (select arrives, max(newest) over (order by arrives rows between unbounded preceding and 2 preceding) - interval '10 minutes' as mark from m)
+select table_name, time_bucket(interval '5 minutes', ts) as period_start, min(ts) as triggered_at
+from t join w using (arrives)
+where named and (mark is null or time_bucket(interval '5 minutes', ts) + interval '5 minutes' > mark) group by 1, 2"""
+CASES["queue_loads"] = """
+with m as (select trunc(avg(o_orderkey))::bigint as middle from orders)
+select o_orderkey, o_custkey, o_orderstatus, case when o_orderkey <= middle then 1 when o_orderkey <= 2 * middle then 2 else 3 end as load
+from orders cross join m"""
+
 # --- ledger ----------------------------------------------------------------------------------
 
 ENTRIES = """select 'load' as job, 'b' || (event_id // 3) as name,
@@ -588,6 +606,11 @@ select * from ({WORK}) where name not in (select name from ({NEWEST}) where stat
 CASES["ledger_expiry"] = """
 select case when event_type = 'click' then 'watermark' else 'batch' end as kind, count(*) as entries, min(ts) as oldest
 from events where event_type = 'click' or (event_type <> 'view' and ts >= timestamp '2024-01-21 00:00:00') group by 1"""
+CASES["ledger_compaction"] = """
+select case when event_type = 'click' then 'watermark' else 'batch' end as kind,
+  case event_type when 'signup' then 'STARTED' when 'error' then 'FAILED' when 'purchase' then 'SUCCEEDED' end as status,
+  count(*) as n, max(event_id) as newest, 1 as files
+from events where event_type = 'click' or (event_type <> 'view' and ts >= timestamp '2024-01-21 00:00:00') group by 1, 2"""
 CASES["ledger_audit"] = f"""select name, status, "at" from ({ENTRIES}) where starts_with(name, 'b12')"""
 LOADED = f"""select *, strftime(order_date, '%Y-%m') as _batch_id, order_date::timestamp as _loaded_at from ({ORDERS})"""
 CASES["rollback_by_batch"] = f"select * from ({LOADED}) where _batch_id <> '1998-07'"
@@ -618,6 +641,7 @@ CASES["rollback_restore"] = f"select *, 'b1' as _batch_id from ({ORDERS})"
 CASES["rollback_delete_batch"] = f"""
 select *, 'b1' as _batch_id from ({ORDERS}) where order_key not in (select order_key from ({CHANGES}))"""
 CASES["retention_purge"] = f"select * from ({LOADED}) where _loaded_at >= date '2001-08-01' - 730"
+CASES["retention_purge_rewrite"] = CASES["retention_purge"]
 CASES["batch_scoped_count"] = f"""
 select _batch_id, count(*) as n from ({LOADED}) where _loaded_at > timestamp '1998-06-30 12:00:00' group by 1"""
 
@@ -708,6 +732,14 @@ union all select * replace (-s_suppkey - 1 as s_suppkey) from supplier"""
 CASES["run_table"] = MARA
 CASES["run_table_late_rows"] = MARA
 CASES["run_table_masked"] = KNA1_MASKED
+CASES["run_many_ordered"] = f"""
+select 1 as attempt, 'LFA1' as table_name, 'FAILED' as status, 0::bigint as n_rows
+union all select 1, name, 'HELD', 0 from (values ('MARA'), ('ZPRICE_HISTORY')) t(name)
+union all select 1, 'KNA1', 'SUCCEEDED', count(*) from customer
+union all select 2, 'KNA1', 'SKIPPED', 0
+union all select 2, 'LFA1', 'SUCCEEDED', count(*) from supplier
+union all select 2, 'MARA', 'SUCCEEDED', count(*) from part
+union all select 2, 'ZPRICE_HISTORY', 'SUCCEEDED', count(*) from ({PRICES})"""
 CASES["run_many"] = " union all ".join(
     f"select 'batch-0905-{name}' as batch_id, count(*) as n_rows, 'SUCCEEDED' as status, count(*) as row_count from {table}"
     for name, table in (("MARA", "part"), ("KNA1", "customer"), ("LFA1", "supplier"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -184,10 +185,45 @@ def roll_back(run: Run, contract: Contract, batch_id: str) -> str | None:
     return run.ledger.rolled_back(run.job, batch_id, contract.fqn)
 
 
-def run_many(run: Run, work: list[tuple[Contract, str, Callable[[str | None], DataFrame]]]) -> list[Outcome]:
-    """Several tables, four at a time. Spark shares the executors among their jobs."""
-    with ThreadPoolExecutor(MAX_CONCURRENT_TABLES) as pool:
-        return list(pool.map(lambda w: run_table(run, *w), work))
+def run_many(
+    run: Run, work: list[tuple[Contract, str, Callable[[str | None], DataFrame]]], needs: dict[str, list[str]] | None = None,
+    concurrency: int = MAX_CONCURRENT_TABLES,
+) -> list[Outcome]:
+    """Several tables, a few at a time; Spark shares the executors among their jobs.
+
+    needs: table -> tables that must be loaded before it. A table starts as soon as all of its are, and is held back, with all that
+    need it, if one of them fails. Under a fair scheduler every table has a pool of its own.
+    """
+    needs = needs or {}
+    by_table = {w[0].table: w for w in work}
+    if unknown := {n for t in by_table for n in needs.get(t, ())} - set(by_table):
+        raise ValueError(f"needed, but not among the work: {sorted(unknown)}")
+
+    def one(table: str) -> Outcome:
+        run.spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
+        return run_table(run, *by_table[table])
+
+    def is_loaded(outcome: Outcome) -> bool:
+        # What is skipped may be done, or only under way.
+        return outcome.status == "SUCCEEDED" or outcome.status == "SKIPPED" and run.ledger.is_processed(run.job, outcome.batch_id)
+
+    order = TopologicalSorter({t: needs.get(t, ()) for t in by_table})
+    order.prepare()
+    outcomes: dict[str, Outcome] = {}
+    with ThreadPoolExecutor(concurrency) as pool:
+        running = {}
+        while order.is_active():
+            for table in order.get_ready():
+                if waiting := [n for n in needs.get(table, ()) if not is_loaded(outcomes[n])]:
+                    outcomes[table] = Outcome(table, by_table[table][1], "HELD", detail=f"not loaded: {', '.join(waiting)}")
+                    order.done(table)
+                else:
+                    running[pool.submit(one, table)] = table
+            for done in wait(running, return_when=FIRST_COMPLETED).done:
+                table = running.pop(done)
+                outcomes[table] = done.result()
+                order.done(table)
+    return [outcomes[w[0].table] for w in work]
 
 
 def run_cdc(

@@ -52,6 +52,12 @@ def create_file(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(hadoop_path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder, or a file; False if it is not there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file; an existing one is replaced."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

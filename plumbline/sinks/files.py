@@ -6,14 +6,14 @@ import json
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.contracts import Contract
 from plumbline.functions.digest import BUCKETS
 from plumbline.operators.profile import hashed_rows, profile_aggregates
 from plumbline.operators.transform import coercion_flags, normalise
-from plumbline.session import write_text
+from plumbline.session import delete_folder, write_text
 
 
 @dataclass(frozen=True)
@@ -115,3 +115,22 @@ def save_bucketed(df: DataFrame, contract: Contract, table: str, buckets: int =
     """Catalogue table bucketed by the keys: joins and key checks on it need no shuffle."""
     keys = list(contract.keys)
     df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+
+
+def purge_partitions(spark: SparkSession, path: str, partition: str, keep: Column) -> list:
+    """Delete the rows for which ``keep`` is not true, by rewriting only the partitions that hold any. Gives these partitions' values.
+
+    Partitions of which nothing is left are removed; files of others keep their names. What is collected is one row per partition
+    touched. A run that was cut short can be run again: it finds what is left to purge.
+    """
+    stored = spark.read.parquet(path)
+    gone = ~F.coalesce(keep, F.lit(False))
+    touched = stored.groupBy(partition).agg(F.count_if(gone).alias("gone"), F.count_if(~gone).alias("left")).filter("gone > 0").collect()
+    rewritten = [r[partition] for r in touched if r["left"]]
+    if rewritten:
+        rows = stored.filter(F.col(partition).isin(rewritten) & ~gone)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    for r in touched:
+        if not r["left"]:
+            delete_folder(spark, f"{path}/{partition}={r[partition]}")
+    return sorted(r[partition] for r in touched)

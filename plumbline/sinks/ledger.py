@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.operators.ledger import (
-    BATCH, ERROR_LENGTH, FAILED, ROLLED_BACK, SCHEMA, STARTED, SUCCEEDED, WATERMARK, latest_status, unexpired, watermarks,
+    BATCH, ERROR_LENGTH, EXPIRY_DAYS, FAILED, ROLLED_BACK, SCHEMA, STARTED, SUCCEEDED, WATERMARK, latest_status, unexpired, watermarks,
 )
-from plumbline.session import create_file, path_exists, write_text
+from plumbline.session import create_file, delete_folder, path_exists, write_text
 
 STORED = T.StructType([*SCHEMA.fields, T.StructField("seq", T.LongType())])
 TIE = ["seq"]
+# JSON keeps milliseconds alone if nothing else is said.
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def _now() -> datetime:
@@ -69,7 +71,7 @@ class Ledger:
         mine = (F.col("kind") == BATCH) & (F.col("job") == job) & (F.col("name") == batch_id)
         row = self.entries().filter(mine).agg(
             F.max_by("status", F.struct("at", "seq")).alias("status"),
-            F.count_if(F.col("status").isin(FAILED, ROLLED_BACK)).alias("over")).first()
+            F.count_distinct(F.when(F.col("status").isin(FAILED, ROLLED_BACK), F.col("seq"))).alias("over")).first()
         return row["status"], row["over"]
 
     def is_processed(self, job: str, batch_id: str) -> bool:
@@ -125,5 +127,20 @@ class Ledger:
 
     def expire(self, now: datetime, into: str) -> "Ledger":
         """Compact without old batch entries, into a new folder."""
-        unexpired(self.entries(), now).write.json(f"{into}/{uuid.uuid4().hex}")
+        unexpired(self.entries(), now).write.option("timestampFormat", MICROS).json(f"{into}/{uuid.uuid4().hex}")
         return Ledger(self.spark, into)
+
+    def compact(self, now: datetime | None = None, days: int = EXPIRY_DAYS) -> None:
+        """Put all entries into one folder, without old batch entries if the time is given, and delete the files they came from.
+
+        Entries written meanwhile are not touched. If it is cut short, entries may be there twice, which no question notices.
+        """
+        before = [f for f in self.entries().inputFiles()]
+        if not before:
+            return
+        entries = self.spark.read.schema(STORED).json(before)
+        if now is not None:
+            entries = unexpired(entries, now, days)
+        entries.coalesce(1).write.option("timestampFormat", MICROS).json(f"{self.path}/{uuid.uuid4().hex}")
+        for file in before:
+            delete_folder(self.spark, file)

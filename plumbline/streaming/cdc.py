@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from plumbline.contracts import Contract
-from plumbline.operators.merge import DELETED, OP_COLUMN, tombstone
+from plumbline.operators.merge import DELETED, OP_COLUMN, latest_per_key, tombstone
 from plumbline.operators.transform import mask_personal, normalise
 from plumbline.session import read_text
 from plumbline.sinks.versioned import VersionedTable
@@ -104,11 +104,18 @@ def batch_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
 
 def merge_silver(
     spark: SparkSession, bronze_dir: str, silver: VersionedTable, checkpoint: str, contract: Contract,
-    schema: T.StructType, max_files: int | None = None,
+    schema: T.StructType, max_files: int | None = None, changes_dir: str | None = None,
 ) -> StreamingQuery:
-    """Merge new bronze events into silver. A replayed micro-batch is recognised and skipped."""
+    """Merge new bronze events into silver. A replayed micro-batch is recognised and skipped.
+
+    changes_dir: where the row-level changes of silver are appended for readers of their own pace (``follow_changes``). They are written
+    before the commit, so none is missing; after a failure some come twice, which a merge by their order does not notice.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        silver.apply(versions_of(batch, contract), ORDER, batch_name(spark, f"{checkpoint}/silver", batch_id), staged=True)
+        versions = versions_of(batch, contract)
+        if changes_dir is not None:
+            latest_per_key(versions, list(contract.keys), ORDER).write.mode("append").parquet(changes_dir)
+        silver.apply(versions, ORDER, batch_name(spark, f"{checkpoint}/silver", batch_id), staged=True)
 
     return _each_batch(spark, bronze_dir, f"{checkpoint}/silver", schema, write, max_files)
 
@@ -128,3 +135,24 @@ def feed_targets(
         analytical.apply(mask_personal(versions, contract), ORDER, name, staged=True)
 
     return _each_batch(spark, bronze_dir, f"{checkpoint}/targets", schema, write, max_files)
+
+
+def follow_changes(
+    spark: SparkSession, changes_dir: str, target: VersionedTable, checkpoint: str, contract: Contract, masked: bool = False,
+    every: str | None = None, max_files: int | None = None,
+) -> StreamingQuery:
+    """Keep one target up with silver's row-level changes, at its own pace and by its own checkpoint.
+
+    every: the time between merges, say "5 minutes"; without it, what is there is merged and the stream ends. A target that lags takes more
+    changes at once and ends up the same.
+    """
+    reader = spark.readStream.schema(silver_schema(contract))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = mask_personal(batch, contract) if masked else batch
+        target.apply(rows, ORDER, batch_name(spark, checkpoint, batch_id), staged=True)
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return reader.parquet(changes_dir).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()

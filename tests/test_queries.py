@@ -11,7 +11,7 @@ def db():
 
 def test_every_sql_has_a_query():
     assert set(CASES) <= set(QUERIES)
-    assert set(QUERIES) - set(CASES) == {"profile_quantiles"}
+    assert set(QUERIES) - set(CASES) == {"profile_quantiles", "merged_quantiles"}
 
 
 @pytest.mark.parametrize("name", sorted(CASES))
