@@ -28,6 +28,8 @@ from plumbline.session import scratch_dir
 LENGTH = 2048
 ROWS = 256
 FILE_BYTES = 64 << 20
+# A worker that does nothing but encode has room for more pieces than one that packs.
+PIECES_KEPT = 300_000
 
 
 def file_schema(kind: pa.DataType, length: int) -> pa.Schema:
@@ -115,7 +117,7 @@ def _write(root: str, tokenizer: str, end_id: int, length: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         store, folder = _store(root)
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, PIECES_KEPT)
         kind = pa.uint16() if max(encode.vocabulary, end_id + 1) <= 1 << 16 else pa.uint32()
         end = np.array([end_id], kind.to_pandas_dtype())
         name, mine = f"{task.partitionId():07d}.arrow", f".{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"

@@ -32,12 +32,13 @@ def printable_bytes() -> dict[int, str]:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT):
         import json
 
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.kept = kept
         self.tokenizer = Tokenizer.from_file(path)
         self.table = printable_bytes()
         with open(path, encoding="utf-8") as f:
@@ -57,7 +58,7 @@ class Encoder:
         """Ids of one pre-token of letters, with its blank."""
         ids = self.cores.get(word)
         if ids is None:
-            if len(self.cores) >= KEPT:
+            if len(self.cores) >= self.kept:
                 self.cores, self.old_cores = {}, self.cores
             ids = self.old_cores.get(word)
             if ids is None:
@@ -103,7 +104,7 @@ class Encoder:
             return head + b"".join(map(known.__getitem__, parts))
         except KeyError:
             pass
-        if len(known) >= KEPT:
+        if len(known) >= self.kept:
             self.pieces, self.old_pieces = {}, known
             known = self.pieces
         old = self.old_pieces
@@ -118,9 +119,9 @@ class Encoder:
         return head + b"".join(map(known.__getitem__, parts))
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for this file."""
+def encoder(path: str, kept: int = KEPT) -> Encoder:
+    """The worker's encoder for this file. kept: pieces that a generation holds, about 250 bytes each."""
     held = worker_cache().setdefault("encoders", {})
-    if path not in held:
-        held[path] = Encoder(path)
-    return held[path]
+    if (path, kept) not in held:
+        held[path, kept] = Encoder(path, kept)
+    return held[path, kept]
