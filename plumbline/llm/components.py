@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import stored
+from plumbline.llm.common import release, stored
 
 ROUNDS = 60
 
@@ -59,6 +59,7 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
     a, b = links.columns
     edges = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
     edges = stored(edges.distinct(), purpose)
+    release(edges.sparkSession)
     for _ in range(ROUNDS):
         if _settled(edges):
             break
@@ -73,6 +74,7 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
         edges = (small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         edges = stored(edges.where("u <> v").mapInArrow(_thinned, "u long, v long").distinct(), purpose)
+        release(edges.sparkSession)
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

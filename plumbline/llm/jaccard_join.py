@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import partitions, stored, worker_cache
+from plumbline.llm.common import partitions, release, stored, worker_cache
 from plumbline.llm.components import components, forest
 from plumbline.llm.perfect_hash import mixed
 from plumbline.llm.words import shingles, words
@@ -410,6 +410,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
              .repartition(2 * partitions(spark), "sig").sortWithinPartitions("sig", "doc_id")
              .mapInArrow(_candidates, "u long, v long, sure boolean"))
     links = stored(links.groupBy("u", "v").agg(F.max("sure").alias("sure")), "jaccard-candidates")
+    release(spark)
     one = whole.select(F.col("doc_id").alias("u"), "n", F.col("sketch").alias("one"))
     two = whole.select(F.col("doc_id").alias("v"), F.col("n").alias("m"), F.col("sketch").alias("two"))
     possible = (links.where("not sure").join(one, "u").join(two, "v").select("u", "v", "n", "m", "one", "two")
@@ -444,6 +445,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ))
     wanted = stored(placed.select(F.col("rep").alias("doc_id"), "copies", "cluster", F.col("band"), F.col("part"), "a", meetings.alias("meetings")),
                     "jaccard-wanted")
+    release(spark)
     # One text per id is enough: rows of one id with another text are another set.
     # The texts are joined by a shuffle at every size: what is wanted grows with the corpus.
     held = (source.join(wanted.hint("merge"), "doc_id").select("doc_id", "copies", "cluster", "band", "part", "meetings", "a", "text")
@@ -454,6 +456,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     pairs = met.select(F.concat_ws("/", "cluster", "m.b1", "m.p1", "m.b2", "m.p2").alias("meeting"), "doc_id", "side", "copies", "elements")
     verified = stored(pairs.repartition(2 * partitions(spark), "meeting").sortWithinPartitions("meeting", "doc_id")
                       .mapInArrow(_verified(share), "doc_id long, other long, links long"), "jaccard-verified")
+    release(spark)
     linked = components(verified.where("doc_id <> other").select("doc_id", "other"), "jaccard-components")
     counts = verified.where("doc_id = other").groupBy(F.col("doc_id").alias("rep")).agg(F.sum("links").alias("others"))
 
