@@ -74,7 +74,6 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
         edges = (small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         edges = stored(edges.where("u <> v").mapInArrow(_thinned, "u long, v long").distinct(), purpose)
-        release(edges.sparkSession)
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
