@@ -84,31 +84,35 @@ def _sums(cells: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 
 def sketch_bits(n: int) -> int:
-    """A set's sketch has two to this power counters, one for about three elements."""
-    return max(3, (n // 3).bit_length())
+    """A set's sketch has two to this power bits, one or two for each element."""
+    return max(3, n.bit_length())
 
 
 def sketches(elements: np.ndarray, counts: np.ndarray) -> list[bytes]:
-    """For every set, how many of its elements fall to each counter (the top bits of a hash)."""
+    """For every set, whether an odd number of its elements falls to each cell (the top bits of a hash)."""
     spread = mixed(elements ^ np.uint64(0x243F6A8885A308D3))
     out, at = [], 0
     for n in counts.tolist():
         bits = sketch_bits(n)
         held = np.bincount((spread[at:at + n] >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-        out.append(np.minimum(held, 65535).astype("<u2").tobytes())
+        out.append(np.packbits((held & 1).astype(np.uint8)).tobytes())
         at += n
     return out
 
 
+def folded(sketch: bytes) -> bytes:
+    """The sketch of the same set with half as many cells."""
+    cells = np.unpackbits(np.frombuffer(sketch, np.uint8)).reshape(-1, 2)
+    return np.packbits(cells[:, 0] ^ cells[:, 1]).tobytes()
+
+
 def least_difference(one: bytes, two: bytes) -> int:
-    """A bound from below of the number of elements in which two sets differ, from their sketches."""
-    a, b = (np.frombuffer(x, "<u2").astype(np.int64) for x in (one, two))
-    # Counters of the larger sketch fold onto those of the smaller: they are told apart by lower bits alone.
-    while len(a) > len(b):
-        a = a.reshape(-1, 2).sum(axis=1)
-    while len(b) > len(a):
-        b = b.reshape(-1, 2).sum(axis=1)
-    return int(np.abs(a - b).sum())
+    """A bound from below of the number of elements in which two sets differ: each one changes one cell."""
+    while len(one) > len(two):
+        one = folded(one)
+    while len(two) > len(one):
+        two = folded(two)
+    return (int.from_bytes(one, "little") ^ int.from_bytes(two, "little")).bit_count()
 
 
 def _digests(width: int):
