@@ -44,6 +44,8 @@ TEMPLATES = (
 )
 RARE = 4
 NEED = 2
+# A proposal travels as one number, (begin + BEFORE) * len(TEMPLATES) + template: sets of numbers are hashed, sets of structs are not.
+BEFORE = max(len(notice.split()) for _, notice, _ in TEMPLATES)
 SEPARATED = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -96,7 +98,7 @@ def _text(value: str) -> str:
 
 
 def _index_sql(idf: dict[str, float]) -> tuple[str, str, str]:
-    """SQL literals: the templates, the words that are indexed, and the postings of each."""
+    """SQL literals: the templates, the words that are indexed, and the postings of each, as proposals of a hit at word 0."""
     rare = rare_words(idf)
     templates = []
     for (label, notice, key), own in zip(TEMPLATES, rare):
@@ -106,8 +108,8 @@ def _index_sql(idf: dict[str, float]) -> tuple[str, str, str]:
             _text(label), ", ".join(map(_text, words)), ", ".join(f"{idf[w] / total!r}D" for w in words),
             ", ".join(f"named_struct('w', {_text(w)}, 'q', {q})" for w, q in own), at, ", ".join(map(_text, key.split()))))
     indexed = sorted({w for own in rare for w, _ in own})
-    postings = [f"{_text(w)}, array({', '.join(f'named_struct({chr(39)}t{chr(39)}, {t}, {chr(39)}q{chr(39)}, {q})' for t, own in enumerate(rare) for x, q in own if x == w)})"
-                for w in indexed]
+    proposals = {w: [(BEFORE - q) * len(TEMPLATES) + t for t, own in enumerate(rare) for x, q in own if x == w] for w in indexed}
+    postings = [f"{_text(w)}, array({', '.join(f'{p}L' for p in own)})" for w, own in proposals.items()]
     return f"array({', '.join(templates)})", f"array({', '.join(map(_text, indexed))})", f"map({', '.join(postings)})"
 
 
@@ -133,12 +135,13 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         found.append(f"transform(filter(ends, i -> {same}), i -> named_struct('p', cast(i - {len(own) - 1} as bigint), 'l', {_text(label)}))")
     rows = rows.withColumn("base", F.expr(f"concat({', '.join(found)})"))
     proposed = (f"array_distinct(flatten(transform(filter(sequence(0, size(w) - 1), i -> array_contains({indexed}, w[i])), "
-                f"i -> transform({postings}[w[i]], p -> named_struct('t', p.t, 'o', i - p.q)))))")
+                f"i -> transform({postings}[w[i]], p -> i * {len(TEMPLATES)}L + p))))")
     rows = rows.withColumn("proposed", F.expr(f"if(size(array_intersect(w, {indexed})) >= {NEED}, {proposed}, array())"))
-    t = f"({templates})[c.t]"
-    hits = f"size(filter({t}.rare, r -> get(w, c.o + r.q) = r.w)) >= least({NEED}, size({t}.rare))"
-    key = f"forall(sequence(0, size({t}.key) - 1), j -> coalesce(get(w, c.o + {t}.at + j) = {t}.key[j], false))"
-    share = f"aggregate(sequence(0, size({t}.words) - 1), 0D, (a, j) -> a + if(coalesce(get(w, c.o + j) = {t}.words[j], false), {t}.weights[j], 0D))"
+    t = f"({templates})[cast(c % {len(TEMPLATES)} as int)]"
+    o = f"(cast(c div {len(TEMPLATES)} as int) - {BEFORE})"
+    hits = f"size(filter({t}.rare, r -> get(w, {o} + r.q) = r.w)) >= least({NEED}, size({t}.rare))"
+    key = f"forall(sequence(0, size({t}.key) - 1), j -> coalesce(get(w, {o} + {t}.at + j) = {t}.key[j], false))"
+    share = f"aggregate(sequence(0, size({t}.words) - 1), 0D, (a, j) -> a + if(coalesce(get(w, {o} + j) = {t}.words[j], false), {t}.weights[j], 0D))"
     rows = rows.withColumn("held", F.expr(f"transform(filter(proposed, c -> {hits} and {key}), c -> named_struct('l', {t}.label, 's', {share}))"))
     joined = lambda c: f"array_join(array_sort(array_distinct({c})), ',')"
     return rows.select(

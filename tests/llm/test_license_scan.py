@@ -1,5 +1,6 @@
 import math
 import re
+import time
 from collections import Counter
 
 from plumbline.llm.license_scan import BASE, NEED, RARE, TEMPLATES, scan_licenses
@@ -57,3 +58,14 @@ def test_cases(spark):
     assert by_id[3][2:7] == (3, 0, 4, "mit", "mit") and by_id[4][2] == 1 and by_id[10][2] == 3000
     assert by_id[6][6] == "bsd" and by_id[7][6] == "" and by_id[8][6] == "cc-by-nc" and by_id[12][6] == "mit"
     assert scan_licenses(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_very_long_texts_take_time_in_proportion(spark):
+    """A megabyte that is nothing but hits, and one that proposes many templates that do not hold."""
+    rows = [(1, "mit license " * 90_000), (2, "general public mit license to any person obtaining " * 20_000), (3, "short")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    began = time.time()
+    got = {r["doc_id"]: r for r in scan_licenses(docs).collect()}
+    assert time.time() - began < 60
+    assert (got[1]["n_base"], got[1]["first_word"], got[1]["last_word"], got[1]["labels"]) == (90_000, 0, 179_998, "mit")
+    assert (got[2]["n_base"], got[2]["last_word"], got[3]["n_base"], got[3]["labels"]) == (20_000, 159_994, 0, "")
