@@ -6,9 +6,11 @@ come back without a zone.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timezone
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -624,6 +626,24 @@ def bronze_stream(spark, sf):
     return zoneless(bronze.drop("_cdc_ingested_at", "_cdc_source_file"))
 
 
+@query
+def bronze_audit_columns(spark, sf):
+    """For every bronze row, which of two runs its ingest time falls in, and whether the file it names holds it."""
+    root = scratch_dir(spark, "bronze-audit")
+    schema = cdc.feed_schema(ACTIVITY, STORED)
+    times = [time.time_ns() // 1_000_000]
+    for part in half_feeds(spark, sf):
+        part.select(*schema.names).withColumn("_dms_committed_at", F.col("_dms_committed_at").cast("timestamp")).write.mode("append").parquet(f"{root}/feed")
+        cdc.ingest_bronze(spark, f"{root}/feed", f"{root}/bronze", f"{root}/ckpt", schema).awaitTermination()
+        times.append(time.time_ns() // 1_000_000)
+    ingested = F.unix_millis("_cdc_ingested_at")
+    run = F.coalesce(*(F.when((ingested >= start) & (ingested < end), i) for i, (start, end) in enumerate(pairwise(times), 1)))
+    bronze = spark.read.schema(cdc.bronze_schema(schema)).parquet(f"{root}/bronze")
+    files = spark.read.schema(schema).parquet(f"{root}/feed").select("_seq", F.col("_metadata.file_path").alias("file")).distinct()
+    return (bronze.select("_seq", run.alias("ingest_run"), F.col("_cdc_source_file").alias("named")).join(files, "_seq", "left")
+            .select("_seq", "ingest_run", F.coalesce(F.col("file") == F.col("named"), F.lit(False)).alias("in_its_file")))
+
+
 @query
 def schema_evolution_stream(spark, sf):
     """The feed gains a column between two runs; the stream is restarted with the wider schema."""

@@ -550,6 +550,7 @@ select USER_ID, EVENT_TYPE, AMOUNT, _dms_committed_at, _seq, Op = 'D' as _is_del
 CASES["cdc_current"] = f"""
 select USER_ID, EVENT_TYPE, AMOUNT, _dms_committed_at, _seq from ({LATEST}) where Op <> 'D'"""
 CASES["bronze_stream"] = FEED
+CASES["bronze_audit_columns"] = "select event_id as _seq, case when event_id % 3 = 0 then 2 else 1 end as ingest_run, true as in_its_file from events"
 CASES["schema_evolution_stream"] = f"""
 select * replace (case when _seq % 3 = 0 then EMAIL end as EMAIL) from ({FEED})"""
 SILVER = f"""select USER_ID as user_id, EVENT_TYPE as event_type, AMOUNT::decimal(14,2) as amount, EMAIL as email,
