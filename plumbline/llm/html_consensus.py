@@ -30,10 +30,12 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("article body center div main section td".split())
 NOISE_TAGS = frozenset("nav header footer aside form menu dialog button head label fieldset".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NOISE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|widget|ads?|advert\w*|banner|"
     r"sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|"
     r"social|related|recommend\w*|comments?|commentlist|disqus|respond|reply|replies|form|search|toolbar|pagination|pager)(?:$|[\s_-])", re.I)
+HEAD_NAMES = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.I)
 # A name that says what an element has or lacks says nothing of what it is.
 HAS_NAMES = re.compile(r"(?:^|[\s_-])(?:has|no|with|without)[_-]\S*", re.I)
 # What follows an article and may be longer than it.
@@ -46,21 +48,36 @@ LISTS = frozenset("ul ol dl table menu dir".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<(?:svg|math)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*/>"
     r"|<(?P<raw>script|style|noscript|template|textarea|select|svg|math|iframe|object|video|audio|canvas|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?/][^>]*>"
     r"|<[a-zA-Z][^<>]*>"
     r"|<[a-zA-Z/!?][^>]*\Z", re.S | re.I)
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 DEEPEST = 64
 
 
+def attributes_of(source: str) -> dict[str, str]:
+    """The attributes of a tag; of a name that stands twice the first, as browsers take it."""
+    found: dict[str, str] = {}
+    for name, a, b, c in ATTRIBUTE.findall(source):
+        found.setdefault(name.lower(), a or b or c)
+    return found
+
+
+def unseen(attributes: dict[str, str]) -> bool:
+    """Whether an element is not shown."""
+    return (attributes.get("hidden", "until-found").lower() != "until-found" or attributes.get("aria-hidden", "").strip().lower() == "true"
+            or bool(UNSEEN.search(attributes.get("style", ""))))
+
+
 class Page(NamedTuple):
     """Elements in order (parent, name, path, depth, good name) and blocks (element, text).
 
-    suspects: elements that are noise by their names alone, and whether these name what follows articles. noisy: articles
-    and the like with such names.
+    suspects: elements that may be noise by what they are called, and as what: ``thread`` follows articles, ``head`` stands over
+    them, ``form`` may wrap the page, ``name`` is any other. noisy: articles and the like with such names.
     """
 
     parents: list[int]
@@ -68,7 +85,7 @@ class Page(NamedTuple):
     paths: list[str]
     depths: list[int]
     good: list[bool]
-    suspects: dict[int, bool]
+    suspects: dict[int, str]
     noisy: set[int]
     blocks: list[tuple[int, str]]
 
@@ -79,17 +96,19 @@ def _without_noise(page: Page) -> Page:
     Names are judged when the text below them is known, the longest first. An element stays where it holds
     more than all other text not muted, unless the article stands elsewhere: an article, a main or a well named
     element outside it and none in it, or, for what follows articles, a heading or paragraph outside it and no h1 in
-    it. It also stays where it holds the page's articles or main.
+    it. It also stays where it holds the page's articles or main. A form is judged like this too, and never stays within an article or where
+    most headings and paragraphs are outside it. A header within an article stays if it holds the page's first heading of the highest rank.
     """
     if not page.suspects:
         return page
     n = len(page.parents)
     owner, last = [0] * n, list(range(n))  # the nearest suspect, and the last element below
-    held, own, proper, in_article = [0] * n, [0] * n, [0] * n, [False] * n
+    held, own, proper, in_article, in_named = [0] * n, [0] * n, [0] * n, [False] * n, [False] * n
     for i in range(1, n):
         up = page.parents[i]
         owner[i] = i if i in page.suspects else owner[up]
         in_article[i] = in_article[up] or page.names[up] == "article"
+        in_named[i] = in_named[up] or page.good[up] and up not in page.suspects
     for element, block in page.blocks:
         held[element] += len(block)
         own[owner[element]] += len(block)
@@ -101,6 +120,8 @@ def _without_noise(page: Page) -> Page:
         last[up] = max(last[up], last[i])
     named = [i for i in range(1, n) if page.good[i] and held[i] and i not in page.suspects and i not in page.noisy]
     heads = [i for i in range(1, n) if page.names[i] == "h1" and held[i]]
+    ranks = [(page.names[i], i) for i in range(1, n) if page.names[i] in HEADINGS and held[i]]
+    title = min(ranks, default=("", n))[1]
     articles = [i for i in named if page.names[i] in ("article", "main")]
     first_end = {id(found): min((last[k] for k in found), default=n) for found in (named, articles)}
     kept, unmuted = {0}, own[0]
@@ -114,7 +135,11 @@ def _without_noise(page: Page) -> Page:
     def stands(i: int) -> bool:
         if holds(i, articles) and not in_article[i] and not elsewhere(i, articles):
             return True
-        if held[i] <= unmuted or page.suspects[i] and proper[0] > proper[i] and not holds(i, heads):
+        if page.suspects[i] == "head" and in_article[i]:
+            return i < title <= last[i]
+        if page.suspects[i] == "form" and (in_named[i] or proper[i] * 2 < proper[0]):
+            return False
+        if held[i] <= unmuted or page.suspects[i] == "thread" and proper[0] > proper[i] and not holds(i, heads):
             return False
         return holds(i, named) or not elsewhere(i, named)
 
@@ -128,7 +153,7 @@ def _without_noise(page: Page) -> Page:
 def parse(source: str) -> Page:
     page = Page([-1], ["html"], [""], [0], [False], {}, set(), [])
     stack: list[tuple[str, int, bool, bool]] = [("html", 0, False, False)]
-    muted, text, at = 0, [], 0
+    muted, articles, text, at = 0, 0, [], 0
 
     def flush():
         if text:
@@ -138,10 +163,12 @@ def parse(source: str) -> Page:
                 page.blocks.append((stack[-1][1], block))
 
     def close(n):
-        nonlocal muted
+        nonlocal muted, articles
         flush()
         while len(stack) > n:
-            muted -= stack.pop()[3]
+            closed = stack.pop()
+            muted -= closed[3]
+            articles -= closed[0] == "article"
 
     for m in TOKEN.finditer(source):
         if m.start() > at and not muted:
@@ -166,11 +193,14 @@ def parse(source: str) -> Page:
                 text.append(" ")
             continue
         attributes = m["attributes"]
-        names = " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(attributes)) if "=" in attributes else ""
+        given = attributes_of(attributes) if attributes and not attributes.isspace() else {}
+        names = " ".join(filter(None, (given.get(k) for k in ("class", "id", "role"))))
         big = name in ("body", "main", "article", "html")
-        mute = name in NOISE_TAGS or bool(attributes) and not big and bool(HIDDEN.search(attributes))
+        # A form may wrap the whole page, and a header within an article may hold its title.
+        wraps = name == "form" or name == "header" and articles > 0
+        mute = name in NOISE_TAGS and not wraps or bool(given) and not big and unseen(given)
         plain = HAS_NAMES.sub(" ", names) if names else ""
-        noisy = not mute and bool(plain) and bool(NOISE_NAMES.search(plain))
+        noisy = not mute and (wraps or bool(plain) and bool(NOISE_NAMES.search(plain)))
         suspect = noisy and not big
         noise = mute or suspect
         if name not in BLOCKS and not noise:
@@ -193,8 +223,7 @@ def parse(source: str) -> Page:
         parent = stack[-1][1]
         index = parent
         if suspect and not muted or page.depths[parent] < DEEPEST and not muted and not noise:
-            classes = next((a or b or c for key, a, b, c in ATTRIBUTE.findall(attributes) if key.lower() == "class"), "") if names else ""
-            mark = ".".join([name, *sorted({re.sub(r"\d+", "#", c) for c in classes.lower().split()})])
+            mark = ".".join([name, *sorted({re.sub(r"\d+", "#", c) for c in given.get("class", "").lower().split()})])
             index = len(page.parents)
             page.parents.append(parent)
             page.names.append(name)
@@ -202,7 +231,8 @@ def parse(source: str) -> Page:
             page.paths.append(f"{page.paths[parent]}>{mark}" if deeper else page.paths[parent])
             page.depths.append(page.depths[parent] + deeper)
             if suspect:
-                page.suspects[index] = bool(THREAD_NAMES.search(plain))
+                head = name == "header" or HEAD_NAMES.search(plain)
+                page.suspects[index] = "thread" if THREAD_NAMES.search(plain) else "head" if head else "form" if name == "form" else "name"
             elif noisy:
                 page.noisy.add(index)
             page.good.append(name in ("article", "main") or bool(names) and bool(GOOD_NAMES.search(names)))
@@ -210,6 +240,7 @@ def parse(source: str) -> Page:
         if noise:
             flush()
         muted += mute
+        articles += name == "article"
     if at < len(source) and not muted:
         text.append(source[at:])
     close(1)

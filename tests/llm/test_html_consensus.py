@@ -1,7 +1,10 @@
+from html.parser import HTMLParser
+
 import pytest
 
 from plumbline.llm.html_consensus import extract, host_paths, main_text, parse
 
+SF = "/root/testdata/sf0.001"
 SCHEMA = "page_id long, url string, html string, path string"
 
 
@@ -47,6 +50,59 @@ def test_noise_longer_than_the_article_is_muted():
     assert text(f"<body><div class='container menu-open'>{BODY}</div><div id='comments'><p>{'late ' * 90}</p></div></body>") == WHOLE
 
 
+@pytest.mark.parametrize("source", [
+    f"<body><nav><svg class='i'/></nav><article><svg viewBox='0 0 1 1' />{BODY}</article></body>",
+    f"<body><form method='post' action='/x.aspx'><nav>a b</nav><div class='content'>{BODY}</div><footer>f</footer></form></body>",
+    f"<body><form id='aspnetForm'><div>{BODY}</div><div class='footer'>f</div></form></body>",
+    f"<body><form><article>{BODY}<form class='subscribe'>mail <p>{'terms ' * 90}</p></form></article></form></body>",
+    "<body><header>site</header><article><header><h1>Head</h1></header><p>One two three four.</p><p>Five six seven.</p><header><h2>x</h2></header></article></body>",
+    "<body><header class='masthead'><h1>site</h1></header><article class='post'><div class='entry-header'><h1>Head</h1></div><p>One two three four.</p><p>Five six seven.</p></article></body>",
+    f"<body><div title='a hidden gem' data-id='nav' data-x='display:none' aria-hidden=false>{BODY}</div><div HIDDEN>x</div><p style='color:red;display : none'>y</p><p aria-hidden=true>z</p></body>",
+    f"<body><article>{BODY}<math><mi>x</mi></math></article></body>",
+])
+def test_icons_wrapping_forms_heads_of_articles_and_attributes(source):
+    assert text(source) == WHOLE
+
+
+class Plain(HTMLParser):
+    """The blocks of an article, read by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks, self.words = False, [], []
+
+    def cut(self):
+        block = " ".join("".join(self.words).split())
+        self.words = []
+        if block and self.inside:
+            self.blocks.append(block)
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("article", "p", "h1", "br"):
+            self.cut() if tag != "br" else self.words.append(" ")
+        self.inside = self.inside or tag == "article"
+
+    def handle_endtag(self, tag):
+        if tag in ("article", "p", "h1"):
+            self.cut()
+        self.inside = self.inside and tag != "article"
+
+    def handle_data(self, data):
+        self.words.append(data if self.inside else "")
+
+
+def test_given_pages_by_another_parser(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in main_text(pages).collect()}
+    rows = pages.select("page_id", "html").collect()
+    assert len(got) == len(rows) > 0
+    for r in rows:
+        other = Plain()
+        other.feed(r["html"] or "")
+        other.close()
+        assert got[r["page_id"]] == "\n\n".join(other.blocks)
+
+
 def test_deep_and_long_pages():
     assert text("<div>" * 5000 + "<div class='menu'>" * 5000 + "x") == "x"
 
