@@ -27,6 +27,13 @@ def delete_using(target: DataFrame, staged: DataFrame, keys: list[str]) -> DataF
     return target.join(s, same, "left_anti").select(*target.columns)
 
 
+def matching(rows: DataFrame, staged: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key is staged. NULL in a key equals NULL."""
+    s = staged.select(*[F.col(k).alias(f"_staged_{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_staged_{i}")) for i, k in enumerate(keys)]
+    return rows.join(s, same, "left_semi").select(*rows.columns)
+
+
 def delete_insert(target: DataFrame, staged: DataFrame, keys: list[str]) -> DataFrame:
     """Drop the staged keys, then add every staged row. Without keys the rows are appended."""
     kept = delete_using(target, staged, keys) if keys else target
@@ -98,6 +105,12 @@ def without_batch(df: DataFrame, batch_id: str) -> DataFrame:
     return df.filter(~F.col("_batch_id").eqNullSafe(F.lit(batch_id)))
 
 
+def undo_batch(now: DataFrame, before: DataFrame, keys: list[str], batch_id: str) -> DataFrame:
+    """The table without one batch's rows, and with the rows of before it that they had replaced. What later batches wrote stays."""
+    mine = F.col("_batch_id").eqNullSafe(F.lit(batch_id))
+    return now.filter(~mine).unionByName(matching(before, now.filter(mine), keys).select(*now.columns))
+
+
 def retained(df: DataFrame, now, keep_days: int = 730, column: str = "_loaded_at") -> DataFrame:
     """Rows loaded within the retention period."""
     return df.filter(F.col(column) >= F.date_add(F.lit(now).cast("date"), -keep_days))

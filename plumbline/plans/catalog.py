@@ -26,13 +26,14 @@ from plumbline.operators.transform import (
 )
 from plumbline.plans import runs
 from plumbline.session import scratch_dir
+from plumbline.sinks import clustered
 from plumbline.sinks import files as sink_files
 from plumbline.sinks import jdbc as sink_jdbc
 from plumbline.sinks.ledger import Ledger
 from plumbline.sinks.versioned import VersionedTable
 from plumbline.sources import files, jdbc, shaped
 from plumbline.sources.files import table
-from plumbline.streaming import cdc
+from plumbline.streaming import cdc, evolution
 from plumbline.streaming.debounce import debounced_stream, first_arrivals_stream
 from plumbline.streaming.queue import QueueReader
 
@@ -658,6 +659,23 @@ def schema_evolution_stream(spark, sf):
     return zoneless(bronze.drop("_cdc_ingested_at", "_cdc_source_file"))
 
 
+@query
+def schema_found_in_files(spark, sf):
+    """Change files gain a column nobody declared, then the contract declares it; no schema is widened by hand."""
+    root = scratch_dir(spark, "found")
+    narrow = replace(ACTIVITY, fields=tuple(f for f in ACTIVITY.fields if f.target != "email"))
+    feed = shaped.change_feed(spark, sf).withColumn("_dms_committed_at", F.col("_dms_committed_at").cast("timestamp"))
+    names = cdc.feed_schema(ACTIVITY, STORED).names
+    stream = evolution.EvolvingFeed(spark, f"{root}/feed", f"{root}/bronze", f"{root}/ckpt")
+    for i, contract in enumerate((narrow, narrow, ACTIVITY)):
+        part = feed.filter(F.col("_seq") % 3 == i).select(*names)
+        (part.drop("EMAIL") if i == 0 else part).write.mode("append").parquet(f"{root}/feed")
+        stream.ingest(contract, STORED)
+    bronze = stream.read(ACTIVITY, STORED)
+    filled = evolution.with_rescued(bronze.withColumn("declared_email", F.col("EMAIL")), "EMAIL")
+    return zoneless(filled.select(*names, "declared_email", F.col(evolution.RESCUED)["EMAIL"].alias("rescued_email")))
+
+
 @query
 def cdc_silver_stream(spark, sf):
     root, schema = streamed(spark, sf, "silver")
@@ -911,6 +929,19 @@ def rollback_delete_batch(spark, sf):
     return stored.read()
 
 
+@query
+def rollback_undo_batch(spark, sf):
+    """Three loads; the second replaced rows of the first, and the third some of both. The second is taken back."""
+    clean, changes = orders_and_changes(spark, sf)
+    schema = T.StructType([*ORDERS.target_schema().fields, T.StructField("_batch_id", T.StringType())])
+    stored = VersionedTable(spark, scratch_dir(spark, "undo-batch"), schema, ORDER_KEYS, 8)
+    third = changes.filter("order_key % 3 = 0").withColumn("order_status", F.lit("T"))
+    for name, rows in (("b1", clean), ("b2", changes), ("b3", third)):
+        stored.upsert(rows.withColumn("_batch_id", F.lit(name)), name)
+    stored.undo_batch("b2", "undo-b2")
+    return stored.read()
+
+
 @query
 def retention_purge(spark, sf):
     return merge.retained(loaded_orders(spark, sf), date(2001, 8, 1))
@@ -1126,6 +1157,22 @@ def keyed_layout(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def clustered_layout(spark, sf):
+    """Loaded orders clustered by key and load time: per year, what is in the files whose ranges meet it, and whether they overlap."""
+    path = scratch_dir(spark, "clustered")
+    columns = ["order_key", "_loaded_at"]
+    clustered.write_clustered(loaded_orders(spark, sf), columns, path, files=16)
+    ranges = clustered.file_ranges(spark, path, columns)
+    stored = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"))
+    years = stored.select(F.year("_loaded_at").alias("year")).distinct()
+    met = ranges.join(years, F.col("year").between(F.year("least__loaded_at"), F.year("greatest__loaded_at"))).select("year", "file")
+    held = stored.withColumn("year", F.year("_loaded_at")).join(met, ["year", "file"])
+    clash = clustered.overlaps(ranges).agg(F.count(F.lit(1)).alias("overlapping_files"))
+    sums = held.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("total_price").alias("total"), F.max("order_key").alias("last_key"))
+    return sums.join(clash)
+
+
 def database(spark) -> jdbc.Database:
     """The session's database, or an in-memory one where driver and executors share a JVM."""
     url = spark.conf.get("spark.plumbline.jdbc.url", None)

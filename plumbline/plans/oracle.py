@@ -556,6 +556,9 @@ select * replace (case when _seq % 3 = 0 then EMAIL end as EMAIL) from ({FEED})"
 SILVER = f"""select USER_ID as user_id, EVENT_TYPE as event_type, AMOUNT::decimal(14,2) as amount, EMAIL as email,
   _dms_committed_at, _seq, Op = 'D' as _is_deleted from ({LATEST})"""
 CASES["cdc_silver_stream"] = SILVER
+CASES["schema_found_in_files"] = f"""
+select *, case when _seq % 3 = 2 then EMAIL end as declared_email, case when _seq % 3 = 1 then EMAIL end as rescued_email
+from (select * replace (case when _seq % 3 > 0 then EMAIL end as EMAIL) from ({FEED}))"""
 CASES["run_cdc"] = f"select * exclude (_is_deleted) from ({SILVER}) where not _is_deleted"
 CASES["dual_target_stream"] = f"""
 select 'operational' as side, user_id, email, _is_deleted from ({SILVER})
@@ -641,6 +644,9 @@ where leaf in (select {LEAF} from ({differing("s", "t")}))"""
 CASES["rollback_restore"] = f"select *, 'b1' as _batch_id from ({ORDERS})"
 CASES["rollback_delete_batch"] = f"""
 select *, 'b1' as _batch_id from ({ORDERS}) where order_key not in (select order_key from ({CHANGES}))"""
+THIRD = f"select * replace ('T' as order_status) from ({CHANGES}) where order_key % 3 = 0"
+CASES["rollback_undo_batch"] = f"""
+select *, 'b1' as _batch_id from ({ORDERS}) where order_key not in (select order_key from ({THIRD})) union all select *, 'b3' from ({THIRD})"""
 CASES["retention_purge"] = f"select * from ({LOADED}) where _loaded_at >= date '2001-08-01' - 730"
 CASES["retention_purge_rewrite"] = CASES["retention_purge"]
 CASES["batch_scoped_count"] = f"""
@@ -713,6 +719,9 @@ from part"""
 CASES["hour_partition_layout"] = """
 select strftime(ts, '%Y-%m-%d') as dt, hour(ts)::int as hh, count(*) as n from events group by 1, 2"""
 CASES["keyed_layout"] = MARA
+CASES["clustered_layout"] = f"""
+select year(_loaded_at)::int as year, count(*) as n, sum(total_price)::decimal(24,2) as total, max(order_key) as last_key, 0::bigint as overlapping_files
+from ({LOADED}) group by 1"""
 CASES["jdbc_range_scan"] = "select * from supplier"
 SKEWED = """select o_orderkey, o_orderdate,
   case when o_orderkey % 3 = 0 then 7 when o_orderkey % 11 <> 0 then o_custkey * o_custkey end as o_custkey from orders"""

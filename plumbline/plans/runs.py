@@ -175,13 +175,13 @@ def run_table(
 
 
 def roll_back(run: Run, contract: Contract, batch_id: str) -> str | None:
-    """Take one load back: its rows leave both targets, the ledger says so, and the watermark returns to where it was.
+    """Take one load back: its rows leave both targets, rows that they had replaced return, the ledger says so, and the watermark returns to where it was.
 
     The batch may then run again. Gives the watermark.
     """
     attempt = uuid.uuid4().hex[:8]
     for side in ("operational", "analytical"):
-        run.target(contract, side).delete_batch(batch_id, f"rollback-{batch_id}#{attempt}")
+        run.target(contract, side).undo_batch(batch_id, f"rollback-{batch_id}#{attempt}")
     return run.ledger.rolled_back(run.job, batch_id, contract.fqn)
 
 

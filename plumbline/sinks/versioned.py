@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.digest import key_bucket
-from plumbline.operators.merge import apply_changes, delete_insert, upsert
+from plumbline.operators.merge import apply_changes, delete_insert, undo_batch, upsert
 from plumbline.session import path_exists, read_text, write_text
 
 LOG_SCHEMA = T.StructType([
@@ -180,6 +180,18 @@ class VersionedTable:
         mine = F.col("_batch_id").eqNullSafe(F.lit(batch_id))
         return self._rewrite(self.read().filter(mine), batch, lambda old, _: old.filter(~mine), removed=batch_id, staged=True)
 
+    def undo_batch(self, batch_id: str, batch: str) -> int | None:
+        """Remove the rows of one load, and put back those that it had replaced. The load may then come again.
+
+        The load's commit is the last one named like it, or like it with the mark of an attempt (``#`` and eight characters).
+        """
+        attempt = F.col("batch").startswith(f"{batch_id}#") & (F.length("batch") == len(batch_id) + 9)
+        loaded = self.log().filter((F.col("batch") == batch_id) | attempt).agg(F.max("version")).first()[0] or 1
+        mine = self.read().filter(F.col("_batch_id").eqNullSafe(F.lit(batch_id)))
+        touched = set(self._touched(mine))
+        before = self._rows({b: f for b, f in self.snapshot(loaded - 1).live.items() if b in touched})
+        return self._rewrite(mine, batch, lambda old, _: undo_batch(old, before, self.keys, batch_id), removed=batch_id, staged=True)
+
     def restore(self, version: int, batch: str) -> int:
         """Make an older version current again. Buckets it did not have become empty."""
         then, now = self.snapshot(version), self.snapshot()
