@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.contracts import Contract
@@ -75,14 +75,38 @@ def rollback_signal(rates: DataFrame, limit_pct: float = ROLLBACK_LIMIT_PCT) ->
     return rates.filter(F.col("mismatch_pct") > limit_pct)
 
 
+def exact_p99(calls: DataFrame, group: str, value: str, accuracy: int = 10_000) -> DataFrame:
+    """Per group the smallest value that at least 99 of 100 values do not exceed. Rows ``(<group>, p99)``.
+
+    Approximate quantiles only cut the values into three bins. The rank is counted, bin by bin and then inside the one bin it falls
+    into, so a poor cut costs time, not the result. What is sorted in one task are the distinct values of that bin, about
+    four in ``accuracy`` of all.
+    """
+    rows = calls.select(F.col(group), F.col(value).alias("_value")).filter(F.col(group).isNotNull() & F.col("_value").isNotNull())
+    margin = 2 / accuracy
+    cuts = rows.groupBy(group).agg(F.percentile_approx("_value", [0.99 - margin, min(0.99 + margin, 1.0)], accuracy).alias("_cuts"))
+    place = F.when(F.col("_value") < F.col("_cuts")[0], 0).when(F.col("_value") <= F.col("_cuts")[1], 1).otherwise(2)
+    binned = rows.join(F.broadcast(cuts), group).select(group, "_value", place.alias("_bin"))
+    whole = Window.partitionBy(group)
+    bins = binned.groupBy(group, "_bin").agg(F.count(F.lit(1)).alias("_n")).select(
+        group, "_bin", (F.sum("_n").over(whole.orderBy("_bin")) - F.col("_n")).alias("_before"), "_n",
+        F.expr(f"(sum(_n) over (partition by `{group}`) * 99 + 99) div 100").alias("_rank"),
+    ).filter("_rank > _before and _rank <= _before + _n").select(group, "_bin", (F.col("_rank") - F.col("_before")).alias("_rank"))
+    counts = binned.join(F.broadcast(bins), [group, "_bin"]).groupBy(group, "_rank", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    reached = counts.withColumn("_upto", F.sum("_n").over(whole.orderBy("_value"))).filter("_upto >= _rank")
+    return reached.groupBy(group).agg(F.min("_value").alias("p99"))
+
+
 def latency_gate(
     calls: DataFrame, path: str, latency: str, old: str, new: str, factor: float = 1.1, accuracy: int = 10_000
 ) -> DataFrame:
-    """P99 of the new path against ``factor`` times the P99 of the old one, in one aggregate."""
+    """P99 of the new path against ``factor`` times the P99 of the old one, both exact. One row."""
+    found = exact_p99(calls.filter(F.col(path).isin(old, new)), path, latency, accuracy)
+
     def p99(which: str):
-        return F.percentile_approx(F.when(F.col(path) == which, F.col(latency)), 0.99, accuracy)
+        return F.max(F.when(F.col(path) == which, F.col("p99")))
 
-    return calls.agg(p99(old).alias("old_p99"), p99(new).alias("new_p99")).withColumn(
+    return found.agg(p99(old).alias("old_p99"), p99(new).alias("new_p99")).withColumn(
         "status", F.when(F.col("new_p99") < F.col("old_p99") * factor, PASSED).otherwise(FAILED)
     )
 
