@@ -131,7 +131,7 @@ class Ledger:
         return Ledger(self.spark, into)
 
     def compact(self, now: datetime | None = None, days: int = EXPIRY_DAYS) -> None:
-        """Put all entries into one folder, without old batch entries if the time is given, and delete the files they came from.
+        """Put all entries into one file, without old batch entries if the time is given, and delete the files they came from.
 
         Entries written meanwhile are not touched. If it is cut short, entries may be there twice, which no question notices.
         """
@@ -141,6 +141,8 @@ class Ledger:
         entries = self.spark.read.schema(STORED).json(before)
         if now is not None:
             entries = unexpired(entries, now, days)
-        entries.coalesce(1).write.option("timestampFormat", MICROS).json(f"{self.path}/{uuid.uuid4().hex}")
+        # Many tasks read, filter and encode; the one that writes the file is handed only the lines that stay.
+        lines = entries.select(F.to_json(F.struct(*STORED.names), {"timestampFormat": MICROS}).alias("value"))
+        lines.repartition(1).write.text(f"{self.path}/{uuid.uuid4().hex}")
         for file in before:
             delete_folder(self.spark, file)
