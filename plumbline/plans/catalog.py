@@ -759,6 +759,25 @@ def debounce_stream(spark, sf):
     return zoneless(spark.read.schema(stream.schema).parquet(f"{root}/out").select("table_name", "period_start"))
 
 
+FILE_ROWS = 250_000
+
+
+def write_triggers(arrived, close, triggers, staged, path, file_rows=FILE_ROWS):
+    """Arrivals as files for a stream: each trigger's are written after those of the one before, as many for each. Gives how many.
+
+    All are computed once, by all tasks. The files follow from the trigger with the fewest rows, ``file_rows`` to a file. Of so many rows some
+    task deals out at least one to every file, as long as there are no more tasks than that: no file is left out for being empty.
+    """
+    arrived.select("ts", "path", "trigger").write.partitionBy("trigger").parquet(staged)
+    stored = arrived.sparkSession.read.schema(arrived.select("ts", "path", "trigger").schema).parquet(staged)
+    rows = {r["trigger"]: r["count"] for r in stored.groupBy("trigger").count().collect()}
+    files = max(1, min(rows.get(k, 0) for k in range(triggers)) // file_rows)
+    for k in range(triggers):
+        stored.filter(F.col("trigger") == k).select("ts", "path").repartition(files).write.mode("append").parquet(path)
+    close.coalesce(1).write.mode("append").parquet(path)
+    return files
+
+
 @query
 def debounce_stream_late(spark, sf):
     """Arrivals in five triggers by their time, one in 50 a trigger late, one in 70 three; the first arrival of each table and period.
@@ -774,11 +793,8 @@ def debounce_stream_late(spark, sf):
                                  .when(F.col("event_id") % 70 == 0, F.least(trigger + 3, F.lit(4))).otherwise(trigger))
     close = arrived.filter(F.col("ts") == F.lit(high)).limit(1).select((F.col("ts") + F.expr("interval 1 day")).alias("ts"), F.lit("none").alias("path"))
     schema = arrived.select("ts", "path").schema
-    for k in range(6):
-        part = arrived.filter(F.col("trigger") == k).select("ts", "path") if k < 5 else close
-        # A trigger takes one file.
-        part.coalesce(1).write.mode("append").parquet(f"{root}/arrivals")
-    stream = first_arrivals_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arrivals"))
+    files = write_triggers(arrived, close, 5, f"{root}/staged", f"{root}/arrivals")
+    stream = first_arrivals_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{root}/arrivals"))
     (
         stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/ckpt")
         .trigger(availableNow=True).start(f"{root}/out").awaitTermination()
