@@ -29,8 +29,7 @@ def portable_text(name: str, kind: T.DataType) -> str:
         return f"lower(hex({col}))"
     if isinstance(kind, T.TimestampType):
         # The wall clock of UTC, so that the text does not depend on the session's zone.
-        micros = f"cast(unix_micros({col}) / 1000000BD as decimal(18,6))"
-        return f"cast(TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {micros}) as string)"
+        return f"cast(timestampadd(MICROSECOND, unix_micros({col}), TIMESTAMP_NTZ'1970-01-01 00:00:00') as string)"
     return f"cast({col} as string)"
 
 
