@@ -11,7 +11,7 @@ MICROS = (0, -1, 1, 999_999, -62_135_596_800_000_000, 253_402_300_799_999_999, 1
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Pacific/Apia"])
 def test_text_of_instants_without_decimals(spark, zone):
     text = portable_text("t", T.TimestampType())
-    # A decimal for every value costs three times as much as all the rest of the text.
+    # With a decimal for every value the text costs three times as much.
     assert "decimal" not in text and "1000000BD" not in text
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
