@@ -14,6 +14,8 @@ their elements are; no candidate is lost and none is capped.
 3. Components of those links are clusters of candidates. Equal sets of a cluster become one set.
    A cluster's sets are dealt to blocks by size band; every two blocks that can hold similar sets
    meet once, in one small task, where all intersections are one matrix product.
+   Links of neighbours may chain unlike sets, so a cluster of more than a block falls apart first: the sketches of its
+   sets meet in the same way, in larger blocks, and only sets that may be similar stay together.
 4. Components of the verified links.
 """
 
@@ -26,7 +28,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import partitions, release, stored, worker_cache
@@ -35,6 +37,8 @@ from plumbline.llm.perfect_hash import mixed
 from plumbline.llm.words import shingles, words
 
 BLOCK = 512
+# Blocks of sketches hold this many times as many sets: a sketch has about 1/40 of the bytes.
+WIDER = 32
 # Parts left out and parts of a group, and the elements that a signature should hold on average.
 CUTS = ((1, 2), (1, 3), (1, 4), (1, 6), (2, 5), (2, 6))
 LOAD = 4.0
@@ -312,6 +316,67 @@ def _possible(share: tuple[int, int]):
     return run
 
 
+def near_links(sizes: np.ndarray, held: list[bytes], part: np.ndarray, share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Links (index, index) that tie together all sets which their sizes and sketches let be similar; of two parts, those across.
+
+    A set is compared with those that nothing has reached yet, so a group of near copies takes time in proportion to its size.
+    """
+    num, den = share
+    least = min(map(len, held))
+    rows = []
+    for one in held:
+        while len(one) > least:
+            one = folded(one)
+        rows.append(one.ljust(8, b"\0"))
+    bits = np.frombuffer(b"".join(rows), np.uint64).reshape(len(held), -1).T.copy()
+    across = part.min() != part.max()
+    rest, todo, u, v, reached = bits, np.arange(len(held)), [], [], []
+    while len(todo):
+        if reached:
+            i = reached.pop()
+        else:
+            i, rest, todo = todo[0], rest[:, 1:], todo[1:]
+        differ = np.zeros(len(todo), np.int64)
+        for own, others in zip(bits[:, i], rest):
+            differ += np.bitwise_count(others ^ own)
+        near = differ * (num + den) <= (sizes[todo] + sizes[i]) * (den - num)
+        near &= num * np.maximum(sizes[todo], sizes[i]) <= den * np.minimum(sizes[todo], sizes[i])
+        if across:
+            near &= part[todo] != part[i]
+        if near.any():
+            found = todo[near]
+            u.append(np.full(len(found), i))
+            v.append(found)
+            reached += found.tolist()
+            rest, todo = rest[:, ~near], todo[~near]
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(u), np.concatenate(v)) if u else (none, none)
+
+
+def _near(share: tuple[int, int]):
+    """Sorted by meeting: (u, v), the links that keep the sets of a meeting together by their sketches."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def table(rows):
+            ids, side, sizes, held = zip(*rows)
+            own = np.array(ids, dtype=np.int64)
+            u, v = near_links(np.array(sizes, dtype=np.int64), held, np.unique(side, return_inverse=True)[1], share)
+            u, v = own[u], own[v]
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])
+
+        key, rows = None, []
+        for batch in batches:
+            for meeting, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if meeting != key:
+                    if len(rows) > 1:
+                        yield table(rows)
+                    key, rows = meeting, []
+                rows.append(row)
+        if len(rows) > 1:
+            yield table(rows)
+
+    return run
+
+
 def _elements(width: int):
     """The sets themselves, as sorted hashes, with the columns that came before the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,6 +460,56 @@ def _verified(share: tuple[int, int]):
     return run
 
 
+def in_blocks(classes: DataFrame, block: int, purpose: str) -> DataFrame:
+    """Blocks of at most about `block` sets of one band, and the meetings of blocks.
+
+    classes: cluster, band, rep and any others; part and meetings are added. Sets that have nothing to meet are left out.
+    """
+    bands = classes.groupBy("cluster", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"), F.count("*").alias("sets"))
+    bands = stored(bands, purpose)
+    after = bands.select("cluster", (F.col("band") - 1).alias("band"), F.col("parts").alias("next_parts"))
+    before = bands.select("cluster", (F.col("band") + 1).alias("band"), F.col("parts").alias("prior_parts"))
+    around = (bands.join(after, ["cluster", "band"], "left").join(before, ["cluster", "band"], "left")
+              .where("sets > 1 or next_parts is not null or prior_parts is not null"))
+    placed = (classes.join(around, ["cluster", "band"])
+              .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts").cast("long")).cast("int")))
+    meetings = F.flatten(F.array(
+        # With every block of its band: the lower numbered first.
+        F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(
+            F.col("band").alias("b1"), F.least(p, F.col("part")).alias("p1"), F.col("band").alias("b2"), F.greatest(p, F.col("part")).alias("p2"))),
+        F.when(F.col("next_parts").isNull(), F.array()).otherwise(F.transform(F.sequence(F.lit(0), F.col("next_parts") - 1), lambda p: F.struct(
+            F.col("band").alias("b1"), F.col("part").alias("p1"), (F.col("band") + 1).alias("b2"), p.alias("p2")))),
+        F.when(F.col("prior_parts").isNull(), F.array()).otherwise(F.transform(F.sequence(F.lit(0), F.col("prior_parts") - 1), lambda p: F.struct(
+            (F.col("band") - 1).alias("b1"), p.alias("p1"), F.col("band").alias("b2"), F.col("part").alias("p2")))),
+    ))
+    return placed.withColumn("meetings", meetings)
+
+
+def meeting_name() -> Column:
+    return F.concat_ws("/", "cluster", "m.b1", "m.p1", "m.b2", "m.p2").alias("meeting")
+
+
+def smaller_clusters(classes: DataFrame, whole: DataFrame, share: tuple[int, int], block: int) -> DataFrame:
+    """The classes, with clusters of more than `block` sets replaced by what their sketches keep together; whole is kept as the first cluster.
+
+    All pairs of a large cluster are compared that its size bands let meet, by sketches alone; no similar pair is parted.
+    """
+    large = stored(classes.groupBy("cluster").agg(F.count("*").alias("sets")).where(F.col("sets") > block).select("cluster"), "jaccard-large")
+    classes = classes.withColumn("whole", F.col("cluster"))
+    if large.isEmpty():
+        return classes
+    placed = in_blocks(classes.join(large, "cluster", "left_semi"), WIDER * block, "jaccard-large-bands")
+    met = (placed.join(whole.select(F.col("doc_id").alias("rep"), "n", "a", "b", "sketch"), ["rep", "n", "a", "b"])
+           .select("cluster", "rep", F.concat_ws("/", "band", "part").alias("side"), "n", "sketch", F.explode("meetings").alias("m"))
+           .select(meeting_name(), "rep", "side", "n", "sketch"))
+    near = (met.repartition(2 * partitions(classes.sparkSession), "meeting").sortWithinPartitions("meeting", "rep")
+            .mapInArrow(_near(share), "u long, v long"))
+    near = components(near, "jaccard-near")
+    return (classes.join(large.withColumn("is_large", F.lit(True)), "cluster", "left").join(near, classes["rep"] == near["node"], "left")
+            .withColumn("cluster", F.when(F.col("is_large"), F.coalesce("component", "rep")).otherwise(F.col("cluster")))
+            .select(*classes.columns))
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                       share: tuple[int, int] = (9, 10), block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links: one row per input row with an id.
@@ -429,25 +544,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     classes = members.groupBy("cluster", "n", "a", "b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     classes = stored(classes.withColumn("band", F.expr(
         f"size(filter(array({', '.join(f'{s}L' for s in starts)}), s -> s <= n))")), "jaccard-classes")
-    # Blocks of at most about `block` sets of one band, and the meetings of blocks.
-    bands = classes.groupBy("cluster", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"), F.count("*").alias("sets"))
-    bands = stored(bands, "jaccard-bands")
-    after = bands.select("cluster", (F.col("band") - 1).alias("band"), F.col("parts").alias("next_parts"))
-    before = bands.select("cluster", (F.col("band") + 1).alias("band"), F.col("parts").alias("prior_parts"))
-    around = (bands.join(after, ["cluster", "band"], "left").join(before, ["cluster", "band"], "left")
-              .where("sets > 1 or next_parts is not null or prior_parts is not null"))
-    placed = (classes.join(around, ["cluster", "band"])
-              .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts").cast("long")).cast("int")))
-    meetings = F.flatten(F.array(
-        # With every block of its band: the lower numbered first.
-        F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(
-            F.col("band").alias("b1"), F.least(p, F.col("part")).alias("p1"), F.col("band").alias("b2"), F.greatest(p, F.col("part")).alias("p2"))),
-        F.when(F.col("next_parts").isNull(), F.array()).otherwise(F.transform(F.sequence(F.lit(0), F.col("next_parts") - 1), lambda p: F.struct(
-            F.col("band").alias("b1"), F.col("part").alias("p1"), (F.col("band") + 1).alias("b2"), p.alias("p2")))),
-        F.when(F.col("prior_parts").isNull(), F.array()).otherwise(F.transform(F.sequence(F.lit(0), F.col("prior_parts") - 1), lambda p: F.struct(
-            (F.col("band") - 1).alias("b1"), p.alias("p1"), F.col("band").alias("b2"), F.col("part").alias("p2")))),
-    ))
-    wanted = stored(placed.select(F.col("rep").alias("doc_id"), "copies", "cluster", F.col("band"), F.col("part"), "a", meetings.alias("meetings")),
+    classes = stored(smaller_clusters(classes, whole, share, block), "jaccard-smaller")
+    placed = in_blocks(classes, block, "jaccard-bands")
+    wanted = stored(placed.select(F.col("rep").alias("doc_id"), "copies", "cluster", F.col("band"), F.col("part"), "a", "meetings"),
                     "jaccard-wanted")
     release(spark)
     # One text per id is enough: rows of one id with another text are another set.
@@ -457,7 +556,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                         "meetings array<struct<b1:int,p1:int,b2:int,p2:int>>, a long, elements binary"))
     # As many sets meet as fit a task; which blocks meet is all that is copied.
     met = held.select("doc_id", "copies", "cluster", F.concat_ws("/", "band", "part").alias("side"), "elements", F.explode("meetings").alias("m"))
-    pairs = met.select(F.concat_ws("/", "cluster", "m.b1", "m.p1", "m.b2", "m.p2").alias("meeting"), "doc_id", "side", "copies", "elements")
+    pairs = met.select(meeting_name(), "doc_id", "side", "copies", "elements")
     verified = stored(pairs.repartition(2 * partitions(spark), "meeting").sortWithinPartitions("meeting", "doc_id")
                       .mapInArrow(_verified(share), "doc_id long, other long, links long"), "jaccard-verified")
     release(spark)
@@ -465,7 +564,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     counts = verified.where("doc_id = other").groupBy(F.col("doc_id").alias("rep")).agg(F.sum("links").alias("others"))
 
     of_class = (classes.join(linked, classes["rep"] == linked["node"], "left").join(counts, "rep", "left")
-                .select("cluster", "n", "a", "b", F.coalesce("component", "rep").alias("component_id"),
+                .select(F.col("whole").alias("cluster"), "n", "a", "b", F.coalesce("component", "rep").alias("component_id"),
                         (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")))
     of_member = members.join(of_class, ["cluster", "n", "a", "b"]).select("doc_id", "n", "a", "b", "component_id", "n_links").distinct()
     return sets.join(of_member, ["doc_id", "n", "a", "b"], "left").select(

@@ -140,3 +140,47 @@ def test_many_documents_of_one_signature(spark):
             assert found(spark, rows, width=5, share=(4, 5)) == brute_force(rows, (4, 5), 5)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+@pytest.mark.parametrize("sizes, apart", [((95, 100, 120, 130, 140), True), ((1, 2, 3, 4, 5, 6, 40), False)])
+def test_sketches_keep_similar_sets_together(sizes, apart):
+    from plumbline.llm.components import forest
+    from plumbline.llm.jaccard_join import near_links
+
+    draw = np.random.default_rng(11)
+    sets = []
+    for n in np.repeat(sizes, 12):
+        base = draw.integers(0, 2**64, n, dtype=np.uint64)
+        sets += [np.unique(base), np.unique(np.r_[base[n // 15:], draw.integers(0, 2**64, n // 12, dtype=np.uint64)])]
+    counts = np.array([len(s) for s in sets], np.int64)
+    held = sketches(np.concatenate(sets), counts)
+    for part in (np.zeros(len(sets), int), np.arange(len(sets)) % 2):
+        u, v = near_links(counts, held, part, (4, 5))
+        root = np.arange(len(sets))
+        for node, low in zip(*forest(u, v)):
+            root[node] = low
+        for i, one in enumerate(sets):
+            for j, two in enumerate(sets[:i]):
+                shared = len(np.intersect1d(one, two))
+                if 5 * shared >= 4 * (len(one) + len(two) - shared) and (part.max() == 0 or part[i] != part[j]):
+                    assert root[i] == root[j]
+        assert not apart or len(set(root.tolist())) >= len(sets) // 2
+
+
+def test_a_large_cluster_of_unlike_sets_falls_apart(spark):
+    from pyspark.sql import functions as F
+
+    from plumbline.llm.jaccard_join import _digests, smaller_clusters
+
+    draw = random.Random(3)
+    rows = []
+    for i in range(40):
+        base = [f"u{draw.randrange(10**6)}" for _ in range(150)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[1:]))]
+    sets = spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(_digests(3), "doc_id long, n long, a long, b long, sketch binary").cache()
+    band = int(np.searchsorted(band_starts((9, 10), 200), 147, side="right"))
+    classes = sets.select(F.lit(0).cast("long").alias("cluster"), "n", "a", "b", F.col("doc_id").alias("rep"), F.lit(1).cast("long").alias("copies"),
+                          F.lit(band).alias("band"))
+    for block, wanted in ((100, {i: 0 for i in range(80)}), (16, {i: i - i % 2 for i in range(80)}), (1, {i: i - i % 2 for i in range(80)})):
+        got = smaller_clusters(classes, sets, (9, 10), block).collect()
+        assert {r["rep"]: r["cluster"] for r in got} == wanted and {r["whole"] for r in got} == {0}
