@@ -360,8 +360,8 @@ def _near(share: tuple[int, int]):
             ids, side, sizes, held = zip(*rows)
             own = np.array(ids, dtype=np.int64)
             u, v = near_links(np.array(sizes, dtype=np.int64), held, np.unique(side, return_inverse=True)[1], share)
-            u, v = own[u], own[v]
-            return pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])
+            u, v = forest(own[u], own[v])
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
         key, rows = None, []
         for batch in batches:
