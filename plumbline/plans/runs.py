@@ -24,6 +24,7 @@ from plumbline.streaming import cdc
 from plumbline.sources.files import batch as read_batch
 
 MAX_CONCURRENT_TABLES = 4
+POLL_SECONDS = 1
 LOAD_AUDIT = "_source_system string, _extracted_at timestamp, _loaded_at timestamp, _is_current boolean, _batch_id string"
 
 
@@ -230,13 +231,28 @@ def run_cdc(
     spark: SparkSession, contract: Contract, feed_dir: str, root: str, schema, buckets: int = 16,
     max_files: int | None = None,
 ) -> VersionedTable:
-    """Take in all new change files and merge them into silver."""
-    bronze = f"{root}/bronze"
-    cdc.ingest_bronze(spark, feed_dir, bronze, f"{root}/checkpoints", schema, max_files).awaitTermination()
+    """Take in all new change files and merge them into silver.
+
+    Both steps run at once: silver merges what bronze has committed while bronze takes in the next files, so the slower of the
+    two sets the time. max_files: how many files a micro-batch of either step takes at most.
+    """
+    bronze, checkpoints = f"{root}/bronze", f"{root}/checkpoints"
     silver = VersionedTable(spark, f"{root}/silver", cdc.silver_schema(contract), list(contract.keys), buckets)
-    cdc.merge_silver(
-        spark, bronze, silver, f"{root}/checkpoints", contract, cdc.bronze_schema(schema), max_files
-    ).awaitTermination()
+
+    def merge() -> None:
+        cdc.merge_silver(spark, bronze, silver, checkpoints, contract, cdc.bronze_schema(schema), max_files).awaitTermination()
+
+    ingest, merged = cdc.ingest_bronze(spark, feed_dir, bronze, checkpoints, schema, max_files), None
+    try:
+        while not ingest.awaitTermination(POLL_SECONDS):
+            committed = cdc.last_commit(ingest)
+            if committed != merged:
+                merge()
+                merged = committed
+    finally:
+        if ingest.isActive:
+            ingest.stop()
+    merge()
     return silver
 
 

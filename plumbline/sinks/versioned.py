@@ -77,16 +77,18 @@ class VersionedTable:
         A batch counts as seen only while no later commit has taken it back.
         """
         log = self.log()
+        batch_id = F.lit(batch).cast("string")
         if version is not None:
             log = log.filter(F.col("version") <= version)
+        concerned = (F.col("batch") == batch_id) | (F.col("removed") == batch_id) | F.col("restored").isNotNull()
         rows = log.groupBy("bucket").agg(
             F.max_by("folder", "version").alias("folder"),
             F.max("version").alias("version"),
+            F.collect_set(F.when(concerned, F.struct("version", "batch", "restored", "removed"))).alias("commits"),
         ).collect()
         seen = None
         if batch is not None:
-            concerned = (F.col("batch") == batch) | (F.col("removed") == batch) | F.col("restored").isNotNull()
-            for r in log.filter(concerned).select("version", "batch", "restored", "removed").distinct().orderBy("version").collect():
+            for r in sorted({c for r in rows for c in r["commits"]}, key=lambda c: c["version"]):
                 if r["batch"] == batch:
                     seen = r["version"]
                 elif seen is not None and (r["removed"] == batch or (r["restored"] is not None and r["restored"] < seen)):

@@ -74,6 +74,11 @@ def ingest_bronze(
     )
 
 
+def last_commit(query: StreamingQuery) -> int | None:
+    """Number of the last micro-batch that a running stream has committed with rows; None before the first."""
+    return max((p.batchId for p in query.recentProgress if p.numInputRows), default=None)
+
+
 def versions_of(events: DataFrame, contract: Contract) -> DataFrame:
     """Bronze events in silver form."""
     keep = events.withColumn(DELETED, tombstone())
@@ -112,10 +117,14 @@ def merge_silver(
     before the commit, so none is missing; after a failure some come twice, which a merge by their order does not notice.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        versions = versions_of(batch, contract)
-        if changes_dir is not None:
-            latest_per_key(versions, list(contract.keys), ORDER).write.mode("append").parquet(changes_dir)
-        silver.apply(versions, ORDER, batch_name(spark, f"{checkpoint}/silver", batch_id), staged=True)
+        # One file is mostly one task's to read, so its rows are dealt out; by their order, lest all rows of a busy key go to one task.
+        versions = latest_per_key(versions_of(batch.repartition(*ORDER), contract), list(contract.keys), ORDER).persist()
+        try:
+            if changes_dir is not None:
+                versions.write.mode("append").parquet(changes_dir)
+            silver.apply(versions, ORDER, batch_name(spark, f"{checkpoint}/silver", batch_id), staged=True)
+        finally:
+            versions.unpersist()
 
     return _each_batch(spark, bronze_dir, f"{checkpoint}/silver", schema, write, max_files)
 
